@@ -76,8 +76,13 @@ BASE_TABLES = ("lineitem", "orders", "part")
 
 
 def _derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    used = [t for t in BASE_TABLES if "{" + t + "}" in text]
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if "{" + t + "}" in text}
+    extract = spark.sql(text, **tables)
+    # A lone small file is read by one task, which would then derive and clean everything. Input of at
+    # least one split per core, as any large table has, is left where it was read.
+    cores = spark.sparkContext.defaultParallelism
+    splits = next(iter(tables.values())).rdd.getNumPartitions()
+    return extract if splits >= cores else extract.repartition(cores)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
