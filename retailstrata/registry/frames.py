@@ -75,23 +75,23 @@ FROM (SELECT *, cast(cast(floor(p_retailprice) AS bigint) AS string) AS px
 BASE_TABLES = ("lineitem", "orders", "part")
 
 
-def _derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def _derive(spark: SparkSession, sf_dir: str, text: str, key: str) -> DataFrame:
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if "{" + t + "}" in text}
     extract = spark.sql(text, **tables)
     # A lone small file is read by one task, which would then derive and clean everything. Input of at
     # least one split per core, as any large table has, is left where it was read.
     cores = spark.sparkContext.defaultParallelism
     splits = next(iter(tables.values())).rdd.getNumPartitions()
-    return extract if splits >= cores else extract.repartition(cores)
+    return extract if splits >= cores else extract.repartition(cores, key)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, RAW_ORDERS)
+    return _derive(spark, sf_dir, RAW_ORDERS, "Order_ID")
 
 
 def raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, RAW_RETURNS)
+    return _derive(spark, sf_dir, RAW_RETURNS, "Return_ID")
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, RAW_INVENTORY)
+    return _derive(spark, sf_dir, RAW_INVENTORY, "productName")
