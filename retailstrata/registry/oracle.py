@@ -197,6 +197,49 @@ BY_MONTH = (
 )
 
 
+def _money(c: str) -> str:
+    return f"cast(sum(cast({c} AS DECIMAL(28, 2))) AS DOUBLE)"
+
+
+DATED_RETURNS = """SELECT r.*, o."OrderDate" FROM silver_returns r LEFT JOIN silver_orders o ON r."OrderID" = o."OrderID\""""
+
+TREND = f"""SELECT "ProductName", "Order_Month", year("Order_Month") AS "Order_Year", month("Order_Month") AS "Month_Of_Year",
+  "Revenue", "Revenue" - lag("Revenue") OVER w AS "Revenue_Change",
+  {_round2('avg("Revenue") OVER (PARTITION BY "ProductName" ORDER BY "Order_Month" ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)')}
+    AS "Rolling_Revenue"
+FROM (SELECT "ProductName", cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month", {_money('"OrderAmount"')} AS "Revenue"
+  FROM silver_orders WHERE "OrderDate" IS NOT NULL GROUP BY ALL)
+WINDOW w AS (PARTITION BY "ProductName" ORDER BY "Order_Month")"""
+
+REASONS = f"""SELECT *, {_round2('"Returned_Amount" / nullif("Priced_Returns", 0)')} AS "Avg_Returned_Amount"
+FROM (SELECT "ReturnReason", count(*) AS "Returns", count("ReturnAmount") AS "Priced_Returns",
+  {_money('"ReturnAmount"')} AS "Returned_Amount" FROM silver_returns GROUP BY "ReturnReason")"""
+
+CUSTOMERS = f"""SELECT c."CustomerID", c."Orders", c."Revenue", coalesce(r.amount, 0.0) AS "Returned_Amount",
+  {_round2('c."Revenue" - coalesce(r.amount, 0.0)')} AS "Lifetime_Value"
+FROM (SELECT "CustomerID", count("OrderID") AS "Orders", {_money('"OrderAmount"')} AS "Revenue"
+  FROM silver_orders GROUP BY "CustomerID") c
+LEFT JOIN (SELECT o."CustomerID", {_money('t."ReturnAmount"')} AS amount FROM silver_orders o
+  JOIN silver_returns t ON o."OrderID" = t."OrderID" GROUP BY o."CustomerID") r ON c."CustomerID" = r."CustomerID\""""
+
+TURNOVER = f"""SELECT s."ProductName", s."Units_Sold", i."Units_In_Stock",
+  {_round2('s."Units_Sold" / nullif(i."Units_In_Stock", 0)')} AS "Turnover"
+FROM (SELECT "ProductName", cast(sum("Quantity") AS BIGINT) AS "Units_Sold" FROM silver_orders GROUP BY "ProductName") s
+LEFT JOIN (SELECT "ProductName", cast(sum("Stock") AS BIGINT) AS "Units_In_Stock" FROM silver_inventory
+  GROUP BY "ProductName") i ON s."ProductName" = i."ProductName\""""
+
+PREFIXES = """SELECT "ReturnID", raw_value, CASE WHEN raw_value LIKE 'CUST%' THEN raw_value
+  WHEN raw_value LIKE 'CST%' THEN 'CUST' || substr(raw_value, 4) WHEN raw_value LIKE 'CT%' THEN 'CUST' || substr(raw_value, 3)
+  ELSE raw_value END AS "CustomerID"
+FROM (SELECT "ReturnID", CASE cast(substr("CustomerID", 5) AS INTEGER) % 3 WHEN 0 THEN 'CUST' WHEN 1 THEN 'CST' ELSE 'CT' END
+  || substr("CustomerID", 5) AS raw_value FROM silver_returns)"""
+
+DEDUP_RETURNS = """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "ReturnID" ORDER BY
+  "OrderID" NULLS FIRST, "CustomerID" NULLS FIRST, "ReturnReason" NULLS FIRST, "ReturnDate" NULLS FIRST,
+  "RefundStatus" NULLS FIRST, "PickupAddress" NULLS FIRST, "ReturnAmount" NULLS FIRST, "Product" NULLS FIRST) AS rn
+FROM silver_returns) WHERE rn = 1"""
+
+
 def all_oracles() -> dict[str, str]:
     sql = {name: rule(*args) for name, args in RULES.items()}
     sql |= {
@@ -250,6 +293,38 @@ FROM silver_orders o LEFT JOIN silver_inventory i ON o."ProductName" = i."Produc
         "kpi_stock_cost_profit": kpis("Total_Stock", "Avg_Cost", "Net_Profit"),
         "gold_product_kpis": kpis(),
         "gold_kpi_by_product_month": with_ctes(BY_MONTH, "enriched"),
+        "check_returns": with_ctes(
+            """SELECT count(*) AS "Rows", count(*) FILTER ("ReturnAmount" <= 0) AS "AmountPositive",
+  count(*) FILTER ("ReturnDate" > DATE '1999-12-31') AS "DateNotInFuture",
+  count(*) FILTER ("ReturnDate" <= "OrderDate") AS "DateAfterOrder" FROM dated""",
+            "silver_orders", "silver_returns", dated=DATED_RETURNS,
+        ),
+        "unknown_return_reasons": with_ctes(
+            """SELECT "ReturnReason", count(*) AS "Rows" FROM silver_returns
+WHERE "ReturnReason" IS NULL OR "ReturnReason" NOT IN ('Damaged', 'Late') GROUP BY "ReturnReason\"""",
+            "silver_returns",
+        ),
+        "map_refund_status": with_ctes(
+            """SELECT "ReturnID", "RefundStatus", CASE "RefundStatus" WHEN 'inprogress' THEN 'in progress'
+  WHEN 'failed' THEN 'rejected' ELSE "RefundStatus" END AS "StandardStatus" FROM silver_returns""",
+            "silver_returns",
+        ),
+        "fix_customer_prefix": with_ctes(PREFIXES, "silver_returns"),
+        "dedup_returns": with_ctes(DEDUP_RETURNS, "silver_returns"),
+        "return_delays": with_ctes(
+            """SELECT "ReturnID", "OrderID", cast(date_diff('day', "OrderDate", "ReturnDate") AS INTEGER) AS "Days_To_Return",
+  coalesce("ReturnAmount" > 1000, false) AS "High_Value" FROM dated""",
+            "silver_orders", "silver_returns", dated=DATED_RETURNS,
+        ),
+        "product_month_trend": with_ctes(TREND, "silver_orders"),
+        "return_reasons": with_ctes(REASONS, "silver_returns"),
+        "customer_value": with_ctes(CUSTOMERS, "silver_orders", "silver_returns"),
+        "inventory_turnover": with_ctes(TURNOVER, "silver_orders", "silver_inventory"),
+        "partitioned_table": with_ctes(
+            """SELECT "OrderID", "ProductName", "OrderDate", "OrderAmount",
+  cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month" FROM silver_orders WHERE "OrderDate" IS NOT NULL""",
+            "silver_orders",
+        ),
         "gold_kpi_no_fanout": with_ctes(NO_FANOUT, "silver_orders", "silver_returns", "silver_inventory"),
     }
     return sql

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -9,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as clean
-from ..operators import rows
+from ..operators import quality, rows
 from ..operators.joins import left_join
-from ..plans import gold, pipeline, silver
+from ..plans import gold, insights, pipeline, silver
 from ..sources import schemas, tables
 from ..sources.extracts import promote_header, read_extract
 from ..sources.scratch import shared_folder
@@ -199,6 +200,84 @@ def _gold(plan: Callable[..., DataFrame], *columns: str) -> Query:
     return query
 
 
+# --- checks and further reports -------------------------------------------------------------------
+
+CHECK_DATE = dt.date(1999, 12, 31)
+KNOWN_REASONS = ("Damaged", "Late")
+STATUS_NAMES = {"inprogress": "in progress", "failed": "rejected"}
+
+
+def _dated_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.with_order_date(_returns(spark, sf_dir), _orders(spark, sf_dir))
+
+
+def check_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.violations(_dated_returns(spark, sf_dir), quality.return_checks(CHECK_DATE))
+
+
+def unknown_return_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.outside_list(_returns(spark, sf_dir), "ReturnReason", KNOWN_REASONS)
+
+
+def map_refund_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = quality.map_values(F.col("RefundStatus"), STATUS_NAMES)
+    return _returns(spark, sf_dir).select("ReturnID", "RefundStatus", mapped.alias("StandardStatus"))
+
+
+def fix_customer_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer ids of the returns, two of three with a misspelled prefix, put right again."""
+    number = F.substring("CustomerID", 5, 20)
+    prefix = F.element_at(F.array(F.lit("CUST"), F.lit("CST"), F.lit("CT")), number.cast("int") % 3 + 1)
+    misspelled = _returns(spark, sf_dir).select("ReturnID", F.concat(prefix, number).alias("raw_value"))
+    return misspelled.withColumn("CustomerID", clean.fix_customer_prefix(F.col("raw_value")))
+
+
+def dedup_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows.dedup(_returns(spark, sf_dir), ["ReturnID"])
+
+
+def return_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dated_returns(spark, sf_dir).select(
+        "ReturnID",
+        "OrderID",
+        quality.days_to_return().alias("Days_To_Return"),
+        quality.high_value().alias("High_Value"),
+    )
+
+
+def product_month_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.product_month_trend(_orders(spark, sf_dir))
+
+
+def return_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.return_reasons(_returns(spark, sf_dir))
+
+
+def customer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.customer_value(_orders(spark, sf_dir), _returns(spark, sf_dir))
+
+
+def inventory_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.inventory_turnover(_orders(spark, sf_dir), _inventory(spark, sf_dir))
+
+
+def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by month; the months of 1995 are written without amounts first, then replaced alone."""
+    path = _new_folder(spark)
+    name = f"orders_by_month_{path[-8:]}"
+    monthly = rows.drop_missing(_orders(spark, sf_dir), ["OrderDate"]).withColumn(
+        "Order_Month", F.trunc("OrderDate", "month")
+    )
+    in_1995 = F.year("OrderDate") == 1995
+    blank = F.when(~in_1995, F.col("OrderAmount"))
+    by = ["Order_Month"]
+    tables.write_table(
+        tables.gathered(monthly.withColumn("OrderAmount", blank), by, ["ProductName"]), name, path=path, partition_by=by
+    )
+    tables.replace_partitions(tables.gathered(monthly.where(in_1995), by, ["ProductName"]), name)
+    return tables.read_table(spark, name).select("OrderID", "ProductName", "OrderDate", "OrderAmount", "Order_Month")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "scan_parquet": scan_parquet,
@@ -225,4 +304,15 @@ def all_queries() -> dict[str, Query]:
         "gold_kpi_by_product_month": _gold(gold.gold_kpi_by_product_month),
         "gold_kpi_no_fanout": _gold(gold.gold_kpi_no_fanout),
         "layered_pipeline": layered_pipeline,
+        "check_returns": check_returns,
+        "unknown_return_reasons": unknown_return_reasons,
+        "map_refund_status": map_refund_status,
+        "fix_customer_prefix": fix_customer_prefix,
+        "dedup_returns": dedup_returns,
+        "return_delays": return_delays,
+        "product_month_trend": product_month_trend,
+        "return_reasons": return_reasons,
+        "customer_value": customer_value,
+        "inventory_turnover": inventory_turnover,
+        "partitioned_table": partitioned_table,
     }

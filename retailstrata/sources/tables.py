@@ -25,5 +25,27 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Rows of a partition brought together and sorted, so that few files are written for each.
+
+    The rebalance hint lets adaptive execution split a partition value that holds a large share.
+    """
+    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+
+
+def replace_partitions(df: DataFrame, name: str) -> None:
+    """Replace only the partitions of the table that occur in ``df``."""
+    spark = df.sparkSession
+    rows = df.select(*[df[f"`{c}`"] for c in spark.table(name).columns])
+    # An insert into a table heeds the session's setting only; the writer option of that name is for paths.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)

@@ -98,3 +98,15 @@ def test_layers_hand_over_through_tables(spark, tmp_path):
     assert result.exceptAll(direct).count() == 0 and direct.count() == result.count()
     pipeline.run_all(spark, *[f"{tmp_path}/{n}" for n in extracts], layers=layers)  # reruns replace
     assert layers.read(spark, pipeline.GOLD_TABLE).count() == direct.count()
+
+
+def test_replace_partitions_leaves_the_others(spark, tmp_path):
+    name = f"t_{uuid.uuid4().hex}"
+    df = spark.range(9).selectExpr("id", "id AS v", "id % 3 AS p")
+    tables.write_table(tables.gathered(df, ["p"], ["id"]), name, partition_by=["p"])
+    tables.replace_partitions(spark.createDataFrame([(1, 100, 7)], "p long, id long, v long"), name)
+    result = sorted(map(tuple, tables.read_table(spark, name).select("id", "v", "p").collect()))
+    assert result == [(0, 0, 0), (2, 2, 2), (3, 3, 0), (5, 5, 2), (6, 6, 0), (8, 8, 2), (100, 7, 1)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    plan = spark.table(name).where("p = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan
