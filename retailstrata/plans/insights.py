@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def _money(column: str):
     """Exact sum of cents, as double: independent of the order of addition."""
-    return F.sum(F.col(column).cast("decimal(28,2)")).cast("double")
+    return F.sum(F.col(column).try_cast("decimal(28,2)")).cast("double")
 
 
 def product_month_trend(orders: DataFrame, months: int = 3) -> DataFrame:

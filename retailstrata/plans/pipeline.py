@@ -22,16 +22,24 @@ GOLD_TABLE = "gold_product_month_kpis"
 
 @dataclass(frozen=True)
 class Layers:
-    """Table naming and format of one run; ``database`` qualifies every table name."""
+    """Table naming and storage of one run.
+
+    ``database`` qualifies every table name. ``order_buckets`` stores silver orders, the largest table,
+    bucketed by OrderID: the gold join then shuffles only the per-order counts of returns. OrderIDs are
+    unique there, so the buckets are even; returns are not, and stay unbucketed. The number should be
+    that of the shuffle partitions of the run, so that each write task fills whole buckets.
+    """
 
     fmt: str = DEFAULT_FORMAT
     database: str | None = None
+    order_buckets: int | None = None
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}" if self.database else table
 
     def write(self, df: DataFrame, table: str) -> None:
-        write_table(df, self.name(table), self.fmt)
+        buckets = self.order_buckets if table == "silver_orders" else None
+        write_table(df, self.name(table), self.fmt, buckets=buckets, bucket_by="OrderID")
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return read_table(spark, self.name(table))

@@ -15,13 +15,22 @@ def write_table(
     fmt: str = DEFAULT_FORMAT,
     path: str | None = None,
     partition_by: Sequence[str] = (),
+    buckets: int | None = None,
+    bucket_by: str | None = None,
 ) -> None:
-    """Replace the whole table by ``df``; ``path`` places it outside the warehouse folder."""
+    """Replace the whole table by ``df``; ``path`` places it outside the warehouse folder.
+
+    With ``buckets`` the rows are stored by hash of ``bucket_by``, so that later joins and aggregates
+    on it need no shuffle of this table. Only for a column whose values are spread evenly: a bucket is
+    read by one task.
+    """
     writer = df.write.mode("overwrite").format(fmt)
     if path is not None:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets is not None:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
-from retailstrata.plans import pipeline
+from retailstrata.plans import gold, pipeline
 from retailstrata.registry import frames, queries
 from retailstrata.sources import schemas, tables
 from retailstrata.sources.extracts import promote_header, read_extract
@@ -110,3 +110,24 @@ def test_replace_partitions_leaves_the_others(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     plan = spark.table(name).where("p = 1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(p" in plan
+
+
+def test_bucketed_orders_are_not_shuffled_for_the_gold_join(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    database = f"retail_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    raws = [frames.raw_orders, frames.raw_returns, frames.raw_inventory]
+    silvers = [clean(raw(spark, SF_DIR)) for clean, raw in zip(pipeline.SILVER.values(), raws)]
+    shuffles, results = {}, {}
+    for buckets in (None, 4):
+        layers = pipeline.Layers(database=database, order_buckets=buckets)
+        for name, df in zip(pipeline.SILVER, silvers):
+            layers.write(df, f"silver_{name}")
+        result = gold.gold_product_kpis(*[layers.read(spark, f"silver_{name}") for name in pipeline.SILVER])
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        shuffles[buckets] = plan.count("Exchange hashpartitioning(OrderID")
+        results[buckets] = sorted(map(tuple, result.collect()))
+    assert shuffles == {None: 2, 4: 1}
+    assert results[None] == results[4]
+    files = list((tmp_path / "db" / "silver_orders").glob("part-*"))
+    assert len(files) == 4
