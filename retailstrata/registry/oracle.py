@@ -203,7 +203,8 @@ def _money(c: str) -> str:
 
 DATED_RETURNS = """SELECT r.*, o."OrderDate" FROM silver_returns r LEFT JOIN silver_orders o ON r."OrderID" = o."OrderID\""""
 
-TREND = f"""SELECT "ProductName", "Order_Month", year("Order_Month") AS "Order_Year", month("Order_Month") AS "Month_Of_Year",
+TREND = f"""SELECT "ProductName", "Order_Month", cast(year("Order_Month") AS INTEGER) AS "Order_Year",
+  cast(month("Order_Month") AS INTEGER) AS "Month_Of_Year",
   "Revenue", "Revenue" - lag("Revenue") OVER w AS "Revenue_Change",
   {_round2('avg("Revenue") OVER (PARTITION BY "ProductName" ORDER BY "Order_Month" ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)')}
     AS "Rolling_Revenue"

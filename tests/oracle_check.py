@@ -25,6 +25,11 @@ def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+DUCK_TYPES = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN",
+}
+
+
 def _canonical(value):
     return "NaN" if isinstance(value, float) and math.isnan(value) else value
 
@@ -35,11 +40,12 @@ def _bag(columns: list[str], rows) -> Counter:
 
 
 def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
-    """None when both give the same columns and rows, else what differs first."""
+    """None when both give the same columns, types and rows, else what differs first."""
+    types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != (own := {name: DUCK_TYPES[t] for name, t in df.dtypes}):
+        return f"columns {sorted(own.items() - types.items())} vs oracle {sorted(types.items() - own.items())}"
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
-    if sorted(names) != sorted(df.columns):
-        return f"columns {sorted(df.columns)} vs oracle {sorted(names)}"
     expected = _bag(names, cursor.fetchall())
     actual = _bag(df.columns, df.collect())
     if actual == expected:

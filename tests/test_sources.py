@@ -131,3 +131,10 @@ def test_bucketed_orders_are_not_shuffled_for_the_gold_join(spark, tmp_path, con
     assert results[None] == results[4]
     files = list((tmp_path / "db" / "silver_orders").glob("part-*"))
     assert len(files) == 4
+
+
+def test_a_hot_partition_value_is_written_by_several_tasks(spark, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
+    df = spark.range(0, 100_000, 1, 8).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS p")
+    tasks = tables.gathered(df, ["p"], ["id"]).select(F.spark_partition_id().alias("task"), "p")
+    assert tasks.where("p = 0").select("task").distinct().count() > 1
