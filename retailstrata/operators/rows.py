@@ -33,8 +33,8 @@ def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     others = [quoted(c) for c in df.columns if c not in keys]
     if not others:
         return df.select(*map(quoted, keys)).distinct()
-    kept = df.groupBy(*map(quoted, keys)).agg(F.min(F.struct(*others)).alias("kept"))
-    fields = {c: F.col("kept").getField(c) for c in df.columns if c not in keys}
+    kept = df.groupBy(*map(quoted, keys)).agg(F.min(F.struct(*others)).alias("__kept"))
+    fields = {c: F.col("__kept").getField(c) for c in df.columns if c not in keys}
     return kept.select(*[fields[c].alias(c) if c in fields else F.col(quoted(c)) for c in df.columns])
 
 

@@ -282,9 +282,11 @@ FROM silver_orders o LEFT JOIN silver_returns r ON o."OrderID" = r."OrderID\""""
             "silver_returns",
         ),
         "enriched_left_inventory": with_ctes(
-            """SELECT o."OrderID", o."ProductName", i."CostPrice", i."LastStocked", i."Stock", i."Warehouse", i."Available"
-FROM silver_orders o LEFT JOIN silver_inventory i ON o."ProductName" = i."ProductName\"""",
+            """SELECT o."OrderID", o."ProductName", r."ReturnID", i."CostPrice", i."LastStocked", i."Stock", i."Warehouse",
+  i."Available" FROM silver_orders o LEFT JOIN silver_returns r ON o."OrderID" = r."OrderID"
+LEFT JOIN silver_inventory i ON o."ProductName" = i."ProductName\"""",
             "silver_orders",
+            "silver_returns",
             "silver_inventory",
         ),
         "kpi_counts": kpis("Total_Orders", "Total_Returns"),

@@ -179,10 +179,11 @@ def orders_left_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_left_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    returned = orders_left_returns(spark, sf_dir).select("OrderID", "ProductName", "ReturnID")
     inventory = _inventory(spark, sf_dir)
-    details = [F.col(f"r.{c}") for c in inventory.columns if c != "ProductName"]
-    select = [F.col("l.OrderID"), F.col("l.ProductName"), *details]
-    return left_join(_orders(spark, sf_dir), inventory, "ProductName", select)
+    select = [F.col(f"l.{c}") for c in returned.columns]
+    select += [F.col(f"r.{c}") for c in inventory.columns if c != "ProductName"]
+    return left_join(returned, inventory, "ProductName", select)
 
 
 def qualified_projection(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from retailstrata.plans import gold, pipeline
 from retailstrata.registry import frames, queries
 from retailstrata.sources import schemas, tables
 from retailstrata.sources.extracts import promote_header, read_extract
+from retailstrata.sources.scratch import shared_folder
 
 
 def write(path, rows, **options):
@@ -138,3 +139,18 @@ def test_a_hot_partition_value_is_written_by_several_tasks(spark, conf):
     df = spark.range(0, 100_000, 1, 8).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS p")
     tasks = tables.gathered(df, ["p"], ["id"]).select(F.spark_partition_id().alias("task"), "p")
     assert tasks.where("p = 0").select("task").distinct().count() > 1
+
+
+class FakeSession:
+    """The settings ``shared_folder`` looks at."""
+
+    def __init__(self, master: str, checkpoint_dir: str | None):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: checkpoint_dir or default)})()
+
+
+def test_intermediate_files_go_to_the_shared_folder():
+    assert shared_folder(FakeSession("yarn", "hdfs://nn/ck/")) == "hdfs://nn/ck/app-1"
+    assert shared_folder(FakeSession("local[4]", None)) == shared_folder(FakeSession("local[4]", None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("yarn", None))
