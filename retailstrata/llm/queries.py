@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import url_filters
+from .pii import KINDS, find_pii
 from .repetition import repetition
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,23 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``base_sha256`` and the counts are those of the plain identifiers, ``spans`` has all."""
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    found = _table(spark, sf_dir, "documents").select("doc_id", find_pii(F.col("text")).alias("found"))
+    plain = F.filter("found", lambda s: s["base"])
+    counts = [
+        F.size(F.filter("found", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{kind}")
+        for kind in KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(plain), 256).alias("base_sha256"), listed(F.col("found")).alias("spans")
+    )
+
+
 def repetition_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return documents.select("doc_id", repetition(F.col("text")).alias("m")).select("doc_id", "m.*")
@@ -31,6 +49,7 @@ def repetition_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_url_filters": url_verdicts,
+        "op4_pii": pii_spans,
         "op10_repetition": repetition_verdicts,
     }
 
