@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import url_filters
+import public_tokenizers
+
+from ..sources.scratch import shared_folder
+from . import packing, token_store, url_filters
 from .pii import KINDS, find_pii
 from .repetition import repetition
 
+TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,16 +36,33 @@ def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     found = _table(spark, sf_dir, "documents").select("doc_id", find_pii(F.col("text")).alias("found"))
+    def number_of(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+
     plain = F.filter("found", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("found", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{kind}")
-        for kind in KINDS
-    ]
     return found.select(
-        "doc_id", *counts, F.sha2(listed(plain), 256).alias("base_sha256"), listed(F.col("found")).alias("spans")
+        "doc_id", *map(number_of, KINDS), F.sha2(listed(plain), 256).alias("base_sha256"), listed(F.col("found")).alias("spans")
     )
 
 
+def _crc32(ids: Column) -> Column:
+    return F.crc32(ids).cast("bigint").alias("ids_crc32")
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tokens-{uuid4().hex}"
+    documents = _table(spark, sf_dir, "documents")
+    token_store.write_store(documents, folder, public_tokenizers.path(TOKENIZER))
+    read = token_store.read_store(spark, folder)
+    return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", _crc32(F.col("ids")))
+
+
+def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = packing.Packing(public_tokenizers.path(TOKENIZER))
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), options)
+    return pieces.select("doc_id", "piece", "start", "length", _crc32(F.col("ids")), "sequence_id", "offset")
+
+
 def repetition_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return documents.select("doc_id", repetition(F.col("text")).alias("m")).select("doc_id", "m.*")
@@ -50,6 +72,8 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_url_filters": url_verdicts,
         "op4_pii": pii_spans,
+        "op6_token_store": token_files,
+        "op7_packing": packed_pieces,
         "op10_repetition": repetition_verdicts,
     }
 

@@ -44,6 +44,10 @@ class Encoder:
             self._bytes[i] = len(token)
         self._known: dict[str, bytes] = {}
 
+    @property
+    def size(self) -> int:
+        return len(self._bytes)
+
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
