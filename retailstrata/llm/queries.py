@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..sources.scratch import shared_folder
-from . import packing, token_store, url_filters
+from . import html_text, mixing, packing, token_store, toxicity, url_filters
 from .pii import KINDS, find_pii
 from .repetition import repetition
 
@@ -29,6 +29,15 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base_sha256`` and the counts are those of the plain identifiers, ``spans`` has all."""
 
@@ -63,6 +72,12 @@ def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "piece", "start", "length", _crc32(F.col("ids")), "sequence_id", "offset")
 
 
+def toxic_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, _table(spark, sf_dir, "labels"))
+    return documents.select("doc_id", toxicity.severity(F.col("text"), model).alias("s")).select("doc_id", "s.*")
+
+
 def repetition_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return documents.select("doc_id", repetition(F.col("text")).alias("m")).select("doc_id", "m.*")
@@ -71,12 +86,15 @@ def repetition_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_url_filters": url_verdicts,
+        "op2_mixing": mixed_sources,
+        "op3_html_text": page_texts,
         "op4_pii": pii_spans,
         "op6_token_store": token_files,
         "op7_packing": packed_pieces,
+        "op9_toxicity": toxic_grades,
         "op10_repetition": repetition_verdicts,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_url_filters": url_filters.oracle()}
+    return {"op1_url_filters": url_filters.oracle(), "op2_mixing": mixing.oracle()}
