@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..sources.scratch import shared_folder
-from . import html_text, mixing, packing, token_store, toxicity, url_filters
+from . import ann, html_text, mixing, packing, token_store, toxicity, url_filters
+from .ngram_join import similar_documents
 from .pii import KINDS, find_pii
 from .repetition import repetition
 
@@ -54,6 +55,14 @@ def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def similar_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def _crc32(ids: Column) -> Column:
     return F.crc32(ids).cast("bigint").alias("ids_crc32")
 
@@ -89,8 +98,10 @@ def all_queries() -> dict[str, Query]:
         "op2_mixing": mixed_sources,
         "op3_html_text": page_texts,
         "op4_pii": pii_spans,
+        "op5_nearest_vectors": nearest_vectors,
         "op6_token_store": token_files,
         "op7_packing": packed_pieces,
+        "op8_ngram_join": similar_groups,
         "op9_toxicity": toxic_grades,
         "op10_repetition": repetition_verdicts,
     }

@@ -1,9 +1,10 @@
 """Token ids of whole texts with a given tokenizer file of the ``tokenizers`` library.
 
 The tokenizer splits a text into pieces that it encodes apart, and no piece reaches from a visible
-character into white space after it. So a text is cut before each run of white space, and every distinct
-stretch is encoded once and remembered, in a cache of bounded size. A text with white space other than
-space, tab, line feed and carriage return, on which definitions differ, is encoded whole.
+character into white space after it. So a text is cut before white space, and every distinct stretch is encoded
+once and remembered, in a cache of bounded size. A comma or full stop after a letter at the end of a stretch is a
+piece of its own, so the stretch without it serves as well. A text with white space other than single spaces and
+line feeds between visible characters, where this would need more care, is encoded whole.
 
 This holds for byte-level tokenizers with the usual pre-tokenizing pattern and no normalizer; ``encoder``
 refuses others. The tests compare it with plain encoding.
@@ -18,13 +19,14 @@ from itertools import chain
 
 import numpy as np
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 800_000
 CACHED_LENGTH = 48
 # Characters of texts that are encoded together.
 TOGETHER = 1_000_000
 
-_STRETCH = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-_OTHER_SPACE = re.compile(r"[^\S \n\t\r]")
+_NOT_SINGLE = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z")
+_FIRST = re.compile(r"[^ \n]*")
+_LETTERS = frozenset(map(chr, [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
 
 
 class Encoder:
@@ -43,6 +45,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self._bytes[i] = len(token)
         self._known: dict[str, bytes] = {}
+        self._mark = {c: self._whole(c) for c in ",."}
 
     @property
     def size(self) -> int:
@@ -52,38 +55,40 @@ class Encoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _stretches(self, new: list[str]) -> list[bytes]:
-        """Ids of stretches that end in a visible character, all encoded as one text and cut apart again.
-
-        One without leading white space gets a line feed before it, which is a piece and an id of its own.
-        """
-        lone = [s[0] not in " \n\t\r" for s in new]
-        text = "".join(["\n" + s if x else s for s, x in zip(new, lone)])
-        ids = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        """Ids of stretches, each a line feed or space and visible characters, encoded as one text and cut apart."""
+        ids = np.array(self._tokenizer.encode("".join(new), add_special_tokens=False).ids, "<u4")
         stop = np.cumsum(self._bytes[ids])
-        ends = np.searchsorted(stop, np.cumsum([len(s.encode()) + x for s, x in zip(new, lone)])) + 1
+        ends = (np.searchsorted(stop, np.cumsum([len(s.encode()) for s in new])) + 1).tolist()
         raw = ids.tobytes()
-        starts = [0, *ends[:-1].tolist()]
-        return [raw[4 * (i + x) : 4 * j] for i, j, x in zip(starts, ends.tolist(), lone)]
+        return [raw[4 * i : 4 * j] for i, j in zip([0, *ends[:-1]], ends)]
 
     def _learn(self, parts: list[list[str]]) -> dict[str, bytes]:
-        """Ids of the stretches not in the cache that are too long for it; the others go to the cache."""
+        """Put the words that are new in the cache; returned are those too long for it."""
         known, rest = self._known, {}
-        new = [s for s in dict.fromkeys(chain.from_iterable(parts)) if s not in known]
-        visible = [s for s in new if not s.isspace()]
-        for s, ids in chain(
-            zip(visible, self._stretches(visible) if visible else ()), ((s, self._whole(s)) for s in new if s.isspace())
-        ):
+        new = [s for s in set(chain.from_iterable(parts)) if s not in known]
+        stems = {s: s[:-1] if len(s) > 2 and s[-1] in ",." and s[-2] in _LETTERS else s for s in new}
+        words = [s for s in set(stems.values()) if s not in known]
+        found = self._stretches([s if s[0] == "\n" else " " + s for s in words]) if words else []
+        for s, ids in zip(words, found):
             (known if len(s) <= CACHED_LENGTH else rest)[s] = ids
+        for s, stem in stems.items():
+            if stem is not s:
+                ids = (known.get(stem) or rest[stem]) + self._mark[s[-1]]
+                (known if len(s) <= CACHED_LENGTH else rest)[s] = ids
         return rest
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > CACHE_ENTRIES:
             self._known.clear()
-        odd = [_OTHER_SPACE.search(t) is not None for t in texts]
-        parts = [[] if x else _STRETCH.findall(t) for t, x in zip(texts, odd)]
+        # Words after a space go without it, those after a line feed with it; the first word has neither.
+        plain = [t != "" and _NOT_SINGLE.search(t) is None for t in texts]
+        parts = [t.replace("\n", " \n").split(" ")[1:] if p else [] for t, p in zip(texts, plain)]
         rest = self._learn(parts)
         get = (lambda s: self._known.get(s) or rest[s]) if rest else self._known.__getitem__
-        return [self._whole(t) if x else b"".join(map(get, p)) for t, x, p in zip(texts, odd, parts)]
+        return [
+            self._whole(_FIRST.match(t)[0]) + b"".join(map(get, w)) if p else self._whole(t)
+            for t, p, w in zip(texts, plain, parts)
+        ]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
