@@ -9,9 +9,11 @@ Two sets are linked when ``share_above * intersection >= share_below * union``.
 3. *Prefixes.* Two linked sets share one of their rarest n-grams, within a prefix whose length follows from the
    set's size. Prefix n-grams are shuffled once and those that only one set has are gone.
 4. *Leaders.* In each prefix n-gram's group every set is paired with the smallest one. Pairs that pass the
-   length, positional and suffix filters are verified, and the links joined into components.
+   length, positional and suffix filters are verified, and the links joined into components. This is repeated a
+   few times with leaders drawn at random and only for sets of other components than theirs.
 5. *Rest.* Pairs of sets that share a prefix n-gram but lie in different components are the only ones that could
-   still add anything. They pass the same filters and are verified too; links are joined again.
+   still add anything. They pass the same filters, in large groups also a comparison of parities, and are verified
+   too; links are joined again.
 
 A group of copies thus needs one pair for each member, not all pairs, and still no link between different
 components is missed. The suffix filter bounds the overlap by the numbers of n-grams in fixed hash ranges.
@@ -39,12 +41,18 @@ from .words import Words, mix, ngrams, slices, words_of
 COUNTERS = 1 << 19
 FILTER_BITS = 1 << 24
 _BLOCK = 1 << 13
-# Hash ranges of the suffix filter.
-RANGES = 32
+# Hash ranges of the suffix filter, and 64-bit words of the parities that tell sets of large groups apart.
+RANGES = 128
+PARITIES = 16
+# From so many members on, a group's sets are compared by parities before pairs are made of them.
+LARGE_GROUP = 8
 # Sets a task remembers so as not to send a repeated one again.
 REMEMBERED = 200_000
 # A prefix n-gram with a count above this many times the mean is dealt to several tasks.
 SPREAD_ABOVE = 16
+# Rounds with drawn leaders; what they leave is settled in full after them.
+LEADER_ROUNDS = 4
+LEADERS = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,11 +62,6 @@ class Similarity:
     share_above: int = 100
     share_below: int = 75
 
-    def least_overlap(self, a, b):
-        """Smallest intersection of linked sets of sizes a and b; for numpy arrays, numbers and columns."""
-        part, whole = self.share_below, self.share_above + self.share_below
-        return -((-part * (a + b)) // whole)
-
     def prefix(self, size: np.ndarray) -> np.ndarray:
         """So many of the rarest n-grams of a set hold one of every set linked with it."""
         return size - -((-self.share_below * size) // self.share_above) + 1
@@ -105,6 +108,21 @@ def _fingerprints(row: np.ndarray, value: np.ndarray, size: np.ndarray) -> np.nd
     return mix((total[edge[1:]] - total[edge[:-1]]) + size.astype(np.uint64) * _ODD).view(np.int64)
 
 
+def _ranges(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """How many n-grams of each set lie in each hash range; the largest number stands for any larger one as well."""
+    at = row * RANGES + (value >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=RANGES * rows), 65535).astype("<u2").reshape(-1, RANGES)
+
+
+def _parity(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """For each hash remainder whether an odd number of n-grams has it, as bits of signed integers.
+
+    Two sets differ in at least as many n-grams as in bits.
+    """
+    bits = np.bincount(row * (64 * PARITIES) + (value % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES * rows) & 1
+    return np.packbits(bits.astype(np.uint8).reshape(-1, 8), axis=1, bitorder="little").ravel().view(np.int64)
+
+
 # --- arrays of fixed size over all rows -----------------------------------------------------------
 
 
@@ -167,7 +185,7 @@ def _marked(whole: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 # --- tables ---------------------------------------------------------------------------------------
 
-SETS = "key {key}, n_shingles bigint, set_id bigint, ranges binary, prefix binary, spread binary"
+SETS = "key {key}, n_shingles bigint, set_id bigint, ranges binary, parity array<bigint>, prefix binary, spread binary"
 
 
 def _set_rows(counts, like: Similarity) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -185,8 +203,7 @@ def _set_rows(counts, like: Similarity) -> Callable[[Iterator[pa.RecordBatch]],
                 order = np.lexsort((value, count, row))
                 ids = _fingerprints(row, value, size)
                 edge = np.concatenate([[0], np.cumsum(size)])
-                ranges = np.bincount(row * RANGES + (value >> np.uint64(59)).astype(np.int64), minlength=RANGES * len(size))
-                ranges = ranges.reshape(-1, RANGES).astype("<u4")
+                ranges, parity = _ranges(row, value, len(size)), _parity(row, value, len(size))
                 rare = value[order].astype("<u8")
                 parts = np.ceil(np.log2(np.maximum(1, count[order] / (SPREAD_ABOVE * mean)))).astype(np.uint8)
                 length = np.where(size > 0, like.prefix(size), 0)
@@ -205,10 +222,11 @@ def _set_rows(counts, like: Similarity) -> Callable[[Iterator[pa.RecordBatch]],
                         pa.array(size.astype(np.int64)),
                         pa.array(ids, mask=size == 0),
                         pa.array([r.tobytes() for r in ranges], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * PARITIES), pa.array(parity)),
                         pa.array(prefix, pa.binary()),
                         pa.array(spread, pa.binary()),
                     ],
-                    ["key", "n_shingles", "set_id", "ranges", "prefix", "spread"],
+                    ["key", "n_shingles", "set_id", "ranges", "parity", "prefix", "spread"],
                 )
                 done += len(size)
 
@@ -324,8 +342,10 @@ def _array_rows(needed, n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 
 def _most(a: pa.Array, b: pa.Array) -> pa.Array:
     """An upper bound of the intersection: in each hash range no more than the smaller number."""
-    x, y = (np.frombuffer(b"".join(v.to_pylist()), "<u4").reshape(-1, RANGES) for v in (a, b))
-    return pa.array(np.minimum(x, y).sum(axis=1).astype(np.int64))
+    x, y = (np.frombuffer(b"".join(v.to_pylist()), "<u2").reshape(-1, RANGES).astype(np.int64) for v in (a, b))
+    # The largest number may stand for any.
+    least = np.minimum(np.where(x == 65535, 1 << 40, x), np.where(y == 65535, 1 << 40, y))
+    return pa.array(least.sum(axis=1))
 
 
 def _common(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -337,6 +357,11 @@ def _common(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([common(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.int64())
 
 
+def _other(path: str) -> list[Column]:
+    names = {"set_id": "other", "size": "other_size", "pos": "other_pos", "root": "other_root"}
+    return [F.col(path.format(c)).alias(name) for c, name in names.items()]
+
+
 class _Work:
     """Tables of one run in the shared folder."""
 
@@ -349,12 +374,20 @@ class _Work:
         return self.spark.read.parquet(path)
 
 
-def _passing(rows: DataFrame, like: Similarity) -> DataFrame:
-    """Distinct pairs (a, b) of rows with set, size and position of both that pass the length and positional filters."""
-    least = F.ceil(like.share_below * (F.col("size") + F.col("other_size")) / (like.share_above + like.share_below))
+def _least(like: Similarity) -> Column:
+    return F.ceil(like.share_below * (F.col("size") + F.col("other_size")) / (like.share_above + like.share_below))
+
+
+def _near(like: Similarity) -> Column:
+    """Length and positional filter: what the sets have from their places on must suffice."""
     left = F.least(F.col("size") - F.col("pos"), F.col("other_size") - F.col("other_pos"))
     fits = like.share_above * F.least("size", "other_size") >= like.share_below * F.greatest("size", "other_size")
-    return rows.where(fits & (left >= least)).select(
+    return fits & (left >= _least(like))
+
+
+def _passing(rows: DataFrame, like: Similarity) -> DataFrame:
+    """Distinct pairs (a, b) of rows with set, size and position of both that pass the length and positional filters."""
+    return rows.where(_near(like)).select(
         F.least("set_id", "other").alias("a"), F.greatest("set_id", "other").alias("b")
     ).distinct()
 
@@ -370,6 +403,20 @@ def _filtered(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     return both.withColumn("most", F.arrow_udf(_most, "bigint")("ranges_a", "ranges_b")).where(F.col("most") >= least).select("a", "b", "size_a", "size_b")
 
 
+def _across(mixed: DataFrame, sets: DataFrame, like: Similarity, work: _Work) -> DataFrame:
+    """Rows of two sets of one group that lie in different components.
+
+    In large groups their parities must not differ in more bits than linked sets of their sizes do in n-grams.
+    """
+    small = mixed.where(F.col("members") < LARGE_GROUP).withColumn("parity", F.lit(None).cast("array<bigint>"))
+    large = mixed.where(F.col("members") >= LARGE_GROUP).join(sets.select("set_id", "parity"), "set_id")
+    rows = work.keep(small.unionByName(large).drop("members"), "apart")
+    other = rows.select("token", *_other("{}"), F.col("parity").alias("other_parity"))
+    differ = reduce(Column.__add__, [F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("other_parity")[i])) for i in range(PARITIES)])
+    fits = F.col("size") + F.col("other_size") - 2 * _least(like) >= F.coalesce(differ, F.lit(0))
+    return rows.join(other, "token").where("root <> other_root and set_id < other").where(_near(like)).where(fits)
+
+
 def _verified(pairs: DataFrame, documents: DataFrame, like: Similarity, work: _Work) -> DataFrame:
     """The pairs that are linked."""
     spark = work.spark
@@ -435,7 +482,7 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
     schema = SETS.format(key=df.schema[key].dataType.simpleString())
     rows = work.keep(documents.mapInArrow(_set_rows(shared_counts, like), schema), "sets")
     sets = rows.where("set_id is not null").groupBy("set_id").agg(
-        F.first("n_shingles").alias("size"), F.first("ranges").alias("ranges"), F.min("key").alias("smallest")
+        F.first("n_shingles").alias("size"), F.first("ranges").alias("ranges"), F.first("parity").alias("parity"), F.min("key").alias("smallest")
     )
     sets = work.keep(sets, "distinct-sets")
 
@@ -447,20 +494,30 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
     led = shared.where("set_id <> leader").withColumnsRenamed(
         {"leader": "other", "leader_size": "other_size", "leader_pos": "other_pos"}
     )
-    first = work.keep(_filtered(_passing(led, like), sets, like), "pairs-1")
-    links = work.keep(_verified(first, documents, like, work), "links-1")
-    roots = components(links, work, "round-1")
-
-    member = shared.select("token", "set_id", "size", "pos").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-    member = work.keep(member.withColumn("root", F.coalesce("root", "set_id")), "members")
-    mixed = member.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    apart = member.join(mixed, "token")
-    other = apart.select("token", *[F.col(c).alias(n) for c, n in (("set_id", "other"), ("size", "other_size"), ("pos", "other_pos"), ("root", "other_root"))])
-    across = apart.join(other, "token").where("root <> other_root and set_id < other")
-    rest = _passing(across, like).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = work.keep(_filtered(rest, sets, like), "pairs-2")
-    more = work.keep(_verified(second, documents, like, work), "links-2")
-    roots = components(links.unionAll(more), work, "round-2")
+    tested = work.keep(_filtered(_passing(led, like), sets, like), "pairs-0")
+    links = work.keep(_verified(tested, documents, like, work), "links-0")
+    roots = components(links, work, "round-0")
+
+    for i in range(1, LEADER_ROUNDS + 2):
+        last = i > LEADER_ROUNDS
+        member = shared.select("token", "set_id", "size", "pos").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
+        member = work.keep(member.withColumn("root", F.coalesce("root", "set_id")), f"members-{i}")
+        draws = [F.min(F.struct(F.xxhash64("set_id", F.lit(i), F.lit(k)), "set_id", "size", "pos", "root")) for k in range(LEADERS)]
+        mixed = member.groupBy("token").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("set_id").alias("members"), F.array_distinct(F.array(*draws)).alias("leads")
+        ).where("lo < hi")
+        if last:
+            near = _across(member.join(mixed.select("token", "members"), "token"), sets, like, work)
+        else:
+            leads = mixed.select("token", F.explode("leads").alias("lead")).select("token", *_other("lead.{}"))
+            near = member.join(leads, "token").where("root <> other_root")
+        pairs = _passing(near, like).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = work.keep(_filtered(pairs, sets, like), f"pairs-{i}")
+        if pairs.isEmpty():
+            continue
+        more = work.keep(_verified(pairs, documents, like, work), f"links-{i}")
+        tested, links = tested.unionAll(pairs), links.unionAll(more)
+        roots = components(links, work, f"round-{i}")
 
     named = sets.select("set_id", "smallest").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
