@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailstrata.functions import cleaning as clean
+from retailstrata.operators import quality
 from retailstrata.operators.rows import dedup
-from retailstrata.plans import gold, silver
-from retailstrata.registry import frames
+from retailstrata.plans import gold, insights, pipeline, silver
+from retailstrata.registry import frames, queries
+from retailstrata.sources.extracts import promote_header
 
 
 def session(name: str, cpus: int) -> SparkSession:
@@ -42,9 +44,10 @@ def session(name: str, cpus: int) -> SparkSession:
     return spark
 
 
-def run(df: DataFrame) -> float:
+def run(build: Callable[[], DataFrame]) -> float:
+    """Seconds to build the plan, with any job that takes, and to run it."""
     start = time.perf_counter()
-    df.write.format("noop").mode("overwrite").save()
+    build().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 
@@ -69,6 +72,12 @@ def joined_kpis(orders: DataFrame, returns: DataFrame, inventory: DataFrame) ->
     )
 
 
+def layered(spark: SparkSession, folder: str, paths: list[str]) -> DataFrame:
+    """All layers from extract files, in one database that every run overwrites."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bench LOCATION '{folder}/bench'")
+    return pipeline.run_all(spark, *paths, layers=pipeline.Layers(database="bench", order_buckets=8))
+
+
 def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
     cores = spark.sparkContext.defaultParallelism
     orders, returns, inventory = (
@@ -84,6 +93,8 @@ def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
         )
     ]
     named = silver.rename_orders(orders)
+    headed = f"{folder}/headed_returns"
+    queries.with_header_row(returns).write.parquet(headed)
     timed: dict[str, Callable[[], DataFrame]] = {
         "silver_orders": lambda: silver.silver_orders(orders),
         "silver_returns": lambda: silver.silver_returns(returns),
@@ -97,6 +108,13 @@ def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
         "gold_product_kpis": lambda: gold.gold_product_kpis(*silver_tables),
         "gold_kpi_by_product_month": lambda: gold.gold_kpi_by_product_month(*silver_tables),
         "gold_kpi_no_fanout": lambda: gold.gold_kpi_no_fanout(*silver_tables),
+        "check_returns": lambda: quality.violations(
+            quality.with_order_date(silver_tables[1], silver_tables[0]), quality.return_checks(queries.CHECK_DATE)
+        ),
+        "customer_value": lambda: insights.customer_value(*silver_tables[:2]),
+        "product_month_trend": lambda: insights.product_month_trend(silver_tables[0]),
+        "promote_header": lambda: promote_header(spark, headed),
+        "layered_pipeline": lambda: layered(spark, folder, [f"{folder}/raw_orders", headed, f"{folder}/raw_inventory"]),
         "raw_to_gold": lambda: gold.gold_product_kpis(
             silver.silver_orders(orders), silver.silver_returns(returns), silver.silver_inventory(inventory)
         ),
@@ -118,8 +136,8 @@ def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
 def measure(timed: dict, runs: int) -> tuple[dict, dict]:
     cold, warm = {}, {}
     for name, build in timed.items():
-        cold[name] = round(run(build()), 3)
-        warm[name] = round(min(run(build()) for _ in range(runs)), 3)
+        cold[name] = round(run(build), 3)
+        warm[name] = round(min(run(build) for _ in range(runs)), 3)
     return cold, warm
 
 

@@ -94,14 +94,15 @@ def clean_order_date(c: Column) -> Column:
     the day- or month-first layouts from the year-first ones.
     """
     third = F.substring(c, 3, 1)
-    return (
-        F.when(third == "-", F.coalesce(F.try_to_date(c, "dd-MM-yyyy"), F.try_to_date(c, "MM-dd-yyyy")))
-        .when(third == "/", F.try_to_date(c, "dd/MM/yyyy"))
-        .when(third == ".", F.try_to_date(c, "dd.MM.yyyy"))
-        .when(c.contains("/"), F.try_to_date(c, "yyyy/MM/dd"))
-        .when(c.contains("."), F.try_to_date(c, "yyyy.MM.dd"))
-        .when(c.contains(" "), F.try_to_date(c, "MMMM dd yyyy"))
-    )
+    layouts: dict[tuple[bool, str], list[str]] = {}
+    for layout in ORDER_DATE_FORMATS:
+        separator = next(x for x in layout if not x.isalpha())
+        layouts.setdefault((layout[2] == separator, separator), []).append(layout)
+    cases = [
+        (third == separator if in_third else c.contains(separator), F.coalesce(*[F.try_to_date(c, x) for x in own]))
+        for (in_third, separator), own in sorted(layouts.items(), key=lambda item: not item[0][0])
+    ]
+    return _first_match(cases, F.lit(None).cast("date"))
 
 
 def clean_amount(c: Column) -> Column:

@@ -1,9 +1,11 @@
-"""Left outer joins that stay balanced when one key holds a large share of the rows.
+"""Left outer joins that stay balanced when one key holds a large share of the rows on either side.
 
-Spark splits an oversized partition on the preserved (left) side of a left outer join, but never on
-the right side. So when a few right-hand keys are hot, their rows are joined apart: each hot key is
-known to occur on the right, which makes an inner join exact there, and inner joins may be split on
-both sides (or broadcast the other side when it turns out small). Nothing is dropped or sampled.
+Spark may split an oversized partition on both sides of an inner join, but never the right side of a left
+outer one. So the right side is completed first: each left key that it lacks gets one row of nulls, found by
+joining the distinct keys of both sides. After that an inner join gives the rows of the outer one. Left rows
+with a null key match nothing and are added as they are.
+
+Both inputs are read a second time for their keys alone, so they should be stored tables.
 """
 
 from __future__ import annotations
@@ -15,50 +17,21 @@ from pyspark.sql import functions as F
 
 from .rows import quoted
 
-# A key is hot above both limits, so there are never more than 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.001
-HOT_MIN_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list:
-    """Key values that hold more than ``share`` of the rows and more than ``min_rows`` rows.
-
-    At most ``1 / share`` values can qualify, which bounds what reaches the driver.
-    """
-    total = df.count()
-    if total <= min_rows:
-        return []
-    k = F.col(quoted(key))
-    counts = df.where(k.isNotNull()).groupBy(k.alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    return [r["key"] for r in counts.where(F.col("n") > max(min_rows, total * share)).collect()]
+MATCH = "__match"
 
 
-def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    select: Sequence[Column],
-    *,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, key: str, select: Sequence[Column]) -> DataFrame:
     """``left LEFT JOIN right ON l.key = r.key``, projected to ``select``.
 
     The sides are aliased ``l`` and ``r``; ``select`` names columns as ``F.col("l.x")`` and must give
     unique output names. Null keys never match.
     """
-    return _split_left_join(left, right, key, select, hot_keys(right, key, share, min_rows))
-
-
-def _split_left_join(
-    left: DataFrame, right: DataFrame, key: str, select: Sequence[Column], hot: list
-) -> DataFrame:
-    def join(lhs: DataFrame, rhs: DataFrame, how: str) -> DataFrame:
-        on = F.col(f"l.{quoted(key)}") == F.col(f"r.{quoted(key)}")
-        return lhs.alias("l").join(rhs.alias("r"), on, how).select(*select)
-
-    if not hot:
-        return join(left, right, "left")
-    is_hot = F.coalesce(F.col(quoted(key)).isin(hot), F.lit(False))
-    cold = join(left.where(~is_hot), right.where(~is_hot), "left")
-    return cold.unionByName(join(left.where(is_hot), right.where(is_hot), "inner"))
+    k = F.col(quoted(key))
+    keyed, keyless = left.where(k.isNotNull()), left.where(k.isNull())
+    there = right.where(k.isNotNull())
+    lacking = keyed.select(k.alias(MATCH)).distinct().join(there.select(k.alias(MATCH)).distinct(), MATCH, "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    complete = there.withColumn(MATCH, k).unionByName(lacking.select(*nulls, MATCH))
+    matched = keyed.alias("l").join(complete.alias("r"), F.col(f"l.{quoted(key)}") == F.col(f"r.{MATCH}")).select(*select)
+    alone = keyless.alias("l").join(right.where(F.lit(False)).alias("r"), F.lit(False), "left").select(*select)
+    return matched.unionByName(alone)

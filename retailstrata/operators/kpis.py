@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .money import money
 from .rows import quoted
 
 KPI_COLUMNS = (
@@ -46,7 +47,7 @@ def _order_measures(orders: DataFrame, returns: DataFrame, by: Sequence[str], fa
         F.sum(F.when(F.col("OrderID").isNotNull(), F.col("weight")).otherwise(0)).alias("order_rows"),
         F.count_distinct("CustomerID").alias("customers"),
         F.sum(F.coalesce("return_ids", F.lit(0))).alias("return_ids"),
-        F.sum(F.col("OrderAmount") * F.col("weight")).alias("amount"),
+        money(F.col("OrderAmount") * F.col("weight")).alias("amount"),
         F.sum(F.when(F.col("OrderAmount").isNotNull(), F.col("weight")).otherwise(0)).alias("amount_rows"),
         F.sum("weight").alias("weight"),
     )

@@ -15,8 +15,13 @@ REVIEW_AMOUNT = 1000
 
 
 def with_order_date(returns: DataFrame, orders: DataFrame) -> DataFrame:
-    """Returns with the OrderDate of their order (null without one). Orders are unique by OrderID."""
-    return returns.join(orders.select("OrderID", "OrderDate"), "OrderID", "left")
+    """Returns with the OrderDate of their order (null without one). Orders are unique by OrderID.
+
+    The orders are joined by an expression: read from buckets of OrderID they would not be shuffled, and then
+    the returns of an order with very many of them could not be split either.
+    """
+    dates = orders.select(F.concat("OrderID", F.lit("")).alias("__order"), "OrderDate")
+    return returns.join(dates, returns["OrderID"] == F.col("__order"), "left").drop("__order")
 
 
 def return_checks(today: dt.date) -> dict[str, Column]:
@@ -41,6 +46,11 @@ def outside_list(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFram
     return df.where(~known).groupBy(column).agg(F.count(F.lit(1)).alias("Rows"))
 
 
+def unknown_statuses(returns: DataFrame) -> DataFrame:
+    """How often each refund status occurs that is not expected after cleaning."""
+    return outside_list(returns, "RefundStatus", REFUND_STATUSES)
+
+
 def map_values(c: Column, mapping: Mapping[str, str]) -> Column:
     """Standard form of a value; values without an entry stay."""
     table = F.create_map(*[F.lit(v) for v in chain.from_iterable(mapping.items())])

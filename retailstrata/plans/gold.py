@@ -12,15 +12,15 @@ from ..operators.rows import quoted
 RETURN_DETAILS = ("ReturnID", "ReturnReason", "ReturnDate", "RefundStatus", "PickupAddress", "ReturnAmount", "Product")
 
 
-def orders_left_returns(orders: DataFrame, returns: DataFrame, **skew_limits) -> DataFrame:
+def orders_left_returns(orders: DataFrame, returns: DataFrame) -> DataFrame:
     """Every order once per matching return, or once without one; unambiguous column names."""
     select = [F.col(f"l.{quoted(c)}") for c in orders.columns]
     select += [F.col(f"r.{c}") for c in RETURN_DETAILS]
     select.append(F.col("r.CustomerID").alias("ReturnCustomerID"))
-    return left_join(orders, returns, "OrderID", select, **skew_limits)
+    return left_join(orders, returns, "OrderID", select)
 
 
-def enriched_orders(orders: DataFrame, returns: DataFrame, inventory: DataFrame, **skew_limits) -> DataFrame:
+def enriched_orders(orders: DataFrame, returns: DataFrame, inventory: DataFrame) -> DataFrame:
     """Order x return x inventory rows with the seven columns the KPIs are defined on."""
     returned = left_join(
         orders,
@@ -33,14 +33,12 @@ def enriched_orders(orders: DataFrame, returns: DataFrame, inventory: DataFrame,
             F.col("l.OrderAmount"),
             F.col("r.ReturnID"),
         ],
-        **skew_limits,
     )
     return left_join(
         returned,
         inventory,
         "ProductName",
         [F.col(f"l.{c}") for c in returned.columns] + [F.col("r.Stock"), F.col("r.CostPrice")],
-        **skew_limits,
     )
 
 

@@ -9,23 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _money(column: str):
-    """Exact sum of cents, as double: independent of the order of addition."""
-    return F.sum(F.col(column).try_cast("decimal(28,2)")).cast("double")
+from ..operators.money import money
 
 
 def product_month_trend(orders: DataFrame, months: int = 3) -> DataFrame:
     """Revenue per product and month, its change and its mean over the last ``months`` rows.
 
-    Orders without a readable date have no month and are left out.
+    Orders without a readable date are a row of their own with a null month, change and mean.
     """
-    monthly = (
-        orders.where(F.col("OrderDate").isNotNull())
-        .groupBy("ProductName", F.trunc("OrderDate", "month").alias("Order_Month"))
-        .agg(_money("OrderAmount").alias("Revenue"))
+    monthly = orders.groupBy("ProductName", F.trunc("OrderDate", "month").alias("Order_Month")).agg(
+        money(F.col("OrderAmount")).alias("Revenue")
     )
-    by_month = Window.partitionBy("ProductName").orderBy("Order_Month")
+    dated = F.col("Order_Month").isNotNull()
+    by_month = Window.partitionBy("ProductName", dated).orderBy("Order_Month")
     previous = F.lag("Revenue").over(by_month)
     return monthly.select(
         "ProductName",
@@ -34,7 +30,7 @@ def product_month_trend(orders: DataFrame, months: int = 3) -> DataFrame:
         F.month("Order_Month").alias("Month_Of_Year"),
         "Revenue",
         (F.col("Revenue") - previous).alias("Revenue_Change"),
-        F.round(F.avg("Revenue").over(by_month.rowsBetween(1 - months, 0)), 2).alias("Rolling_Revenue"),
+        F.when(dated, F.round(F.avg("Revenue").over(by_month.rowsBetween(1 - months, 0)), 2)).alias("Rolling_Revenue"),
     )
 
 
@@ -43,7 +39,7 @@ def return_reasons(returns: DataFrame) -> DataFrame:
     totals = returns.groupBy("ReturnReason").agg(
         F.count(F.lit(1)).alias("Returns"),
         F.count("ReturnAmount").alias("Priced_Returns"),
-        _money("ReturnAmount").alias("Returned_Amount"),
+        money(F.col("ReturnAmount")).alias("Returned_Amount"),
     )
     mean = F.try_divide("Returned_Amount", "Priced_Returns")
     return totals.withColumn("Avg_Returned_Amount", F.round(mean, 2))
@@ -51,15 +47,15 @@ def return_reasons(returns: DataFrame) -> DataFrame:
 
 def customer_value(orders: DataFrame, returns: DataFrame) -> DataFrame:
     """Orders, revenue and revenue less returned amounts per customer."""
-    returned = returns.groupBy("OrderID").agg(_money("ReturnAmount").alias("returned"))
+    returned = returns.groupBy("OrderID").agg(money(F.col("ReturnAmount")).alias("returned"))
     return (
         orders.select("OrderID", "CustomerID", "OrderAmount")
         .join(returned, "OrderID", "left")
         .groupBy("CustomerID")
         .agg(
             F.count("OrderID").alias("Orders"),
-            _money("OrderAmount").alias("Revenue"),
-            F.coalesce(_money("returned"), F.lit(0.0)).alias("Returned_Amount"),
+            money(F.col("OrderAmount")).alias("Revenue"),
+            F.coalesce(money(F.col("returned")), F.lit(0.0)).alias("Returned_Amount"),
         )
         .withColumn("Lifetime_Value", F.round(F.col("Revenue") - F.col("Returned_Amount"), 2))
     )

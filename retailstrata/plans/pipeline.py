@@ -1,23 +1,32 @@
 """The whole run: raw files to bronze, silver and gold tables.
 
 Layers hand over through tables, so each one can be rerun alone and an executor loss never reaches
-back further than the last written layer.
+back further than the last written layer. Corrections and checks of the returns and a copy of the orders by
+month are steps to be asked for.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.cleaning import fix_customer_prefix
+from ..operators import quality
+from ..operators.rows import dedup
 from ..sources import schemas
 from ..sources.extracts import promote_header, read_extract
-from ..sources.tables import DEFAULT_FORMAT, read_table, write_table
+from ..sources.tables import DEFAULT_FORMAT, gathered, read_table, replace_partitions, write_table
 from .gold import gold_product_kpis
 from .silver import silver_inventory, silver_orders, silver_returns
 
 GOLD_TABLE = "gold_product_month_kpis"
+CHECKS_TABLE = "returns_checks"
+MONTHLY_TABLE = "silver_orders_by_month"
+MONTH = "Order_Month"
 
 
 @dataclass(frozen=True)
@@ -28,11 +37,20 @@ class Layers:
     bucketed by OrderID: the gold join then shuffles only the per-order counts of returns. OrderIDs are
     unique there, so the buckets are even; returns are not, and stay unbucketed. The number should be
     that of the shuffle partitions of the run, so that each write task fills whole buckets.
+
+    ``fix_prefixes`` puts misspelled customer ids right, ``dedup_returns`` keeps one row per ReturnID, both on
+    the way to silver. ``checked_on`` writes how many returns break which check as of that date.
+    ``orders_by_month`` keeps silver orders also by month (null for undated ones); a later run replaces
+    only the months it brings.
     """
 
     fmt: str = DEFAULT_FORMAT
     database: str | None = None
     order_buckets: int | None = None
+    fix_prefixes: bool = False
+    dedup_returns: bool = False
+    checked_on: dt.date | None = None
+    orders_by_month: bool = False
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}" if self.database else table
@@ -62,9 +80,32 @@ SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def _corrected(df: DataFrame, table: str, layers: Layers) -> DataFrame:
+    if layers.fix_prefixes and "CustomerID" in df.columns:
+        df = df.withColumn("CustomerID", fix_customer_prefix(F.col("CustomerID")))
+    return dedup(df, ["ReturnID"]) if layers.dedup_returns and table == "returns" else df
+
+
 def run_silver(spark: SparkSession, layers: Layers = Layers()) -> None:
     for table, clean in SILVER.items():
-        layers.write(clean(layers.read(spark, f"bronze_{table}")), f"silver_{table}")
+        df = _corrected(clean(layers.read(spark, f"bronze_{table}")), table, layers)
+        layers.write(df, f"silver_{table}")
+
+
+def run_checks(spark: SparkSession, layers: Layers) -> None:
+    """Count the returns that break a check; ``layers.checked_on`` is the day they are judged from."""
+    dated = quality.with_order_date(layers.read(spark, "silver_returns"), layers.read(spark, "silver_orders"))
+    layers.write(quality.violations(dated, quality.return_checks(layers.checked_on)), CHECKS_TABLE)
+
+
+def run_monthly(spark: SparkSession, layers: Layers) -> None:
+    """Store silver orders by month, or replace the months that these orders have."""
+    orders = layers.read(spark, "silver_orders").withColumn(MONTH, F.trunc("OrderDate", "month"))
+    rows, name = gathered(orders, [MONTH], ["ProductName"]), layers.name(MONTHLY_TABLE)
+    if spark.catalog.tableExists(name):
+        replace_partitions(rows, name)
+    else:
+        write_table(rows, name, layers.fmt, partition_by=[MONTH])
 
 
 def run_gold(spark: SparkSession, layers: Layers = Layers()) -> None:
@@ -78,5 +119,9 @@ def run_all(
     """Run the three layers and return the gold table."""
     run_bronze(spark, orders_path, returns_path, inventory_path, layers)
     run_silver(spark, layers)
+    if layers.checked_on is not None:
+        run_checks(spark, layers)
+    if layers.orders_by_month:
+        run_monthly(spark, layers)
     run_gold(spark, layers)
     return layers.read(spark, GOLD_TABLE)

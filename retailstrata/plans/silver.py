@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as clean
 from ..operators.rows import dedup, drop_missing, fill_nulls
+from ..sources.schemas import RAW_INVENTORY, RAW_ORDERS, RAW_RETURNS, as_declared
 
 # Raw column names and the names the cleaned tables use for them.
 ORDER_NAMES = {
@@ -77,15 +78,15 @@ def apply_rules(df: DataFrame, rules: dict) -> DataFrame:
 
 
 def rename_orders(raw: DataFrame) -> DataFrame:
-    return raw.withColumnsRenamed(ORDER_NAMES)
+    return as_declared(raw, RAW_ORDERS).withColumnsRenamed(ORDER_NAMES)
 
 
 def rename_inventory(raw: DataFrame) -> DataFrame:
-    return raw.withColumnsRenamed(INVENTORY_NAMES)
+    return as_declared(raw, RAW_INVENTORY).withColumnsRenamed(INVENTORY_NAMES)
 
 
 def rename_returns(raw: DataFrame) -> DataFrame:
-    return raw.withColumnsRenamed(RETURN_NAMES)
+    return as_declared(raw, RAW_RETURNS).withColumnsRenamed(RETURN_NAMES)
 
 
 def cleaned_orders(raw: DataFrame) -> DataFrame:

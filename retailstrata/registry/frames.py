@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 RAW_ORDERS = """
-SELECT 'ORD_' || cast(l_orderkey AS string) || '_' || cast(l_linenumber AS string) AS `Order_ID`,
+SELECT CASE WHEN l_suppkey % 97 = 0 AND l_linenumber > 1 THEN NULL
+    ELSE 'ORD_' || cast(l_orderkey AS string) || '_' || cast(l_linenumber AS string) END AS `Order_ID`,
   CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE 'CUST' || cast(o_custkey AS string) END AS `cust_id`,
-  CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE p_name || ' ' || cast(p_partkey AS string) END AS `Product_Name`,
+  CASE WHEN l_partkey % 101 = 0 THEN NULL WHEN l_partkey % 3 = 1 THEN 'hot product'
+    ELSE p_name || ' ' || cast(p_partkey AS string) END AS `Product_Name`,
   CASE WHEN l_quantity = 1 THEN 'one' WHEN l_quantity = 2 THEN 'Two' WHEN l_quantity = 3 THEN 'three'
        WHEN l_suppkey % 13 = 0 THEN 'n/a' WHEN l_suppkey % 17 = 0 THEN NULL
        ELSE cast(cast(l_quantity AS int) AS string) END AS `Qty`,
@@ -42,8 +44,10 @@ FROM (SELECT *, cast(year(o_orderdate) AS string) AS yy, lpad(cast(month(o_order
 """
 
 RAW_RETURNS = """
-SELECT 'RET-' || cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) || '-' || cast(l_partkey AS string) AS `Return_ID`,
-  'ORD_' || cast(l_orderkey AS string) || '_' || cast(l_linenumber AS string) AS `Order_ID`,
+SELECT CASE WHEN l_suppkey % 83 = 0 THEN NULL WHEN l_linenumber IN (3, 4) THEN 'RET-' || cast(l_orderkey AS string) || '-3'
+    ELSE 'RET-' || cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) || '-' || cast(l_partkey AS string) END AS `Return_ID`,
+  CASE WHEN l_suppkey % 3 = 1 THEN 'ORD_1_1' WHEN l_suppkey % 89 = 0 THEN NULL
+    ELSE 'ORD_' || cast(l_orderkey AS string) || '_' || cast(l_linenumber AS string) END AS `Order_ID`,
   '  cust' || cast(l_suppkey AS string) || ' ' AS `Customer_ID`,
   CASE l_suppkey % 3 WHEN 0 THEN 'Damaged' WHEN 1 THEN 'User Changed Mind' ELSE 'Late' END AS `Return_Reason`,
   CASE l_suppkey % 4 WHEN 0 THEN dd || '/' || mm || '/' || yy WHEN 1 THEN dd || '.' || mm || '.' || yy
@@ -55,11 +59,11 @@ SELECT 'RET-' || cast(l_orderkey AS string) || '-' || cast(l_linenumber AS strin
   '  PRODUCT#NAME-v' || cast(l_partkey AS string) || '  ' AS `Product`
 FROM (SELECT *, cast(year(l_shipdate) AS string) AS yy, lpad(cast(month(l_shipdate) AS string), 2, '0') AS mm,
         lpad(cast(day(l_shipdate) AS string), 2, '0') AS dd, cast(cast(floor(l_extendedprice) AS bigint) AS string) AS amt
-      FROM {lineitem} WHERE l_returnflag = 'R' AND l_linenumber <= 2) t
+      FROM {lineitem} WHERE l_returnflag = 'R') t
 """
 
 RAW_INVENTORY = """
-SELECT p_name || ' ' || cast(p_partkey AS string) AS `productName`,
+SELECT CASE WHEN p_partkey <= 3 THEN 'hot product' ELSE p_name || ' ' || cast(p_partkey AS string) END AS `productName`,
   CASE p_partkey % 5 WHEN 0 THEN '$' || px || '.50' WHEN 1 THEN '₹' || px WHEN 2 THEN 'Rs. ' || px || '.25'
     WHEN 3 THEN px || ' USD' ELSE 'n/a' END AS `cost_price`,
   CASE p_size % 4 WHEN 0 THEN '2025/03/11' WHEN 1 THEN '2025.03.12' WHEN 2 THEN '2025-03-13' ELSE '2025-02-30' END AS `last_stocked`,
@@ -75,23 +79,18 @@ FROM (SELECT *, cast(cast(floor(p_retailprice) AS bigint) AS string) AS px
 BASE_TABLES = ("lineitem", "orders", "part")
 
 
-def _derive(spark: SparkSession, sf_dir: str, text: str, key: str) -> DataFrame:
+def _derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if "{" + t + "}" in text}
-    extract = spark.sql(text, **tables)
-    # A lone small file is read by one task, which would then derive and clean everything. Input of at
-    # least one split per core, as any large table has, is left where it was read.
-    cores = spark.sparkContext.defaultParallelism
-    splits = next(iter(tables.values())).rdd.getNumPartitions()
-    return extract if splits >= cores else extract.repartition(cores, key)
+    return spark.sql(text, **tables)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, RAW_ORDERS, "Order_ID")
+    return _derive(spark, sf_dir, RAW_ORDERS)
 
 
 def raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, RAW_RETURNS, "Return_ID")
+    return _derive(spark, sf_dir, RAW_RETURNS)
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, RAW_INVENTORY, "productName")
+    return _derive(spark, sf_dir, RAW_INVENTORY)

@@ -152,26 +152,26 @@ RULES = {
     "clean_amount": ("raw_orders", "Order_ID", "Order_Amount$", AMOUNT, "OrderAmount"),
     "clean_payment_mode": ("raw_orders", "Order_ID", "Payment_Mode", PAYMENT, "PaymentMode"),
     "clean_delivery_status": ("raw_orders", "Order_ID", "Delivery_Status", DELIVERY, "DeliveryStatus"),
-    "validate_email": ("raw_orders", "Order_ID", "Email", EMAIL, "ValidEmail"),
+    "validate_email": ("raw_orders", "Order_ID", "Email", EMAIL, "Email"),
     "clean_ship_address": ("raw_orders", "Order_ID", "Ship_Address", ADDRESS, "ShipAddress"),
     "clean_feedback": ("raw_orders", "Order_ID", "Feedback_Score", FEEDBACK, "FeedbackScore"),
-    "clean_stock": ("raw_inventory", "productName", "stock", STOCK, "StockCount"),
+    "clean_stock": ("raw_inventory", "productName", "stock", STOCK, "Stock"),
     "clean_last_stocked": ("raw_inventory", "productName", "last_stocked", STOCKED, "LastStocked"),
     "clean_cost_price": ("raw_inventory", "productName", "cost_price", COST, "CostPrice"),
-    "clean_warehouse": ("raw_inventory", "productName", "warehouse", WAREHOUSE, "WarehouseName"),
-    "clean_available": ("raw_inventory", "productName", "available", AVAILABLE, "IsAvailable"),
+    "clean_warehouse": ("raw_inventory", "productName", "warehouse", WAREHOUSE, "Warehouse"),
+    "clean_available": ("raw_inventory", "productName", "available", AVAILABLE, "Available"),
     "clean_return_date": ("raw_returns", "Return_ID", "Return_Date", RETURN_DATE, "ReturnDate"),
     "clean_refund_status": ("raw_returns", "Return_ID", "Refund_Status", REFUND, "RefundStatus"),
     "clean_return_amount": ("raw_returns", "Return_ID", "Return_Amount", RETURN_AMOUNT, "ReturnAmount"),
     "clean_pickup_address": ("raw_returns", "Return_ID", "Pickup_Address", PICKUP, "PickupAddress"),
-    "clean_product": ("raw_returns", "Return_ID", "Product", PRODUCT, "ProductName"),
+    "clean_product": ("raw_returns", "Return_ID", "Product", PRODUCT, "Product"),
     "clean_customer_id": ("raw_returns", "Return_ID", "Customer_ID", CUSTOMER, "CustomerID"),
     "clean_amount_documented": ("raw_orders", "Order_ID", "Order_Amount$", AMOUNT_DOCUMENTED, "OrderAmount"),
     "clean_delivery_status_documented": (
         "raw_orders", "Order_ID", "Delivery_Status", DELIVERY_DOCUMENTED, "DeliveryStatus",
     ),
-    "clean_product_documented": ("raw_returns", "Return_ID", "Product", PRODUCT_DOCUMENTED, "ProductName"),
-    "clean_stock_documented": ("raw_inventory", "productName", "stock", STOCK_DOCUMENTED, "StockCount"),
+    "clean_product_documented": ("raw_returns", "Return_ID", "Product", PRODUCT_DOCUMENTED, "Product"),
+    "clean_stock_documented": ("raw_inventory", "productName", "stock", STOCK_DOCUMENTED, "Stock"),
 }
 
 NO_FANOUT = """SELECT o."ProductName", o.n AS "Total_Orders", o.customers AS "Unique_Customers",
@@ -198,19 +198,23 @@ BY_MONTH = (
 
 
 def _money(c: str) -> str:
-    return f"cast(sum(cast({c} AS DECIMAL(28, 2))) AS DOUBLE)"
+    return f"cast(sum(cast({c} AS DECIMAL(38, 10))) AS DOUBLE)"
 
 
 DATED_RETURNS = """SELECT r.*, o."OrderDate" FROM silver_returns r LEFT JOIN silver_orders o ON r."OrderID" = o."OrderID\""""
 
+CHECKS = """SELECT count(*) AS "Rows", count(*) FILTER ("ReturnAmount" <= 0) AS "AmountPositive",
+  count(*) FILTER ("ReturnDate" > DATE '1999-12-31') AS "DateNotInFuture",
+  count(*) FILTER ("ReturnDate" <= "OrderDate") AS "DateAfterOrder" FROM dated"""
+
 TREND = f"""SELECT "ProductName", "Order_Month", cast(year("Order_Month") AS INTEGER) AS "Order_Year",
   cast(month("Order_Month") AS INTEGER) AS "Month_Of_Year",
   "Revenue", "Revenue" - lag("Revenue") OVER w AS "Revenue_Change",
-  {_round2('avg("Revenue") OVER (PARTITION BY "ProductName" ORDER BY "Order_Month" ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)')}
-    AS "Rolling_Revenue"
+  CASE WHEN "Order_Month" IS NOT NULL THEN {_round2('avg("Revenue") OVER (PARTITION BY "ProductName", "Order_Month" IS NOT NULL ORDER BY "Order_Month" ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)')}
+    END AS "Rolling_Revenue"
 FROM (SELECT "ProductName", cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month", {_money('"OrderAmount"')} AS "Revenue"
-  FROM silver_orders WHERE "OrderDate" IS NOT NULL GROUP BY ALL)
-WINDOW w AS (PARTITION BY "ProductName" ORDER BY "Order_Month")"""
+  FROM silver_orders GROUP BY ALL)
+WINDOW w AS (PARTITION BY "ProductName", "Order_Month" IS NOT NULL ORDER BY "Order_Month")"""
 
 REASONS = f"""SELECT *, {_round2('"Returned_Amount" / nullif("Priced_Returns", 0)')} AS "Avg_Returned_Amount"
 FROM (SELECT "ReturnReason", count(*) AS "Returns", count("ReturnAmount") AS "Priced_Returns",
@@ -248,6 +252,22 @@ def all_oracles() -> dict[str, str]:
         "promote_header": with_ctes("SELECT * FROM raw_returns", "raw_returns"),
         "table_roundtrip": with_ctes("SELECT * FROM silver_returns", "silver_returns"),
         "layered_pipeline": kpis(),
+        "bucketed_pipeline": kpis(),
+        "checked_pipeline": with_ctes(
+            CHECKS.replace("dated", "deduped"), "silver_orders", "silver_returns",
+            one=DEDUP_RETURNS, deduped=DATED_RETURNS.replace("silver_returns", "one"),
+        ),
+        "typed_extracts": with_ctes(
+            f"""SELECT "ProductName", try_cast(nullif(regexp_extract("cost_price", '[0-9.]+'), '') AS DOUBLE) AS "CostPrice", {STOCKED} AS "LastStocked",
+  try_cast("stock" AS INTEGER) AS "Stock", {WAREHOUSE} AS "Warehouse", {AVAILABLE} AS "Available"
+FROM (SELECT * EXCLUDE ("productName"), "productName" AS "ProductName" FROM raw_inventory)""",
+            "raw_inventory",
+        ),
+        "unknown_statuses": with_ctes(
+            """SELECT "RefundStatus", count(*) AS "Rows" FROM silver_returns WHERE "RefundStatus" IS NULL OR "RefundStatus" NOT IN
+  ('pending', 'inprogress', 'completed', 'rejected', 'cancelled', 'initiated') GROUP BY "RefundStatus\"""",
+            "silver_returns",
+        ),
         "preview_limit": with_ctes(
             'SELECT * FROM silver_inventory ORDER BY "ProductName" NULLS FIRST, "Warehouse" NULLS FIRST LIMIT 5',
             "silver_inventory",
@@ -297,9 +317,7 @@ LEFT JOIN silver_inventory i ON o."ProductName" = i."ProductName\"""",
         "gold_product_kpis": kpis(),
         "gold_kpi_by_product_month": with_ctes(BY_MONTH, "enriched"),
         "check_returns": with_ctes(
-            """SELECT count(*) AS "Rows", count(*) FILTER ("ReturnAmount" <= 0) AS "AmountPositive",
-  count(*) FILTER ("ReturnDate" > DATE '1999-12-31') AS "DateNotInFuture",
-  count(*) FILTER ("ReturnDate" <= "OrderDate") AS "DateAfterOrder" FROM dated""",
+            CHECKS,
             "silver_orders", "silver_returns", dated=DATED_RETURNS,
         ),
         "unknown_return_reasons": with_ctes(
@@ -325,7 +343,7 @@ WHERE "ReturnReason" IS NULL OR "ReturnReason" NOT IN ('Damaged', 'Late') GROUP
         "inventory_turnover": with_ctes(TURNOVER, "silver_orders", "silver_inventory"),
         "partitioned_table": with_ctes(
             """SELECT "OrderID", "ProductName", "OrderDate", "OrderAmount",
-  cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month" FROM silver_orders WHERE "OrderDate" IS NOT NULL""",
+  cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month" FROM silver_orders""",
             "silver_orders",
         ),
         "gold_kpi_no_fanout": with_ctes(NO_FANOUT, "silver_orders", "silver_returns", "silver_inventory"),

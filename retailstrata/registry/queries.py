@@ -70,11 +70,13 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _new_folder(spark)
     name = f"silver_returns_{path[-8:]}"
     tables.write_table(_returns(spark, sf_dir), name, path=path)
-    return tables.read_table(spark, name)
+    table = tables.read_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame knows them
+    return table
 
 
-def layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Extract files to bronze, silver and gold tables, in a database of its own."""
+def _layered(spark: SparkSession, sf_dir: str, table: str, **steps) -> DataFrame:
+    """Extract files to bronze, silver and gold tables, in a database that is dropped after ``table`` was copied."""
     folder = _new_folder(spark)
     database = f"retail_{folder[-8:]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
@@ -85,9 +87,41 @@ def layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     for name, df in extracts.items():
         df.write.parquet(f"{folder}/{name}")
-    return pipeline.run_all(
-        spark, *[f"{folder}/{name}" for name in extracts], layers=pipeline.Layers(database=database)
-    )
+    layers = pipeline.Layers(database=database, **steps)
+    pipeline.run_all(spark, *[f"{folder}/{name}" for name in extracts], layers=layers)
+    layers.read(spark, table).write.parquet(f"{folder}/result")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.parquet(f"{folder}/result")
+
+
+def layered_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layered(spark, sf_dir, pipeline.GOLD_TABLE)
+
+
+def bucketed_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold table over silver orders stored in buckets."""
+    return _layered(spark, sf_dir, pipeline.GOLD_TABLE, order_buckets=8)
+
+
+def checked_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The returns checks of a run with every step that can be asked for."""
+    return _layered(
+        spark, sf_dir, pipeline.CHECKS_TABLE,
+        order_buckets=8, fix_prefixes=True, dedup_returns=True, checked_on=CHECK_DATE, orders_by_month=True,
+    )
+
+
+def typed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver inventory of an extract file with numbers in numeric columns."""
+    path = _new_folder(spark)
+    raw = raw_inventory(spark, sf_dir)
+    numbers = {"stock": F.col("stock").try_cast("int"), "cost_price": F.regexp_extract("cost_price", "[0-9.]+", 0).try_cast("double")}
+    raw.withColumns(numbers).write.parquet(path)
+    return silver.silver_inventory(read_extract(spark, path, schemas.RAW_INVENTORY))
+
+
+def unknown_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.unknown_statuses(_returns(spark, sf_dir))
 
 
 # --- cleaning rules -------------------------------------------------------------------------------
@@ -109,16 +143,16 @@ RULES: dict[str, Query] = {
     "clean_delivery_status": _rule(
         raw_orders, "Order_ID", "Delivery_Status", clean.clean_delivery_status, "DeliveryStatus"
     ),
-    "validate_email": _rule(raw_orders, "Order_ID", "Email", clean.valid_email, "ValidEmail"),
+    "validate_email": _rule(raw_orders, "Order_ID", "Email", clean.valid_email, "Email"),
     "clean_ship_address": _rule(raw_orders, "Order_ID", "Ship_Address", clean.clean_ship_address, "ShipAddress"),
     "clean_feedback": _rule(raw_orders, "Order_ID", "Feedback_Score", clean.clean_feedback_score, "FeedbackScore"),
-    "clean_stock": _rule(raw_inventory, "productName", "stock", clean.clean_stock, "StockCount"),
+    "clean_stock": _rule(raw_inventory, "productName", "stock", clean.clean_stock, "Stock"),
     "clean_last_stocked": _rule(
         raw_inventory, "productName", "last_stocked", clean.clean_last_stocked, "LastStocked"
     ),
     "clean_cost_price": _rule(raw_inventory, "productName", "cost_price", clean.clean_cost_price, "CostPrice"),
-    "clean_warehouse": _rule(raw_inventory, "productName", "warehouse", clean.clean_warehouse, "WarehouseName"),
-    "clean_available": _rule(raw_inventory, "productName", "available", clean.clean_available, "IsAvailable"),
+    "clean_warehouse": _rule(raw_inventory, "productName", "warehouse", clean.clean_warehouse, "Warehouse"),
+    "clean_available": _rule(raw_inventory, "productName", "available", clean.clean_available, "Available"),
     "clean_return_date": _rule(raw_returns, "Return_ID", "Return_Date", clean.clean_return_date, "ReturnDate"),
     "clean_refund_status": _rule(
         raw_returns, "Return_ID", "Refund_Status", clean.clean_refund_status, "RefundStatus"
@@ -129,7 +163,7 @@ RULES: dict[str, Query] = {
     "clean_pickup_address": _rule(
         raw_returns, "Return_ID", "Pickup_Address", clean.clean_pickup_address, "PickupAddress"
     ),
-    "clean_product": _rule(raw_returns, "Return_ID", "Product", clean.clean_product, "ProductName"),
+    "clean_product": _rule(raw_returns, "Return_ID", "Product", clean.clean_product, "Product"),
     "clean_customer_id": _rule(raw_returns, "Return_ID", "Customer_ID", clean.clean_customer_id, "CustomerID"),
     "clean_amount_documented": _rule(
         raw_orders, "Order_ID", "Order_Amount$", clean.clean_amount_documented, "OrderAmount"
@@ -138,10 +172,10 @@ RULES: dict[str, Query] = {
         raw_orders, "Order_ID", "Delivery_Status", clean.clean_delivery_status_documented, "DeliveryStatus"
     ),
     "clean_product_documented": _rule(
-        raw_returns, "Return_ID", "Product", clean.clean_product_documented, "ProductName"
+        raw_returns, "Return_ID", "Product", clean.clean_product_documented, "Product"
     ),
     "clean_stock_documented": _rule(
-        raw_inventory, "productName", "stock", clean.clean_stock_documented, "StockCount"
+        raw_inventory, "productName", "stock", clean.clean_stock_documented, "Stock"
     ),
 }
 
@@ -227,7 +261,7 @@ def map_refund_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fix_customer_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer ids of the returns, two of three with a misspelled prefix, put right again."""
-    number = F.substring("CustomerID", 5, 20)
+    number = F.substr("CustomerID", F.lit(5))
     prefix = F.element_at(F.array(F.lit("CUST"), F.lit("CST"), F.lit("CT")), number.cast("int") % 3 + 1)
     misspelled = _returns(spark, sf_dir).select("ReturnID", F.concat(prefix, number).alias("raw_value"))
     return misspelled.withColumn("CustomerID", clean.fix_customer_prefix(F.col("raw_value")))
@@ -263,20 +297,19 @@ def inventory_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by month; the months of 1995 are written without amounts first, then replaced alone."""
+    """Orders by month, undated ones too; the months of 1995 are written without amounts first, then replaced alone."""
     path = _new_folder(spark)
     name = f"orders_by_month_{path[-8:]}"
-    monthly = rows.drop_missing(_orders(spark, sf_dir), ["OrderDate"]).withColumn(
-        "Order_Month", F.trunc("OrderDate", "month")
-    )
-    in_1995 = F.year("OrderDate") == 1995
+    monthly = _orders(spark, sf_dir).withColumn("Order_Month", F.trunc("OrderDate", "month"))
+    in_1995 = F.coalesce(F.year("OrderDate") == 1995, F.lit(False))
     blank = F.when(~in_1995, F.col("OrderAmount"))
     by = ["Order_Month"]
     tables.write_table(
         tables.gathered(monthly.withColumn("OrderAmount", blank), by, ["ProductName"]), name, path=path, partition_by=by
     )
     tables.replace_partitions(tables.gathered(monthly.where(in_1995), by, ["ProductName"]), name)
-    return tables.read_table(spark, name).select("OrderID", "ProductName", "OrderDate", "OrderAmount", "Order_Month")
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return spark.read.parquet(path).select("OrderID", "ProductName", "OrderDate", "OrderAmount", "Order_Month")
 
 
 def all_queries() -> dict[str, Query]:
@@ -305,6 +338,10 @@ def all_queries() -> dict[str, Query]:
         "gold_kpi_by_product_month": _gold(gold.gold_kpi_by_product_month),
         "gold_kpi_no_fanout": _gold(gold.gold_kpi_no_fanout),
         "layered_pipeline": layered_pipeline,
+        "bucketed_pipeline": bucketed_pipeline,
+        "checked_pipeline": checked_pipeline,
+        "typed_extracts": typed_extracts,
+        "unknown_statuses": unknown_statuses,
         "check_returns": check_returns,
         "unknown_return_reasons": unknown_return_reasons,
         "map_refund_status": map_refund_status,

@@ -22,17 +22,20 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType | None = N
 def promote_header(spark: SparkSession, path: str) -> DataFrame:
     """Scan Parquet files whose very first row holds the column names.
 
-    The header is row 0 of the lexically first file; other files' first rows are data. It is found
-    and left out by file and row position, which the scan itself provides, so the rest stays an
+    The header is row 0 of the lexically first file with rows; other files' first rows are data. It is
+    found and left out by file and row position, which the scan itself provides, so the rest stays an
     ordinary distributed scan in the declared types.
     """
     scan = spark.read.parquet(path)
-    # Reads no column; the file list of a large extract never comes to the driver.
-    first_file = scan.agg(F.min("_metadata.file_path")).head()[0]
-    is_header = (F.col("_metadata.file_path") == first_file) & (F.col("_metadata.row_index") == 0)
-    # The filter on the file path prunes this scan to that one file.
-    header = None if first_file is None else scan.where(is_header).head()
-    if header is None:
-        raise ValueError(f"no header row in {path}")
+    # A listing: no file is opened, and only one name comes to the driver.
+    names_only = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    first_file, header = "", None
+    while header is None:
+        first_file = names_only.where(F.col("file") > first_file).agg(F.min("file")).head()[0]
+        if first_file is None:
+            raise ValueError(f"no header row in {path}")
+        is_header = (F.col("_metadata.file_path") == first_file) & (F.col("_metadata.row_index") == 0)
+        # The filter on the file path prunes this scan to that one file.
+        header = scan.where(is_header).head()
     names = [str(value).strip() for value in header]
     return scan.where(~is_header).toDF(*names)

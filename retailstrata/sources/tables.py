@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,17 +44,26 @@ def gathered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[st
 
 
 def replace_partitions(df: DataFrame, name: str) -> None:
-    """Replace only the partitions of the table that occur in ``df``."""
+    """Replace only the partitions of the table that occur in ``df``.
+
+    An insert into a table heeds the session's setting only (the writer option of that name is for paths). It is
+    set in a session of its own with the same settings otherwise, so that other writes of this one are untouched.
+    """
     spark = df.sparkSession
     rows = df.select(*[df[f"`{c}`"] for c in spark.table(name).columns])
-    # An insert into a table heeds the session's setting only; the writer option of that name is for paths.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    database, _, table = name.rpartition(".")
+    child, view = spark.newSession(), f"replacing_{uuid4().hex}"
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    child.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows.createGlobalTempView(view)
     try:
-        rows.write.mode("overwrite").insertInto(name)
+        whole = f"{database or spark.catalog.currentDatabase()}.{table}"
+        child.table(f"global_temp.{view}").write.mode("overwrite").insertInto(whole)
     finally:
-        spark.conf.set(key, before)
+        spark.catalog.dropGlobalTempView(view)
+        spark.catalog.refreshTable(name)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -126,21 +126,36 @@ def test_kpi_plan_never_joins_order_rows_with_inventory_rows(spark):
 
 
 @pytest.mark.parametrize("hot", [False, True])
-@pytest.mark.parametrize("limits", [{}, {"share": 0.05, "min_rows": 5}])
-def test_joined_rows_are_whole_whether_or_not_keys_are_split_off(spark, hot, limits):
+def test_joined_rows_are_whole(spark, hot):
     tables = make_tables(spark, 6, hot)
-    result = gold.enriched_orders(*tables, **limits)
+    result = gold.enriched_orders(*tables)
     assert bag(result) == bag(joined(*tables).drop("OrderDate"))
-    with_returns = gold.orders_left_returns(*tables[:2], **limits)
+    with_returns = gold.orders_left_returns(*tables[:2])
     assert with_returns.count() == joined(*tables[:2], tables[2].limit(0)).count() >= tables[0].count()
 
 
-def test_hot_keys_are_those_above_both_limits(spark):
-    df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3 + [("c",)] + [(None,)] * 9, "k string")
-    assert joins.hot_keys(df, "k", share=0.2, min_rows=2) == ["a"]
-    assert joins.hot_keys(df, "k", share=0.2, min_rows=6) == []
-    assert sorted(joins.hot_keys(df, "k", share=0.1, min_rows=2)) == ["a", "b"]
-    assert joins.hot_keys(df, "k") == []
+def test_left_join_with_null_keys_and_empty_sides(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 3)], "k string, v int")
+    right = spark.createDataFrame([("a", 7), ("a", 8), (None, 9), ("z", 9)], "k string, w int")
+    select = [F.col("l.k"), F.col("l.v"), F.col("r.k").alias("rk"), F.col("r.w")]
+    found = bag(joins.left_join(left, right, "k", select))
+    assert found == bag(left.alias("l").join(right.alias("r"), F.col("l.k") == F.col("r.k"), "left").select(*select))
+    assert bag(joins.left_join(left, right.limit(0), "k", select)) == Counter(
+        {("a", 1, None, None): 1, ("b", 2, None, None): 1, (None, 3, None, None): 2}
+    )
+    assert joins.left_join(left.limit(0), right, "k", select).count() == 0
+
+
+def test_left_join_builds_without_jobs_and_shuffles_wide_rows_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = spark.range(100).selectExpr("id AS k", "id AS wide")
+    right = spark.range(50).selectExpr("id AS k", "id AS w")
+    group = "building"
+    spark.sparkContext.setJobGroup(group, group)
+    out = joins.left_join(left, right, "k", [F.col("l.k"), F.col("l.wide"), F.col("r.w")])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "LeftOuter" not in plan
 
 
 def test_a_hot_right_key_is_split_over_tasks(spark, conf):
@@ -155,7 +170,7 @@ def test_a_hot_right_key_is_split_over_tasks(spark, conf):
     right = spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("payload"))
     left = spark.range(0, n * 2, 1, 8).select(F.col("id").alias("k"))
     select = [F.col("l.k"), F.col("r.payload")]
-    out = joins.left_join(left, right, "k", select, share=0.1, min_rows=10)
+    out = joins.left_join(left, right, "k", select)
     rows = out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "isSkew=true" in plan or "skewed=true" in plan or "(skew=true)" in plan

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from retailstrata.operators import quality
+from retailstrata.operators.money import money
 from retailstrata.plans import insights
 
 D = dt.date
@@ -47,9 +48,18 @@ def test_trend_compares_with_the_month_before(spark):
         ("p", D(2025, 1, 1)): (2025, 1, 12.0, None, 12.0),
         ("p", D(2025, 2, 1)): (2025, 2, 30.0, 18.0, 21.0),
         ("q", D(2025, 2, 1)): (2025, 2, 1.0, None, 1.0),
+        ("p", None): (None, None, 99.0, None, None),
     }
 
 
+def test_sums_lose_nothing(spark, ansi):
+    values = [("a", 0.004), ("a", 0.004), ("b", 1e27), ("b", 0.004), ("c", 1e300), ("c", 1.0), ("d", None), ("e", 0.1), ("e", 0.2), ("f", 9e27), ("f", 9e27)]
+    df = spark.createDataFrame(values, "k string, v double")
+    out = dict(df.groupBy("k").agg(money(F.col("v"))).collect())
+    assert out == {"a": 0.008, "b": 1e27, "c": 1e300, "d": None, "e": 0.3, "f": 1.8e28}
+    assert df.where("k < 'c'").agg(money(F.col("v"))).first()[0] == 1e27
+
+
 def test_customer_value_counts_each_order_once(spark):
     orders = spark.createDataFrame(
         [("o1", "c", 10.0), ("o2", "c", 5.0), ("o3", "d", None)], "OrderID string, CustomerID string, OrderAmount double"

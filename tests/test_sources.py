@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 import pyarrow as pa
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
+from retailstrata.operators import quality
 from retailstrata.plans import gold, pipeline
 from retailstrata.registry import frames, queries
 from retailstrata.sources import schemas, tables
@@ -49,8 +51,82 @@ def test_header_of_an_empty_extract(spark, tmp_path):
 
 def test_schema_check_names_every_problem(spark):
     df = spark.createDataFrame([("p", 1)], "productname string, stock int")
-    with pytest.raises(schemas.SchemaMismatch, match="cost_price, last_stocked, warehouse, available.*stock is int"):
+    with pytest.raises(schemas.SchemaMismatch, match="cost_price, last_stocked, warehouse, available$"):
         schemas.check_schema(df, schemas.RAW_INVENTORY)
+    nested = spark.createDataFrame([("p", [1])], "productname string, stock array<int>")
+    with pytest.raises(schemas.SchemaMismatch, match="cost_price, last_stocked, warehouse, available.*stock is array<int>"):
+        schemas.check_schema(nested, schemas.RAW_INVENTORY)
+
+
+def test_typed_columns_keep_their_types_in_bronze_and_are_read_as_text(spark, tmp_path):
+    database = f"retail_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    inventory = spark.createDataFrame([("p", 1.5, dt.date(2025, 3, 1), 7, "w", True)], "productName string, cost_price double, last_stocked date, stock int, warehouse string, available boolean")
+    orders = frames.raw_orders(spark, SF_DIR).limit(5).withColumns({"Qty": F.lit(3.0), "Feedback_Score": F.lit(4.5)})
+    returns = queries.with_header_row(frames.raw_returns(spark, SF_DIR).limit(5))
+    for name, df in {"orders": orders, "returns": returns, "inventory": inventory}.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    layers = pipeline.Layers(database=database)
+    pipeline.run_bronze(spark, *[f"{tmp_path}/{n}" for n in ("orders", "returns", "inventory")], layers=layers)
+    assert dict(layers.read(spark, "bronze_inventory").dtypes)["stock"] == "int"
+    pipeline.run_silver(spark, layers)
+    (row,) = layers.read(spark, "silver_inventory").collect()
+    assert tuple(row) == ("p", 1.5, dt.date(2025, 3, 1), 7, "W", True)
+    assert {(r.Quantity, r.FeedbackScore) for r in layers.read(spark, "silver_orders").collect()} == {(3, 4.5)}
+
+
+def test_header_of_the_first_file_with_rows(spark, tmp_path):
+    folder = tmp_path / "some"
+    folder.mkdir()
+    names = pa.schema([("_c0", pa.string()), ("_c1", pa.string())])
+    pq.write_table(names.empty_table(), folder / "part-0.parquet")
+    pq.write_table(names.empty_table(), folder / "part-1.parquet")
+    write(folder / "part-2.parquet", [("Id", "Name"), ("1", "x")])
+    write(folder / "part-3.parquet", [("2", "y")])
+    df = promote_header(spark, str(folder))
+    assert df.columns == ["Id", "Name"] and sorted(map(tuple, df.collect())) == [("1", "x"), ("2", "y")]
+
+
+def test_steps_to_be_asked_for(spark, tmp_path):
+    database = f"retail_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    extracts = {"orders": frames.raw_orders(spark, SF_DIR), "returns": queries.with_header_row(frames.raw_returns(spark, SF_DIR)), "inventory": frames.raw_inventory(spark, SF_DIR)}
+    for name, df in extracts.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    layers = pipeline.Layers(database=database, fix_prefixes=True, dedup_returns=True, checked_on=dt.date(1999, 1, 1), orders_by_month=True)
+    pipeline.run_all(spark, *[f"{tmp_path}/{n}" for n in extracts], layers=layers)
+    orders, monthly = layers.read(spark, "silver_orders"), layers.read(spark, pipeline.MONTHLY_TABLE)
+    returns = layers.read(spark, "silver_returns")
+    assert monthly.count() == orders.count() and monthly.where("Order_Month IS NULL").count() == orders.where("OrderDate IS NULL").count() > 0
+    assert returns.count() == returns.select("ReturnID").distinct().count() < frames.raw_returns(spark, SF_DIR).count()
+    (checks,) = layers.read(spark, pipeline.CHECKS_TABLE).collect()
+    assert checks.Rows == returns.count() and checks.DateNotInFuture > 0
+    # A later run with the orders of some months replaces those months alone.
+    some = orders.where("OrderDate >= '1996-01-01' AND OrderDate < '1996-03-01'").withColumn("Quantity", F.lit(-1))
+    some.write.parquet(f"{tmp_path}/some")
+    some, whole = spark.read.parquet(f"{tmp_path}/some"), monthly.count()
+    layers.write(some, "silver_orders")
+    pipeline.run_monthly(spark, layers)
+    after = layers.read(spark, pipeline.MONTHLY_TABLE)
+    assert after.count() == whole and after.where("Quantity = -1").count() == some.count() > 0
+
+
+def test_a_hot_order_is_split_with_bucketed_orders(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    name = f"t_{uuid.uuid4().hex}"
+    orders = spark.range(20_000).select(F.concat(F.lit("o"), "id").alias("OrderID"), F.lit(dt.date(2025, 1, 1)).alias("OrderDate"))
+    tables.write_table(orders, name, path=str(tmp_path / name), buckets=4, bucket_by="OrderID")
+    order = F.when(F.col("id") % 3 == 0, F.lit("o7")).otherwise(F.concat(F.lit("o"), "id"))
+    returns = spark.range(0, 30_000, 1, 8).select(order.alias("OrderID"), F.col("id").cast("string").alias("ReturnID"))
+    out = quality.with_order_date(returns, spark.table(name))
+    assert len(out.collect()) == 30_000 and out.columns == ["OrderID", "ReturnID", "OrderDate"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "isSkew=true" in plan or "skewed=true" in plan or "(skew=true)" in plan
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_read_extract_wants_the_email_column(spark, tmp_path):
