@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rows import dedup
 from ..sources.scratch import shared_folder
 from .words import Words, mix, ngrams, slices, words_of
 
@@ -527,3 +528,20 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
     return out.select(
         F.col("key").alias(key), "n_shingles", F.when(F.col("set_id").isNull(), F.col("key")).otherwise(F.col("component")).alias("component_id")
     )
+
+
+def one_of_each_group(df: DataFrame, like: Similarity = Similarity(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of the smallest key of each group of similar documents, with the columns they had.
+
+    Of rows with equal keys one stays, the smallest by its other columns. A row without a key names no document to
+    keep in its place, so it stays.
+    """
+    found = similar_documents(df.where(F.col(f"`{key}`").isNotNull()), like, key, text)
+    stays = F.max((F.col(key) == F.col("component_id")).cast("int")) == 1
+    keys = found.groupBy(F.col(key).alias("__key")).agg(stays.alias("__stays"), F.count("*").alias("__rows"))
+
+    def of(rows: Column) -> DataFrame:
+        return df.join(keys.where(F.col("__stays") & rows).select("__key"), df[f"`{key}`"] == F.col("__key"), "left_semi")
+
+    repeated = dedup(of(F.col("__rows") > 1), [key])
+    return of(F.col("__rows") == 1).unionByName(repeated).unionByName(df.where(F.col(f"`{key}`").isNull()))
