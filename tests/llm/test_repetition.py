@@ -1,0 +1,68 @@
+"""Repetition measures against a brute-force version, and defined results for odd texts."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from retailstrata.llm.repetition import Limits, kept_rows, repetition
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text: str | None) -> tuple:
+    text = text or ""
+    words = WORD.findall(text)
+    seen, lines = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            lines += line in seen
+            seen.add(line)
+    counts = Counter(zip(words, words[1:], words[2:]))
+    inside = set()
+    for i in range(len(words) - 2):
+        if counts[tuple(words[i : i + 3])] > 1:
+            inside |= {i, i + 1, i + 2}
+    failed = len(words) < 50 or 100 * len(inside) > 50 * len(words)
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), lines, len(inside), failed
+
+
+def share(text: str, n: int) -> float:
+    words = WORD.findall(text)
+    grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+    counts = Counter(grams)
+    inside = {i + k for i, g in enumerate(grams) if counts[g] > 1 for k in range(n)}
+    return sum(len(words[i]) for i in inside) / max(1, sum(map(len, words)))
+
+
+def measured(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string").repartition(2)
+    return [r["m"] for r in df.select("i", repetition(F.col("text")).alias("m")).orderBy("i").collect()]
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(4)
+    parts = ["a", "bé", "c", "d|", "日本", "#", " ", "\n", "\t", "\x0b", "\r\n", "\xa0x", "  ", "e f g h i j k l"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 200))) for _ in range(400)]
+    texts += ["", None, " \n\t", "one", "x" * 300_000, "a b " * 50_000, "\n".join(["same line here"] * 9), "a b c a b c", "a b a b a"]
+    for text, m in zip(texts, measured(spark, texts)):
+        own = (m["n_words"], m["word_chars"], m["n_symbols"], m["n_dup_lines"], m["n_repeat_words"], m["base_failed"])
+        assert own == brute(text), repr((text or "")[:80])
+        expected = max(share(text or "", n) for n, _ in Limits().ngram_chars)
+        assert abs(m["dup_ngram_share"] - expected) < 1e-12
+        assert not (m["kept"] and m["base_failed"])
+
+
+def test_kept_rows_keep_their_columns(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    odd = " ".join(f"w{i} ###" for i in range(60))
+    again = " ".join(f"w{i}" for i in range(55)) + "\n" + "\n".join(["a long line that comes again and again"] * 3)
+    rows = [(1, good), (1, good), (2, odd), (3, None), (4, ""), (None, good), (5, again)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(7) for c in ("kept", "n_words")})
+    out = kept_rows(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 1, 1, 5]
+    assert kept_rows(df.limit(0)).count() == 0

@@ -1,0 +1,58 @@
+"""Ordinal grades: held-out accuracy, order of thresholds, odd rows and labels."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from retailstrata.llm import toxicity
+from retailstrata.llm.toxicity import Model, Training, fit, severity
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    train = labels.where("doc_id % 2 = 0")
+    model = fit(documents, train)
+    assert (np.diff(model.thresholds) > 0).all() and len(model.weights) < 2000
+    held = documents.join(labels.where("doc_id % 2 = 1"), "doc_id").select("toxic", severity(F.col("text"), model).alias("s"))
+    rows = held.select("toxic", "s.*").toDF("label", "severity", "grade", "toxic").collect()
+    toxic, clean = [r for r in rows if r["label"]], [r for r in rows if not r["label"]]
+    assert len(toxic) > 50 and sum(r["toxic"] for r in toxic) >= 0.97 * len(toxic)
+    assert sum(r["toxic"] for r in clean) <= 0.003 * len(clean)
+    assert min(r["grade"] for r in rows) == 0 and max(r["grade"] for r in rows) == 3
+    assert np.mean([r["severity"] for r in toxic]) > 1 > 0.2 > np.mean([r["severity"] for r in clean])
+
+
+def test_more_toxic_words_never_lower_the_grade(spark):
+    texts = [("idiot " * n + "plain words here", n) for n in range(8)]
+    clean = [(f"plain words number{i} here", 0) for i in range(200)]
+    toxic = [(" ".join(["idiot"] * (1 + i % 8)) + f" plain other{i} here", 1) for i in range(200)]
+    rows = [(i, t, int(x)) for i, (t, x) in enumerate(clean + toxic)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(labelled, labelled)
+    out = spark.createDataFrame(texts, "text string, n int").select("n", severity(F.col("text"), model).alias("s")).orderBy("n").collect()
+    scores = [r["s"]["severity"] for r in out]
+    assert scores == sorted(scores) and not out[0]["s"]["toxic"] and out[7]["s"]["toxic"]
+
+
+def test_odd_rows_and_labels(spark):
+    model = Model(*toxicity.fit_rows([], [], np.zeros(0, np.int64), Training()).__dict__.values())
+    rows = [(1, None), (1, None), (2, ""), (None, "x " * 100_000), (3, ".,;!"), (4, "É" * 1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("grade", "severity", "toxic")})
+    out = df.select("doc_id", severity(F.col("text"), model).alias("s")).collect()
+    assert len(out) == 6 and not any(r["s"]["toxic"] or r["s"]["grade"] for r in out)
+    assert df.limit(0).select(severity(F.col("text"), model)).count() == 0
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert not fit(df, none).weights.any()
+    one_class = spark.createDataFrame([(1, 1), (1, None), (None, 1)], "doc_id long, toxic int")
+    assert not fit(df, one_class).weights.any()
+
+
+def test_sample_is_bounded_and_covers_both_classes(spark):
+    documents = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    labels = documents.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    sample = toxicity.training_sample(documents, labels.union(labels), Training(rows_per_class=30))
+    assert {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()} == {0: 30, 1: 30}
