@@ -121,11 +121,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, url: str
         F.col("text"),
         F.col("rule_verdict"),
     )
-    best = candidates.where(fits).groupBy(TARGET).agg(F.max(order).alias("best"))
+    best = candidates.where(fits).groupBy(TARGET).agg(F.max(order).alias("__best"))
     return (
         rows.join(best, TARGET, "left")
-        .withColumns({"rule": F.col("best.text"), "verdict": F.coalesce("best.rule_verdict", F.lit(ALLOW))})
-        .drop("best", TARGET)
+        .withColumns({"rule": F.col("__best.text"), "verdict": F.coalesce("__best.rule_verdict", F.lit(ALLOW))})
+        .drop("__best", TARGET)
     )
 
 
