@@ -203,11 +203,14 @@ def fit_rows(features: list[np.ndarray], words: list[np.ndarray], toxic: np.ndar
 
 
 def _descend(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, size: int, training: Training) -> tuple[np.ndarray, np.ndarray]:
-    """Proximal gradient steps with per-weight step sizes on the mean log loss plus an L1 penalty.
+    """Proximal gradient steps with per-weight step sizes on the mean log loss of both classes plus an L1 penalty.
 
     Thresholds are a first one and positive gaps, so they stay in order.
     """
     n = len(grade)
+    # Toxic and clean rows count alike as classes, however many there are of each.
+    toxic = grade > 0
+    share = np.where(toxic, 0.5 / max(1, toxic.sum()), 0.5 / max(1, n - toxic.sum()))
     weights, first, gaps = np.zeros(size), 1.0, np.zeros(GRADES - 1)
     square, square_bias = np.full(size, 1e-8), np.full(GRADES, 1e-8)
     rate = 0.5
@@ -219,10 +222,10 @@ def _descend(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.
         likely = np.maximum(above[np.arange(n), grade] - above[np.arange(n), grade + 1], 1e-12)
         slope = np.concatenate([np.zeros((n, 1)), chance * (1 - chance), np.zeros((n, 1))], axis=1)
         upper, lower = slope[np.arange(n), grade], slope[np.arange(n), grade + 1]
-        by_score = -(upper - lower) / likely / n
+        by_score = -(upper - lower) / likely * share
         by_threshold = np.zeros(GRADES + 2)
-        np.add.at(by_threshold, grade, upper / likely / n)
-        np.add.at(by_threshold, grade + 1, -lower / likely / n)
+        np.add.at(by_threshold, grade, upper / likely * share)
+        np.add.at(by_threshold, grade + 1, -lower / likely * share)
         by_threshold = by_threshold[1:-1]
         pull = np.bincount(feature, weights=by_score[doc] * value, minlength=size)
         square += pull * pull
