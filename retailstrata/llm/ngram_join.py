@@ -38,7 +38,7 @@ from ..operators.rows import dedup
 from ..sources.scratch import shared_folder
 from .words import Words, mix, ngrams, slices, words_of
 
-# Counters of step 1 and bits of the filter of needed sets: fixed sizes, 2 MB each, whatever the input.
+# Counters of step 1 and bits of the filter of needed documents: fixed sizes, 2 MB each, whatever the input.
 COUNTERS = 1 << 19
 FILTER_BITS = 1 << 24
 _BLOCK = 1 << 13
@@ -52,8 +52,8 @@ REMEMBERED = 200_000
 # A prefix n-gram with a count above this many times the mean is dealt to several tasks.
 SPREAD_ABOVE = 16
 # Rounds with drawn leaders; what they leave is settled in full after them.
-LEADER_ROUNDS = 4
-LEADERS = 4
+LEADER_ROUNDS = 2
+LEADERS = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -158,18 +158,22 @@ def fixed_array(df: DataFrame, size: int, kind: str, fill: Callable[[np.ndarray,
     return out
 
 
+def _saturating_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a + np.minimum(b, np.iinfo(a.dtype).max - a)
+
+
 def _count(n: int) -> Callable[[np.ndarray, pa.RecordBatch], None]:
     def fill(whole: np.ndarray, batch: pa.RecordBatch) -> None:
         for part in slices(batch.column(0)):
             _, value = _shingles(words_of(part, lower=True), n)
             at = (value % np.uint64(COUNTERS)).astype(np.int64)
-            whole += np.minimum(np.bincount(at, minlength=COUNTERS), (1 << 32) - 1 - whole).astype(whole.dtype)
+            whole[:] = _saturating_sum(whole, np.bincount(at, minlength=COUNTERS).astype(whole.dtype))
 
     return fill
 
 
 def _bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Four places of the filter for each set."""
+    """Four places of the filter for each hash."""
     at = np.concatenate([mix(ids.view(np.uint64) + np.uint64(k * int(_ODD) % (1 << 64))) for k in range(4)]) % np.uint64(FILTER_BITS)
     return (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
 
@@ -312,28 +316,22 @@ ARRAYS = "set_id bigint, shingles binary"
 
 
 def _array_rows(needed, n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The whole sets that the filter lets through."""
+    """Whole sets of the documents whose key's hash the filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = needed.value
-        sent: set[int] = set()
         for batch in batches:
-            for part in slices(batch.column(0)):
+            wanted = _marked(bits, batch.column(0).to_numpy(zero_copy_only=False))
+            for part in slices(batch.column(1).filter(pa.array(wanted))):
                 row, value, size = _sets(part, n)
-                ids = _fingerprints(row, value, size)
-                edge = np.concatenate([[0], np.cumsum(size)])
-                found = []
-                for i in np.flatnonzero(_marked(bits, ids) & (size > 0)).tolist():
-                    if int(ids[i]) not in sent:
-                        if len(sent) >= REMEMBERED:
-                            sent.clear()
-                        sent.add(int(ids[i]))
-                        found.append(i)
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[found]), pa.array([value[edge[i] : edge[i + 1]].tobytes() for i in found], pa.binary())],
-                        ["set_id", "shingles"],
-                    )
+                some, edge = np.flatnonzero(size), np.concatenate([[0], np.cumsum(size)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(_fingerprints(row, value, size)[some]),
+                        pa.array([value[edge[i] : edge[i + 1]].tobytes() for i in some], pa.binary()),
+                    ],
+                    ["set_id", "shingles"],
+                )
 
     return run
 
@@ -418,13 +416,14 @@ def _across(mixed: DataFrame, sets: DataFrame, like: Similarity, work: _Work) ->
     return rows.join(other, "token").where("root <> other_root and set_id < other").where(_near(like)).where(fits)
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, like: Similarity, work: _Work) -> DataFrame:
-    """The pairs that are linked."""
+def _verified(pairs: DataFrame, documents: DataFrame, sets: DataFrame, like: Similarity, work: _Work) -> DataFrame:
+    """The pairs that are linked. Of each set the document with the smallest key is read again."""
     spark = work.spark
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id"))
-    needed = spark.sparkContext.broadcast(fixed_array(ids, FILTER_BITS // 64, "u8", _mark, np.bitwise_or))
-    arrays = documents.select("text").mapInArrow(_array_rows(needed, like.n), ARRAYS)
-    arrays = arrays.join(ids.distinct(), "set_id").groupBy("set_id").agg(F.first("shingles").alias("shingles"))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    keys = ids.join(sets.select("set_id", "smallest"), "set_id").select(F.xxhash64("smallest"))
+    needed = spark.sparkContext.broadcast(fixed_array(keys, FILTER_BITS // 64, "u8", _mark, np.bitwise_or))
+    arrays = documents.select(F.xxhash64("key"), "text").mapInArrow(_array_rows(needed, like.n), ARRAYS)
+    arrays = arrays.join(ids, "set_id").groupBy("set_id").agg(F.first("shingles").alias("shingles"))
 
     def side(name: str) -> DataFrame:
         return arrays.select(F.col("set_id").alias(name), F.col("shingles").alias(f"set_{name}"))
@@ -439,7 +438,7 @@ def components(edges: DataFrame, work: _Work, name: str) -> DataFrame:
 
     In each round every node points to its smallest neighbour, if that is smaller, and the edges are redrawn
     between the nodes pointed to, until none is left. Fingerprints are random, so a constant share of the nodes
-    goes in a round on average, in chains as well. Nothing is collected but the number of edges.
+    goes in a round on average, in chains as well.
     """
     edges = work.keep(edges.where("a <> b"), f"{name}-edges-0")
     roots, i = None, 0
@@ -457,14 +456,13 @@ def components(edges: DataFrame, work: _Work, name: str) -> DataFrame:
                 "node", F.coalesce("to", "root").alias("root")
             )
         i += 1
-        roots = work.keep(roots, f"{name}-roots-{i}")
         moved = edges.join(point.select(F.col("node").alias("a"), F.col("to").alias("ra")), "a")
         moved = moved.join(point.select(F.col("node").alias("b"), F.col("to").alias("rb")), "b")
         edges = moved.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
         edges = work.keep(edges, f"{name}-edges-{i}")
     if roots is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots
+    return work.keep(roots, f"{name}-roots")
 
 
 def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -478,7 +476,7 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
     spark = df.sparkSession
     work = _Work(spark)
     documents = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    counts = fixed_array(documents.select("text"), COUNTERS, "u4", _count(like.n), np.add)
+    counts = fixed_array(documents.select("text"), COUNTERS, "u4", _count(like.n), _saturating_sum)
     shared_counts = spark.sparkContext.broadcast(counts)
     schema = SETS.format(key=df.schema[key].dataType.simpleString())
     rows = work.keep(documents.mapInArrow(_set_rows(shared_counts, like), schema), "sets")
@@ -496,7 +494,7 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
         {"leader": "other", "leader_size": "other_size", "leader_pos": "other_pos"}
     )
     tested = work.keep(_filtered(_passing(led, like), sets, like), "pairs-0")
-    links = work.keep(_verified(tested, documents, like, work), "links-0")
+    links = work.keep(_verified(tested, documents, sets, like, work), "links-0")
     roots = components(links, work, "round-0")
 
     for i in range(1, LEADER_ROUNDS + 2):
@@ -516,7 +514,7 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
         pairs = work.keep(_filtered(pairs, sets, like), f"pairs-{i}")
         if pairs.isEmpty():
             continue
-        more = work.keep(_verified(pairs, documents, like, work), f"links-{i}")
+        more = work.keep(_verified(pairs, documents, sets, like, work), f"links-{i}")
         tested, links = tested.unionAll(pairs), links.unionAll(more)
         roots = components(links, work, f"round-{i}")
 
