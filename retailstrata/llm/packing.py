@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tokens import encoder
+from .words import slices
 
 SEQUENCE = 2048
-END_ID = b"\x00\x00\x00\x00"
 # Sequences of one task are numbered from its partition number times this.
 PER_TASK = 1 << 40
 
@@ -80,53 +80,59 @@ def cut(n: int, most: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(start, most) for start in range(first, n, most)]
 
 
-def _rows(keys: pa.Array, texts: pa.Array, packing: Packing) -> Iterator[list]:
-    """Key, piece, start and ids of every piece of a batch."""
-    for i in range(0, len(texts), 256):
-        encoded = encoder(packing.tokenizer).encode([t or "" for t in texts[i : i + 256].to_pylist()])
-        for key, ids in zip(keys[i : i + 256].to_pylist(), encoded):
-            ids += END_ID
-            for piece, (start, length) in enumerate(cut(len(ids) // 4, packing.sequence)):
-                yield [key, piece, start, length, ids[4 * start : 4 * (start + length)]]
+def _rows(keys: pa.Array, texts: pa.Array, packing: Packing, row: int) -> Iterator[list]:
+    """Key, piece, start, length, ids and row number of every piece of a batch whose first row has number ``row``."""
+    done = 0
+    for part in slices(texts):
+        ids, bounds = encoder(packing.tokenizer).flat(part, end=True)
+        edge = bounds.tolist()
+        for key, lo, hi in zip(keys[done : done + len(part)].to_pylist(), edge, edge[1:]):
+            for piece, (start, length) in enumerate(cut(hi - lo, packing.sequence)):
+                yield [key, piece, start, length, ids[lo + start : lo + start + length].tobytes(), row]
+            row += 1
+        done += len(part)
 
 
 def pack(df: DataFrame, packing: Packing, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every piece of every document with its place in a sequence.
 
-    Columns: the key, ``piece``, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit), ``sequence_id``, ``offset``. A null text is an empty one, whose only id is the end id. Rows with null or
-    repeated keys are packed like any other; no further column of the input is used.
+    Columns: the key, ``piece``, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit), ``sequence_id``,
+    ``offset`` and ``row``, a number of the input row, by which the pieces of rows with equal keys are told apart.
+    A null text is an empty one, whose only id is the end id. Rows with null or repeated keys are packed like any
+    other; no further column of the input is used.
     """
     kind = df.schema[key].dataType.simpleString()
     schema = (
         f"`{key}` {kind}, piece int, start bigint, length bigint, ids binary, "
-        "sequence_id bigint, offset bigint"
+        "sequence_id bigint, offset bigint, row bigint"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(packing.sequence, packing.open_bins)
-        base = TaskContext.get().partitionId() * PER_TASK
+        base = row = TaskContext.get().partitionId() * PER_TASK
         waiting: list[list] = []
         kinds = None
 
         def placed(rows: list[list]) -> Iterator[pa.RecordBatch]:
             columns = [*zip(*[
-                (k, piece, start, n, ids, base + number, offset)
-                for k, piece, start, n, ids in sorted(rows, key=lambda r: -r[3])
+                (k, piece, start, n, ids, base + number, offset, of)
+                for k, piece, start, n, ids, of in sorted(rows, key=lambda r: -r[3])
                 for number, offset in [bins.place(n)]
             ])]
             if columns:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-        names = [key, "piece", "start", "length", "ids", "sequence_id", "offset"]
+        names = [key, "piece", "start", "length", "ids", "sequence_id", "offset", "row"]
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            kinds = [keys.type, pa.int32(), *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 2]
+            kinds = [keys.type, pa.int32(), *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 3]
             whole: list[list] = []
-            for row in _rows(keys, texts, packing):
-                (waiting if row[3] < packing.sequence else whole).append(row)
+            for piece in _rows(keys, texts, packing, row):
+                (waiting if piece[3] < packing.sequence else whole).append(piece)
                 if len(waiting) >= packing.look_ahead or len(whole) >= packing.look_ahead:
                     yield from placed(whole + waiting)
                     waiting, whole = [], []
+            row += batch.num_rows
             yield from placed(whole)
         yield from placed(waiting)
 

@@ -25,9 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .packing import END_ID
 from .tokens import encoder
-from .words import mix
+from .words import mix, slices
 
 MAGIC = b"TOKSTOR1"
 _LEVELS = 40
@@ -148,11 +147,15 @@ class Shard:
         return there, slot["offset"].astype(np.int64), slot["n"].astype(np.int64)
 
     def ids(self, offsets: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
-        """The ids of each place as unsigned 32-bit integers."""
+        """The ids of each place as unsigned 32-bit integers. Places that follow each other are read at once."""
+        ends = offsets + counts
+        apart = np.flatnonzero(offsets[1:] != ends[:-1]) + 1
         with self._files.open_input_file(self._payload) as f:
-            for offset, n in zip(offsets.tolist(), counts.tolist()):
-                raw = f.read_at(n * self._width, offset * self._width)
-                yield np.frombuffer(raw, f"<u{self._width}").astype("<u4")
+            for some in np.split(np.arange(len(offsets)), apart) if len(offsets) else []:
+                lo, hi = int(offsets[some[0]]), int(ends[some[-1]])
+                raw = f.read_at((hi - lo) * self._width, lo * self._width)
+                run = np.frombuffer(raw, f"<u{self._width}").astype("<u4")
+                yield from np.split(run, ends[some[:-1]] - lo)
 
     def get(self, key: int | None, occurrence: int = 0) -> np.ndarray | None:
         """The ids of a document, or None if the shard has no such key."""
@@ -163,7 +166,7 @@ class Shard:
 
 # --- the store ------------------------------------------------------------------------------------
 
-_LIST = "shard int, name string, docs bigint, tokens bigint"
+_LIST = "shard int, name string, docs bigint, tokens bigint, nulls bigint, first_key bigint, last_key bigint"
 
 
 def write_store(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text") -> None:
@@ -187,24 +190,25 @@ def write_store(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id",
                 column, texts = batch.column(0), batch.column(1)
                 keys.append(column.fill_null(0).to_numpy(zero_copy_only=False))
                 missing.append(column.is_null().to_numpy(zero_copy_only=False))
-                for i in range(0, len(texts), 256):
-                    for ids in encode.encode([t or "" for t in texts[i : i + 256].to_pylist()]):
-                        ids = np.frombuffer(ids + END_ID, "<u4")
-                        lengths.append(len(ids))
-                        out.write(ids.astype(f"<u{width}").tobytes())
+                for part in slices(texts):
+                    ids, bounds = encode.flat(part, end=True)
+                    lengths.append(np.diff(bounds))
+                    out.write(ids.astype(f"<u{width}").tobytes())
         if keys:
-            counts = np.array(lengths, np.int64)
+            counts = np.concatenate([np.zeros(0, np.int64), *lengths])
             with files.open_output_stream(f"{root}/{name}.idx") as out:
                 out.write(_index_bytes(np.concatenate(keys), np.concatenate(missing), counts, width))
-            yield pa.RecordBatch.from_pylist(
-                [{"shard": number, "name": name, "docs": len(counts), "tokens": int(counts.sum())}],
-                pa.schema([("shard", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]),
-            )
+            known = np.concatenate(keys)[~np.concatenate(missing)]
+            row = {"shard": number, "name": name, "docs": len(counts), "tokens": int(counts.sum()), "nulls": len(counts) - len(known)}
+            row |= {"first_key": int(known[0]), "last_key": int(known[-1])} if len(known) else {"first_key": None, "last_key": None}
+            kinds = [("shard", pa.int32()), ("name", pa.string())]
+            kinds += [(c, pa.int64()) for c in ("docs", "tokens", "nulls", "first_key", "last_key")]
+            yield pa.RecordBatch.from_pylist([row], pa.schema(kinds))
 
     rows = df.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").alias("text"))
     order = ["key", F.xxhash64("text"), F.length("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    shards = sorted(ordered.mapInArrow(shard, _LIST).collect())  # one row for each shard
+    shards = sorted(ordered.mapInArrow(shard, _LIST).collect(), key=lambda r: r["shard"])  # one row for each shard
     files, root = _open(folder)
     files.create_dir(root, recursive=True)
     with files.open_output_stream(f"{root}/shards.json") as out:
@@ -223,6 +227,19 @@ def shard_list(folder: str) -> list[dict]:
     return shards
 
 
+def lookup(folder: str, key: int | None) -> list[np.ndarray]:
+    """The ids of every document with that key. Only shards whose range of keys holds it are opened."""
+    found = []
+    for s in shard_list(folder):
+        there = s["nulls"] > 0 if key is None else s["first_key"] is not None and s["first_key"] <= key <= s["last_key"]
+        if there:
+            shard, i = Shard(folder, s["name"]), 0
+            while (ids := shard.get(key, i)) is not None:
+                found.append(ids)
+                i += 1
+    return found
+
+
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """Every document of the store, found through the index of its shard.
 

@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -35,6 +36,7 @@ ODD = [
 def test_encoding_equals_the_library():
     rng = random.Random(3)
     parts = [" ", " ", "\n", "a", "be", "é", ",", ".", "'s", "12", "x" * 50, "<|endoftext|>", "日", "\xa0", "-", "Q"]
+    parts += ["\t", "\r", "'", "\u2019", "\u200b", "\x1d", "\u2028", "\u3000", "ab.c", "))"]
     texts = ODD + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
     encoded = tokens.encoder(PATH).encode(texts)
     for text, ids in zip(texts, encoded):
@@ -42,12 +44,28 @@ def test_encoding_equals_the_library():
 
 
 def test_the_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 10)
-    monkeypatch.setattr(tokens, "TOGETHER", 5)
+    for name, value in {"PLACES": 64, "MOST_ENTRIES": 100, "MOST_IDS": 200, "MOST_LONG_BYTES": 500, "TOGETHER": 5}.items():
+        monkeypatch.setattr(tokens, name, value)
     own = tokens.Encoder(PATH)
-    texts = [f"w{i} x{i}, y{i}." for i in range(50)]
-    assert own.encode(texts) == [plain(t).tobytes() for t in texts]
-    assert len(own._known) < 30
+    texts = [f"w{i} x{i}, y{i}. {'long' * 5}{i}" for i in range(500)]
+    for _ in range(2):
+        assert own.encode(texts) == [plain(t).tobytes() for t in texts]
+        assert own._entries < 120 and own._used < 250 and len(own._long) < 10
+
+
+def test_special_strings_as_plain_text():
+    own = tokens.encoder(PATH, True)
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = True
+    texts = ["<|endoftext|>", "a<|endoftext|> b", "x <|endoftext|>, y"]
+    assert own.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_ends_are_put_between_texts():
+    ids, bounds = tokens.encoder(PATH).flat(pa.array(["a b", None, "", "c"]), end=True)
+    expected = [np.append(plain(t), 0) for t in ("a b", None, "", "c")]
+    assert ids.tolist() == np.concatenate(expected).tolist()
+    assert np.diff(bounds).tolist() == [len(x) for x in expected]
 
 
 def test_other_tokenizers_are_refused():
@@ -124,7 +142,13 @@ def test_odd_rows_are_packed(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(0) for c in ("piece", "ids", "offset")})
     check_pieces(pack(df, Packing(PATH)).collect(), dict(rows), 2048)
     assert pack(df.limit(0), Packing(PATH)).count() == 0
-    assert pack(df.union(df), Packing(PATH)).where("doc_id = 1").count() == 2
+    twice = pack(df.union(df), Packing(PATH)).where("doc_id = 3").collect()
+    by_row = defaultdict(list)
+    for r in twice:
+        by_row[r["row"]].append(r)
+    assert len(by_row) == 2
+    for pieces in by_row.values():
+        check_pieces(pieces, {3: rows[2][1]}, 2048)
 
 
 def test_sequences_hold_their_pieces_on_end(spark):
@@ -176,6 +200,9 @@ def test_store_round_trip(spark, tmp_path):
     key = int(one.keys[0])
     assert one.get(key).tobytes() == found[key]["ids"]
     assert one.get(10**12) is None and one.get(None) is None and one.get(key, 1) is None
+    for some in (key, int(one.keys[-1])):
+        assert [x.tobytes() for x in token_store.lookup(folder, some)] == [found[some]["ids"]]
+    assert token_store.lookup(folder, 10**12) == []
 
 
 def test_store_with_odd_rows(spark, tmp_path):
@@ -187,6 +214,8 @@ def test_store_with_odd_rows(spark, tmp_path):
     assert sum(r["n_tokens"] for r in out[:-1]) == out[-1]["start"]
     texts = sorted((-(10**9) if k is None else k, np.append(plain(t), 0).astype("<u4").tobytes()) for k, t in rows)
     assert texts == sorted((-(10**9) if r["key"] is None else r["key"], r["ids"]) for r in out)
+    assert sorted(x.tobytes() for x in token_store.lookup(folder, 5)) == sorted(x for k, x in texts if k == 5)
+    assert sorted(x.tobytes() for x in token_store.lookup(folder, None)) == sorted(x for k, x in texts if k == -(10**9))
     token_store.write_store(spark.createDataFrame([], "doc_id long, text string"), f"file://{tmp_path}/none", PATH)
     assert token_store.read_store(spark, f"file://{tmp_path}/none").count() == 0
 
