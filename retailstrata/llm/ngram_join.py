@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from ..operators.rows import dedup
 from ..sources.scratch import shared_folder
+from .arrays import fixed_array, saturating_sum
 from .words import Words, mix, ngrams, slices, words_of
 
 # Counters of step 1 and bits of the filter of needed documents: fixed sizes, 2 MB each, whatever the input.
 COUNTERS = 1 << 19
 FILTER_BITS = 1 << 24
-_BLOCK = 1 << 13
 # Hash ranges of the suffix filter, and 64-bit words of the parities that tell sets of large groups apart.
 RANGES = 128
 PARITIES = 16
@@ -127,47 +127,12 @@ def _parity(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
 # --- arrays of fixed size over all rows -----------------------------------------------------------
 
 
-def fixed_array(df: DataFrame, size: int, kind: str, fill: Callable[[np.ndarray, pa.RecordBatch], None], merge: Callable) -> np.ndarray:
-    """One array of ``size`` numbers, filled by every task and merged element by element.
-
-    What each task sends, and what comes to the driver, has that fixed size.
-    """
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = np.zeros(size, kind)
-        for batch in batches:
-            fill(whole, batch)
-        blocks = [(i, whole[i : i + _BLOCK]) for i in range(0, size, _BLOCK) if whole[i : i + _BLOCK].any()]
-        if blocks:
-            yield _blocks(blocks)
-
-    def merged(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x.as_py(), kind) for x in table.column("data")]
-        return pa.Table.from_batches([_blocks([(table.column("block")[0].as_py(), reduce(merge, parts))])])
-
-    def _blocks(blocks) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([b for b, _ in blocks]), pa.array([x.tobytes() for _, x in blocks], pa.binary())], ["block", "data"]
-        )
-
-    schema = "block bigint, data binary"
-    out = np.zeros(size, kind)
-    for row in df.mapInArrow(partial, schema).groupBy("block").applyInArrow(merged, schema).collect():
-        part = np.frombuffer(row["data"], kind)
-        out[row["block"] : row["block"] + len(part)] = part
-    return out
-
-
-def _saturating_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a + np.minimum(b, np.iinfo(a.dtype).max - a)
-
-
 def _count(n: int) -> Callable[[np.ndarray, pa.RecordBatch], None]:
     def fill(whole: np.ndarray, batch: pa.RecordBatch) -> None:
         for part in slices(batch.column(0)):
             _, value = _shingles(words_of(part, lower=True), n)
             at = (value % np.uint64(COUNTERS)).astype(np.int64)
-            whole[:] = _saturating_sum(whole, np.bincount(at, minlength=COUNTERS).astype(whole.dtype))
+            whole[:] = saturating_sum(whole, np.bincount(at, minlength=COUNTERS).astype(whole.dtype))
 
     return fill
 
@@ -476,7 +441,7 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
     spark = df.sparkSession
     work = _Work(spark)
     documents = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    counts = fixed_array(documents.select("text"), COUNTERS, "u4", _count(like.n), _saturating_sum)
+    counts = fixed_array(documents.select("text"), COUNTERS, "u4", _count(like.n), saturating_sum)
     shared_counts = spark.sparkContext.broadcast(counts)
     schema = SETS.format(key=df.schema[key].dataType.simpleString())
     rows = work.keep(documents.mapInArrow(_set_rows(shared_counts, like), schema), "sets")

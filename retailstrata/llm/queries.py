@@ -15,6 +15,7 @@ from . import ann, html_text, mixing, packing, token_store, toxicity, url_filter
 from .ngram_join import similar_documents
 from .pii import KINDS, find_pii
 from .repetition import repetition
+from .simhash import near_duplicates
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,10 @@ def repetition_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", repetition(F.col("text")).alias("m")).select("doc_id", "m.*")
 
 
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_url_filters": url_verdicts,
@@ -104,6 +109,7 @@ def all_queries() -> dict[str, Query]:
         "op8_ngram_join": similar_groups,
         "op9_toxicity": toxic_grades,
         "op10_repetition": repetition_verdicts,
+        "op12_simhash": simhash_groups,
     }
 
 

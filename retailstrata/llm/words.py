@@ -118,6 +118,52 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, bounds, row, start, end, span_hashes(data, start, end))
 
 
+WHITE = _SPACE
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+@dataclass
+class Spaced:
+    """The words of a batch with exactly one space after each, their text's row and their byte range.
+
+    ``joined[i]`` tells whether word ``i`` and the one before it belong together: the same text, and no byte of the
+    ``breaks`` between them.
+    """
+
+    data: np.ndarray
+    row: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    joined: np.ndarray
+
+
+def spaced_words(data: np.ndarray, bounds: np.ndarray, white: np.ndarray, breaks: np.ndarray | None = None) -> Spaced:
+    """``white`` and ``breaks`` are tables of byte values; both end a word."""
+    gap = white[data] if breaks is None else white[data] | breaks[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[bounds] = True
+    begins = ~gap
+    begins[1:] &= gap[:-1] | first[1:-1]
+    seen = np.flatnonzero(~gap)
+    word = np.cumsum(begins[seen]) - 1
+    count = int(word[-1]) + 1 if len(word) else 0
+    out = np.full(len(seen) + count, 0x20, np.uint8)
+    out[np.arange(len(seen)) + word] = data[seen]
+    size = np.bincount(word, minlength=count)
+    end = np.cumsum(size) + np.arange(count)
+    at = np.flatnonzero(begins)
+    row = np.searchsorted(bounds, at, side="right") - 1
+    joined = np.zeros(count, bool)
+    joined[1:] = row[1:] == row[:-1]
+    if breaks is not None:
+        total = np.cumsum(breaks[data])
+        joined[1:] &= total[at[1:]] == total[at[:-1]]
+    return Spaced(out, row, end - size, end, joined)
+
+
 def ngrams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Index of the first word and hash of every run of ``n`` words within one text."""
     count = len(words.row) - n + 1
