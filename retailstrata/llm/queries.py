@@ -12,12 +12,14 @@ import public_tokenizers
 
 from ..sources.scratch import shared_folder
 from . import ann, html_text, mixing, packing, token_store, toxicity, url_filters
+from .alignment import Tokenizers, corpus_alignment
 from .ngram_join import similar_documents
 from .pii import KINDS, find_pii
 from .repetition import repetition
 from .simhash import near_duplicates
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -97,6 +99,11 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = Tokenizers(public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+    return corpus_alignment(_table(spark, sf_dir, "documents"), files)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_url_filters": url_verdicts,
@@ -110,6 +117,7 @@ def all_queries() -> dict[str, Query]:
         "op9_toxicity": toxic_grades,
         "op10_repetition": repetition_verdicts,
         "op12_simhash": simhash_groups,
+        "op13_alignment": aligned_tokens,
     }
 
 
