@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..sources.scratch import shared_folder
-from . import ann, html_text, mixing, packing, token_store, toxicity, url_filters
+from . import ann, collocations, html_text, mixing, packing, token_store, toxicity, url_filters
 from .alignment import Tokenizers, corpus_alignment
 from .ngram_join import similar_documents
 from .pii import KINDS, find_pii
@@ -95,6 +95,10 @@ def repetition_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", repetition(F.col("text")).alias("m")).select("doc_id", "m.*")
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -116,10 +120,11 @@ def all_queries() -> dict[str, Query]:
         "op8_ngram_join": similar_groups,
         "op9_toxicity": toxic_grades,
         "op10_repetition": repetition_verdicts,
+        "op11_collocations": phrases,
         "op12_simhash": simhash_groups,
         "op13_alignment": aligned_tokens,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_url_filters": url_filters.oracle(), "op2_mixing": mixing.oracle()}
+    return {"op1_url_filters": url_filters.oracle(), "op2_mixing": mixing.oracle(), "op11_collocations": collocations.oracle()}
