@@ -1,11 +1,13 @@
 """Left outer joins that stay balanced when one key holds a large share of the rows on either side.
 
-Spark may split an oversized partition on both sides of an inner join, but never the right side of a left
-outer one. So the right side is completed first: each left key that it lacks gets one row of nulls, found by
-joining the distinct keys of both sides. After that an inner join gives the rows of the outer one. Left rows
-with a null key match nothing and are added as they are.
-
-Both inputs are read a second time for their keys alone, so they should be stored tables.
+Spark splits an oversized partition of the left side of a left outer join by itself, but never one of the right side.
+So keys with very many right rows get several numbers there: a right row has one of them, drawn by a hash of the row, and a
+left row with such a key is repeated for each number. The key with its number is joined. A repeated left row that
+meets no right row is left out: its key has right rows, so others of its copies meet them.
+
+The keys in question are counted beforehand, in the same plan. They are never more than ``MOST_HOT``, so they go to
+every task; a key that many right rows share beyond that number has a thousandth of the rows at most. Keys without so many
+rows have the number 0, and the join is a plain one.
 """
 
 from __future__ import annotations
@@ -17,21 +19,33 @@ from pyspark.sql import functions as F
 
 from .rows import quoted
 
-MATCH = "__match"
+# Right rows of one key and number, and the most keys that get several numbers.
+ROWS_EACH = 100_000
+MOST_HOT = 1000
+
+_KEY, _NUMBER, _NUMBERS, _THERE = "__key", "__number", "__numbers", "__there"
+
+
+def hot_keys(right: DataFrame, key: str, rows_each: int = ROWS_EACH) -> DataFrame:
+    """The keys with more than ``rows_each`` rows, the most frequent ones, and how many numbers each gets."""
+    counts = right.groupBy(F.col(quoted(key)).alias(_KEY)).agg(F.count(F.lit(1)).alias("n"))
+    many = counts.where(F.col(_KEY).isNotNull() & (F.col("n") > rows_each)).orderBy(F.col("n").desc(), _KEY).limit(MOST_HOT)
+    return many.select(_KEY, F.ceil(F.col("n") / rows_each).cast("int").alias(_NUMBERS))
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str, select: Sequence[Column]) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, key: str, select: Sequence[Column], rows_each: int = ROWS_EACH) -> DataFrame:
     """``left LEFT JOIN right ON l.key = r.key``, projected to ``select``.
 
-    The sides are aliased ``l`` and ``r``; ``select`` names columns as ``F.col("l.x")`` and must give
-    unique output names. Null keys never match.
+    The sides are aliased ``l`` and ``r``; ``select`` names columns as ``F.col("l.x")`` and must give unique output
+    names. Null keys never match. The left side is read once, the right one twice: for its keys alone, and whole.
     """
+    hot = F.broadcast(hot_keys(right, key, rows_each))  # MOST_HOT rows at most
     k = F.col(quoted(key))
-    keyed, keyless = left.where(k.isNotNull()), left.where(k.isNull())
-    there = right.where(k.isNotNull())
-    lacking = keyed.select(k.alias(MATCH)).distinct().join(there.select(k.alias(MATCH)).distinct(), MATCH, "left_anti")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    complete = there.withColumn(MATCH, k).unionByName(lacking.select(*nulls, MATCH))
-    matched = keyed.alias("l").join(complete.alias("r"), F.col(f"l.{quoted(key)}") == F.col(f"r.{MATCH}")).select(*select)
-    alone = keyless.alias("l").join(right.where(F.lit(False)).alias("r"), F.lit(False), "left").select(*select)
-    return matched.unionByName(alone)
+    numbers = F.coalesce(F.col(_NUMBERS), F.lit(1))
+    copies = left.join(hot, k == F.col(_KEY), "left").drop(_KEY).withColumn(_NUMBER, F.explode(F.sequence(F.lit(0), numbers - 1)))
+    drawn = F.pmod(F.xxhash64(*map(quoted, right.columns)), numbers).cast("int")
+    dealt = right.where(k.isNotNull()).join(hot, k == F.col(_KEY), "left").withColumn(_NUMBER, drawn).drop(_KEY, _NUMBERS)
+    dealt = dealt.withColumn(_THERE, F.lit(True))
+    same = (F.col(f"l.{quoted(key)}") == F.col(f"r.{quoted(key)}")) & (F.col(f"l.{_NUMBER}") == F.col(f"r.{_NUMBER}"))
+    joined = copies.alias("l").join(dealt.alias("r"), same, "left")
+    return joined.where(F.col(f"l.{_NUMBERS}").isNull() | F.col(f"r.{_THERE}")).select(*select)

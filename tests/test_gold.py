@@ -146,6 +146,19 @@ def test_left_join_with_null_keys_and_empty_sides(spark):
     assert joins.left_join(left.limit(0), right, "k", select).count() == 0
 
 
+@pytest.mark.parametrize("rows_each", [1, 2, 5, 1000])
+def test_left_join_with_hot_keys_equals_the_plain_one(spark, rows_each, monkeypatch):
+    rng = random.Random(rows_each)
+    keys = [None, *["hot"] * 5, *(f"k{i}" for i in range(8))]
+    left = spark.createDataFrame([(rng.choice([*keys, "left only"]), i % 7) for i in range(80)], "k string, v int")
+    right = spark.createDataFrame([(rng.choice([*keys, "right only"]), i % 3) for i in range(90)], "k string, w int")
+    select = [F.col("l.k"), F.col("l.v"), F.col("r.k").alias("rk"), F.col("r.w")]
+    expected = bag(left.alias("l").join(right.alias("r"), F.col("l.k") == F.col("r.k"), "left").select(*select))
+    assert bag(joins.left_join(left, right, "k", select, rows_each)) == expected
+    monkeypatch.setattr(joins, "MOST_HOT", 2)
+    assert bag(joins.left_join(left, right, "k", select, rows_each)) == expected
+
+
 def test_left_join_builds_without_jobs_and_shuffles_wide_rows_once(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     left = spark.range(100).selectExpr("id AS k", "id AS wide")
@@ -154,25 +167,34 @@ def test_left_join_builds_without_jobs_and_shuffles_wide_rows_once(spark, conf):
     spark.sparkContext.setJobGroup(group, group)
     out = joins.left_join(left, right, "k", [F.col("l.k"), F.col("l.wide"), F.col("r.w")])
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Join Inner") == 1 and "LeftOuter" not in plan
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1, "the hot keys are broadcast to both sides"
+
+
+def test_joins_read_their_inputs_no_more_often_than_needed(spark, tmp_path):
+    """Left sides once, right sides twice, the second time for their keys alone."""
+    stored = []
+    for i, df in enumerate(make_tables(spark, 1)):
+        df.write.parquet(f"{tmp_path}/{i}")
+        stored.append(spark.read.parquet(f"{tmp_path}/{i}"))
+    for df, scans in ((gold.orders_left_returns(*stored[:2]), 4), (gold.enriched_orders(*stored), 7)):
+        # Both sides of a join name the hot keys; their counts are one exchange, reused.
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") <= scans
 
 
 def test_a_hot_right_key_is_split_over_tasks(spark, conf):
-    """A right-hand key with a third of the rows: its inner join is split, no task gets it whole."""
+    """A right-hand key with a third of the rows: no task gets it whole."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
-    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
     n = 30_000
     key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
     right = spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("payload"))
     left = spark.range(0, n * 2, 1, 8).select(F.col("id").alias("k"))
     select = [F.col("l.k"), F.col("r.payload")]
-    out = joins.left_join(left, right, "k", select)
-    rows = out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "isSkew=true" in plan or "skewed=true" in plan or "(skew=true)" in plan
+    rows = joins.left_join(left, right, "k", select, 500).withColumn("task", F.spark_partition_id()).collect()
     assert len(rows) == n + (2 * n - 1 - (n - n // 3)), "matches plus unmatched left rows"
     assert sorted(r.payload for r in rows if r.payload is not None) == list(range(n))
+    hot = Counter(r.task for r in rows if r.k == 0)
+    assert max(hot.values()) <= n // 3 / 2
