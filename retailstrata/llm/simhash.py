@@ -42,7 +42,7 @@ SEED = 42
 # Counters of the estimates, 4 MB whatever the input.
 COUNTERS = 1 << 20
 # Hashes whose bits are unpacked at a time, and fingerprints whose thresholds are chosen at a time.
-_HASHES = 1 << 16
+_HASHES = 1 << 13
 _ROWS = 1 << 12
 
 

@@ -204,7 +204,7 @@ def covered(at: np.ndarray, n: int, size: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def slices(texts: pa.Array, limit: int = 4 * BLOCK):
+def slices(texts: pa.Array, limit: int = BLOCK):
     """Consecutive parts of a batch of about ``limit`` bytes, at least one text each."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
