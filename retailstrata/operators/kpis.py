@@ -78,6 +78,11 @@ def product_kpis(
     groups = _order_measures(orders, returns, by, fan_out).join(
         _stock_measures(inventory), "ProductName", "left"
     )
+    return kpis_of(groups, by, fan_out)
+
+
+def kpis_of(groups: DataFrame, by: Sequence[str], fan_out: bool = True) -> DataFrame:
+    """The KPIs from the measures of orders and stock of each group."""
     copies = F.coalesce("stock_rows", F.lit(1)) if fan_out else F.lit(1)
     order_rows = F.col("order_rows") * copies
     return_rows = F.col("return_ids") * copies

@@ -26,3 +26,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return _local_folder(app)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches; one that is not there is none to delete."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -1,0 +1,106 @@
+"""Merging changed and late rows by key."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from retailstrata.sources.listed import ListedTable
+
+SCHEMA = "id string, v double, month date, at int"
+
+
+def rows_of(spark, rows):
+    from datetime import date
+
+    return spark.createDataFrame([(k, v, m and date(2025, m, 1), at) for k, v, m, at in rows], SCHEMA)
+
+
+def bag(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def on_disk(path) -> dict[str, bytes]:
+    return {str(p.relative_to(path)): p.read_bytes() for p in Path(path).rglob("*.parquet") if "/data/" in str(p)}
+
+
+def table(spark, tmp_path, df, version=None) -> ListedTable:
+    out = ListedTable(spark, f"{tmp_path}/a table", "id", ("month",))
+    out.create(df, version)
+    return out
+
+
+def test_only_files_with_changed_keys_are_written_anew(spark, tmp_path):
+    rows = [(f"k{i}", float(i), 1 + i % 6, 1) for i in range(60)] + [(None, 0.5, None, 1)]
+    t = table(spark, tmp_path, rows_of(spark, rows))
+    before, files = on_disk(tmp_path), t.files()
+    changes = [("k0", 100.0, 1, 2), ("k6", 6.0, 5, 2), ("new", 1.0, 12, 2), ("k7", 7.0, 2, 1)]
+    assert t.merge(rows_of(spark, changes)) == 1
+    merged = {r[0]: r for r in rows} | {r[0]: r for r in changes}
+    assert bag(t.read()) == bag(rows_of(spark, list(merged.values())))
+    after = on_disk(tmp_path)
+    assert {k: after[k] for k in before} == before, "nothing is written in place"
+    kept = set(files) & set(t.files())
+    # k0 and k6 lie in January; k7 is as it was.
+    assert {f for f in files if "month=2025-01-01" in f} == set(files) - kept
+    assert bag(t.read(0)) == bag(rows_of(spark, rows)), "an older version stays as it was"
+
+
+def test_merging_the_same_again_changes_nothing(spark, tmp_path):
+    t = table(spark, tmp_path, rows_of(spark, [("a", 1.0, 1, 1), (None, float("nan"), None, 1)]))
+    changes = rows_of(spark, [("a", 2.0, 2, 1), ("b", None, None, 1), (None, float("nan"), None, 1)])
+    assert t.merge(changes) == 1
+    before = on_disk(tmp_path)
+    assert t.merge(changes) == 1 and on_disk(tmp_path) == before and t.versions() == [0, 1]
+    assert t.merge(changes.limit(0)) == 1
+
+
+def test_late_rows_do_not_replace_newer_ones(spark, tmp_path):
+    t = table(spark, tmp_path, rows_of(spark, [("a", 1.0, 1, 5), ("a", 0.0, 1, 4), ("b", 1.0, 1, None), (None, 1.0, 1, 3)]), "at")
+    late = [("a", 9.0, 2, 4), ("b", 9.0, 2, 1), (None, 9.0, 2, 3), ("c", 9.0, 2, 0), ("c", 8.0, 3, 1)]
+    t.merge(rows_of(spark, late), "at")
+    expected = [("a", 1.0, 1, 5), ("b", 9.0, 2, 1), (None, 9.0, 2, 3), ("c", 8.0, 3, 1)]
+    assert bag(t.read()) == bag(rows_of(spark, expected))
+
+
+def test_many_merges_equal_a_dictionary(spark, tmp_path):
+    rng = random.Random(2)
+    state: dict = {}
+
+    def some(n):
+        return {k: (k, float(rng.randint(0, 3)), rng.choice([None, 1, 2, 3]), 1) for k in (rng.choice([None, *map(str, range(40))]) for _ in range(n))}
+
+    first = some(30)
+    t = table(spark, tmp_path, rows_of(spark, list(first.values())))
+    state |= first
+    for _ in range(4):
+        changes = some(12)
+        t.merge(rows_of(spark, list(changes.values())))
+        state |= changes
+        assert bag(t.read()) == bag(rows_of(spark, list(state.values())))
+    t.forget(keep=2)
+    assert bag(t.read()) == bag(rows_of(spark, list(state.values()))) and len(t.versions()) == 2
+    named = {f.rsplit("/data/")[1] for v in t.versions() for f in t.files(v)}
+    assert {k.split("data/")[1] for k in on_disk(tmp_path)} == {n.replace("%20", " ") for n in named}
+
+
+def test_a_failed_merge_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path, rows_of(spark, [("a", 1.0, 1, 1)]))
+    monkeypatch.setattr(ListedTable, "_put_list", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        t.merge(rows_of(spark, [("a", 2.0, 2, 1)]))
+    monkeypatch.undo()
+    assert bag(t.read()) == bag(rows_of(spark, [("a", 1.0, 1, 1)]))
+    assert t.merge(rows_of(spark, [("a", 2.0, 2, 1)])) == 1 and t.read().first()["v"] == 2.0
+
+
+def test_tables_without_rows_and_other_columns(spark, tmp_path):
+    t = table(spark, tmp_path, rows_of(spark, []))
+    assert t.read().count() == 0 and t.read().dtypes == rows_of(spark, []).dtypes
+    t.merge(rows_of(spark, [("a", 1.0, None, 1)]))
+    assert t.read().count() == 1
+    with pytest.raises(ValueError, match="columns"):
+        t.merge(rows_of(spark, []).withColumn("more", F.lit(1)))
