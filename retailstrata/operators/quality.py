@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The refund statuses expected after cleaning, and the amount above which to review.
@@ -40,6 +40,21 @@ def violations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     )
 
 
+def judged(df: DataFrame, checks: Mapping[str, Column], counts: Observation | None = None) -> DataFrame:
+    """Every row with ``Reject_Reasons``, the names of the checks it breaks, and ``Rejected``: whether there are any.
+
+    A check on a missing value is not broken. With ``counts`` the numbers of ``violations`` and of ``Rejected`` rows are
+    taken while the rows are written, and need no read of their own.
+    """
+    broken = [F.when(~ok, F.lit(name)) for name, ok in checks.items()]
+    out = df.withColumn("Reject_Reasons", F.array_compact(F.array(*broken)))
+    out = out.withColumn("Rejected", F.size("Reject_Reasons") > 0)
+    if counts is None:
+        return out
+    each = [F.count(F.when(F.array_contains("Reject_Reasons", name), 1)).alias(name) for name in checks]
+    return out.observe(counts, F.count(F.lit(1)).alias("Rows"), *each, F.count(F.when(F.col("Rejected"), 1)).alias("Rejected"))
+
+
 def outside_list(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
     """How often each value that is not in the list occurs (null counts as such a value)."""
     known = F.coalesce(F.col(column).isin(*allowed), F.lit(False))

@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.kpis import kpis_of
-from ..operators.money import EXACT
-from ..sources.scratch import remove, shared_folder
+from ..operators.money import EXACT, added_parts, money_of, money_parts
+from ..sources.scratch import exists, remove, shared_folder
 
 STATES = {
     "orders": "OrderID string, number bigint, ProductName string, CustomerID string, OrderAmount double",
@@ -37,34 +37,6 @@ STATES = {
 }
 
 
-def _sums(amount: Column, name: str, plus: Column | None = None) -> list[Column]:
-    """A sum that loses nothing, in parts that can be added up: see ``money``. ``plus``: false to take off."""
-    exact = amount.try_cast(EXACT)
-    one = F.lit(1)
-    if plus is not None:
-        exact, amount, one = (F.when(plus, x).otherwise(-x) for x in (exact, amount, one))
-    parts = {
-        "values": F.sum(F.when(amount.isNotNull(), one).otherwise(0)),
-        "fits": F.sum(F.when(exact.isNotNull(), one).otherwise(0)),
-        "exact": F.try_sum(exact),
-        "double": F.sum(amount),
-    }
-    return [x.alias(f"{name}_{part}") for part, x in parts.items()]
-
-
-def _added(name: str) -> list[Column]:
-    """The parts of ``_sums`` added up."""
-    plain = [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("values", "fits", "double")]
-    # An exact sum that did not fit is null, and so is every total with it.
-    whole = F.count(F.when(F.col(f"{name}_exact").isNull() & (F.col(f"{name}_fits") != 0), 1)) == 0
-    return [*plain, F.when(whole, F.try_sum(f"{name}_exact")).alias(f"{name}_exact")]
-
-
-def _total(name: str) -> Column:
-    exact = F.when(F.col(f"{name}_fits") == F.col(f"{name}_values"), F.col(f"{name}_exact").cast("double"))
-    return F.when(F.col(f"{name}_values") > 0, F.coalesce(exact, F.col(f"{name}_double")))
-
-
 @dataclass(frozen=True)
 class KpiStates:
     """States under ``path``, a folder all executors share. One writer at a time."""
@@ -76,30 +48,22 @@ class KpiStates:
 
     def loads(self) -> dict[str, str]:
         """The folder of each load that counts, in order."""
-        lists = self.spark.read.schema("name string, folder string, place int, version int")
-        try:
-            rows = lists.parquet(f"{self.path}/loads").collect()  # one row for each load
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return {}
+        return self._last()[1]
+
+    def _last(self) -> tuple[int, dict[str, str]]:
+        """The number of the last list, and what it says."""
+        if not exists(self.spark, f"{self.path}/loads"):
+            return 0, {}
+        rows = self.spark.read.schema("name string, folder string, place int, version int").parquet(f"{self.path}/loads").collect()
         last = max((r["version"] for r in rows), default=0)
-        return {r["name"]: r["folder"] for r in sorted((r for r in rows if r["version"] == last), key=lambda r: r["place"])}
+        return last, {r["name"]: r["folder"] for r in sorted((r for r in rows if r["version"] == last), key=lambda r: r["place"])}
 
-    def _put_loads(self, loads: dict[str, str], version: int) -> None:
+    def _put_loads(self, loads: dict[str, str]) -> None:
+        version = self._last()[0] + 1
         rows = [(name, folder, i) for i, (name, folder) in enumerate(loads.items())]
         frame = self.spark.createDataFrame(rows, "name string, folder string, place int").coalesce(1)
         frame.write.mode("overwrite").parquet(f"{self.path}/loads/version={version}")
 
-    def _version(self) -> int:
-        try:
-            found = self.spark.read.schema("version int").parquet(f"{self.path}/loads").agg(F.max("version")).head()
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return 0
-        return found[0] or 0
-
     def state(self, name: str) -> DataFrame:
         folders = [f"{self.path}/states/{folder}/{name}" for folder in dict.fromkeys(self.loads().values())]
         read = self.spark.read.schema(STATES[name])
@@ -144,7 +108,7 @@ class KpiStates:
         finally:
             remove(self.spark, work)
         put(self._stock(inventory), "stock")
-        self._put_loads(loads | {load: folder}, self._version() + 1)
+        self._put_loads(loads | {load: folder})
         return True
 
     def _before_and_after(self, own: DataFrame, returned: DataFrame) -> DataFrame:
@@ -180,7 +144,7 @@ class KpiStates:
             signed(F.coalesce("return_ids", F.lit(0))).alias("return_ids"),
             signed(weight).alias("weight"),
             signed(F.when(F.col("OrderAmount").isNotNull(), weight).otherwise(0)).alias("amount_rows"),
-            *_sums(F.col("OrderAmount") * weight, "amount", F.col("plus")),
+            *money_parts(F.col("OrderAmount") * weight, "amount", F.col("plus")),
         ).select(*[c.split()[0] for c in STATES["products"].split(", ")])
 
     @staticmethod
@@ -192,7 +156,7 @@ class KpiStates:
     @staticmethod
     def _stock(inventory: DataFrame) -> DataFrame:
         return inventory.groupBy("ProductName").agg(
-            F.count(F.lit(1)).alias("stock_rows"), F.sum("Stock").cast("bigint").alias("stock"), *_sums(F.col("CostPrice"), "cost")
+            F.count(F.lit(1)).alias("stock_rows"), F.sum("Stock").cast("bigint").alias("stock"), *money_parts(F.col("CostPrice"), "cost")
         ).select(*[c.split()[0] for c in STATES["stock"].split(", ")])
 
     # --- reading ---------------------------------------------------------------------------------------
@@ -200,18 +164,18 @@ class KpiStates:
     def kpis(self) -> DataFrame:
         """The gold table of all loads: what ``gold_product_kpis`` gives for all their rows."""
         counts = ("order_rows", "return_ids", "weight", "amount_rows")
-        products = self.state("products").groupBy("ProductName").agg(*[F.sum(c).alias(c) for c in counts], *_added("amount"))
+        products = self.state("products").groupBy("ProductName").agg(*[F.sum(c).alias(c) for c in counts], *added_parts("amount"))
         customers = self.state("customers").groupBy("ProductName", "CustomerID").agg(F.sum("orders").alias("orders"))
         distinct = customers.where("orders > 0").groupBy(F.col("ProductName").alias("name")).agg(F.count(F.lit(1)).alias("customers"))
         stock = self.state("stock").groupBy(F.col("ProductName").alias("stocked")).agg(
-            F.sum("stock_rows").alias("stock_rows"), F.sum("stock").alias("stock"), *_added("cost")
+            F.sum("stock_rows").alias("stock_rows"), F.sum("stock").alias("stock"), *added_parts("cost")
         )
-        stock = stock.select("stocked", "stock_rows", "stock", F.try_divide(_total("cost"), "cost_values").alias("avg_cost"))
+        stock = stock.select("stocked", "stock_rows", "stock", F.try_divide(money_of("cost"), "cost_values").alias("avg_cost"))
         groups = (
             products.where("weight > 0")
             .join(distinct, F.col("ProductName").eqNullSafe(F.col("name")), "left")
             .join(stock, F.col("ProductName") == F.col("stocked"), "left")
-            .withColumns({"amount": _total("amount"), "customers": F.coalesce("customers", F.lit(0))})
+            .withColumns({"amount": money_of("amount"), "customers": F.coalesce("customers", F.lit(0))})
         )
         return kpis_of(groups, ("ProductName",))
 
@@ -226,13 +190,13 @@ class KpiStates:
         sums = {
             "orders": orders.select("OrderID", "o.*"),
             "returns": self.state("returns").groupBy("OrderID").agg(*[F.sum(c).alias(c) for c in ("return_rows", "return_ids")]),
-            "products": self.state("products").groupBy("ProductName").agg(*[F.sum(c).alias(c) for c in counts], *_added("amount")),
+            "products": self.state("products").groupBy("ProductName").agg(*[F.sum(c).alias(c) for c in counts], *added_parts("amount")),
             "customers": self.state("customers").groupBy("ProductName", "CustomerID").agg(F.sum("orders").alias("orders")).where("orders <> 0"),
-            "stock": self.state("stock").groupBy("ProductName").agg(*[F.sum(c).alias(c) for c in ("stock_rows", "stock")], *_added("cost")),
+            "stock": self.state("stock").groupBy("ProductName").agg(*[F.sum(c).alias(c) for c in ("stock_rows", "stock")], *added_parts("cost")),
         }
         for name, rows in sums.items():
             rows.select(*[c.split()[0] for c in STATES[name].split(", ")]).write.parquet(f"{self.path}/states/{folder}/{name}")
         # All loads share the folder now; it is read once.
-        self._put_loads(dict.fromkeys(loads, folder), self._version() + 1)
+        self._put_loads(dict.fromkeys(loads, folder))
         for old in set(loads.values()):
             remove(self.spark, f"{self.path}/states/{old}")

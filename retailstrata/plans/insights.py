@@ -67,3 +67,53 @@ def inventory_turnover(orders: DataFrame, inventory: DataFrame) -> DataFrame:
     stock = inventory.groupBy("ProductName").agg(F.sum("Stock").alias("Units_In_Stock"))
     turnover = F.round(F.try_divide("Units_Sold", "Units_In_Stock"), 2)
     return sold.join(stock, "ProductName", "left").withColumn("Turnover", turnover)
+
+
+def product_calendar(orders: DataFrame, months: int = 3) -> DataFrame:
+    """Orders and revenue per product for every month from its first to its last order, months without any as zero.
+
+    ``Revenue_Change`` and ``Revenue_Year_Before`` are against the month before and the same month a year before, null
+    before the product's first month. ``Rolling_Revenue`` is the mean of the last ``months`` months since then. Frames
+    go by the calendar, not by rows. Orders without a readable date have no month and are left out.
+    """
+    monthly = orders.where("OrderDate is not null").groupBy("ProductName", F.trunc("OrderDate", "month").alias("Order_Month")).agg(
+        F.count(F.lit(1)).alias("Orders"), money(F.col("OrderAmount")).alias("Revenue")
+    )
+    span = monthly.groupBy("ProductName").agg(F.min("Order_Month").alias("lo"), F.max("Order_Month").alias("hi"))
+    every = F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("Order_Month")
+    spine = span.select("ProductName", every, F.lit(0).cast("bigint").alias("Orders"), F.lit(0.0).alias("Revenue"))
+    dense = monthly.unionByName(spine).groupBy("ProductName", "Order_Month").agg(
+        F.sum("Orders").alias("Orders"), F.sum(F.coalesce("Revenue", F.lit(0.0))).alias("Revenue")
+    )
+    number = (F.year("Order_Month") * 12 + F.month("Order_Month")).cast("bigint")
+    by_month = Window.partitionBy("ProductName").orderBy(number)
+
+    def earlier(n: int):
+        return F.first("Revenue").over(by_month.rangeBetween(-n, -n))
+
+    return dense.select(
+        "ProductName",
+        "Order_Month",
+        "Orders",
+        "Revenue",
+        F.round(F.col("Revenue") - earlier(1), 2).alias("Revenue_Change"),
+        F.round(F.avg("Revenue").over(by_month.rangeBetween(1 - months, 0)), 2).alias("Rolling_Revenue"),
+        earlier(12).alias("Revenue_Year_Before"),
+    )
+
+
+def product_trend(orders: DataFrame) -> DataFrame:
+    """Per product the straight line through its monthly revenue, months without orders being zero.
+
+    ``Monthly_Growth`` is the slope in revenue a month, ``Fit`` the share of the variation the line explains; null
+    for a single month. ``Best_Year_Change`` is the largest gain on the same month a year before, null without one.
+    """
+    calendar = product_calendar(orders)
+    month = (F.year("Order_Month") * 12 + F.month("Order_Month")).cast("double")
+    several = F.count(F.lit(1)) > 1
+    return calendar.groupBy("ProductName").agg(
+        F.count(F.lit(1)).alias("Months"),
+        F.round(F.when(several, F.regr_slope(F.col("Revenue"), month)), 2).alias("Monthly_Growth"),
+        F.round(F.when(several, F.regr_r2(F.col("Revenue"), month)), 6).alias("Fit"),
+        F.round(F.max(F.col("Revenue") - F.col("Revenue_Year_Before")), 2).alias("Best_Year_Change"),
+    )

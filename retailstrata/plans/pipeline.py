@@ -11,20 +11,22 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fix_customer_prefix
 from ..operators import quality
-from ..operators.rows import dedup
+from ..operators.rows import dedup, quoted
 from ..sources import schemas
 from ..sources.extracts import promote_header, read_extract
-from ..sources.tables import DEFAULT_FORMAT, gathered, read_table, replace_partitions, write_table
+from ..sources.tables import DEFAULT_FORMAT, drop_if, gathered, read_table, replace_partitions, write_table
 from .gold import gold_product_kpis
 from .silver import silver_inventory, silver_orders, silver_returns
 
 GOLD_TABLE = "gold_product_month_kpis"
 CHECKS_TABLE = "returns_checks"
+JUDGED_TABLE = "returns_judged"
+REJECTED_TABLE = "returns_rejected"
 MONTHLY_TABLE = "silver_orders_by_month"
 MONTH = "Order_Month"
 
@@ -39,7 +41,9 @@ class Layers:
     that of the shuffle partitions of the run, so that each write task fills whole buckets.
 
     ``fix_prefixes`` puts misspelled customer ids right, ``dedup_returns`` keeps one row per ReturnID, both on
-    the way to silver. ``checked_on`` writes how many returns break which check as of that date.
+    the way to silver. ``checked_on`` writes how many returns break which check as of that date. With ``set_aside``
+    those that break one are moved from silver returns to a table of their own, with the reasons; the checks are
+    then counted while both are written.
     ``orders_by_month`` keeps silver orders also by month (null for undated ones); a later run replaces
     only the months it brings.
     """
@@ -50,6 +54,7 @@ class Layers:
     fix_prefixes: bool = False
     dedup_returns: bool = False
     checked_on: dt.date | None = None
+    set_aside: bool = False
     orders_by_month: bool = False
 
     def name(self, table: str) -> str:
@@ -89,7 +94,34 @@ def _corrected(df: DataFrame, table: str, layers: Layers) -> DataFrame:
 def run_silver(spark: SparkSession, layers: Layers = Layers()) -> None:
     for table, clean in SILVER.items():
         df = _corrected(clean(layers.read(spark, f"bronze_{table}")), table, layers)
-        layers.write(df, f"silver_{table}")
+        if table == "returns" and layers.set_aside:
+            write_judged(spark, df, layers)
+        else:
+            drop_if(spark, layers.name(f"silver_{table}"), view=True)
+            layers.write(df, f"silver_{table}")
+
+
+def write_judged(spark: SparkSession, returns: DataFrame, layers: Layers) -> None:
+    """Judge cleaned returns once: to one table by verdict, of which silver returns and the rejected ones are parts.
+
+    The silver orders must be there.
+    """
+    if layers.checked_on is None:
+        raise ValueError("returns are set aside as of a day: checked_on")
+    counts = Observation()
+    checks = quality.return_checks(layers.checked_on)
+    dated = quality.with_order_date(returns, layers.read(spark, "silver_orders"))
+    rows = quality.judged(dated, checks, counts).select(*map(quoted, returns.columns), "Reject_Reasons", "Rejected")
+    write_table(rows, layers.name(JUDGED_TABLE), layers.fmt, partition_by=["Rejected"])
+    # Both read one partition of it.
+    for name, rejected in (("silver_returns", False), (REJECTED_TABLE, True)):
+        drop_if(spark, layers.name(name), view=False)
+        columns = list(returns.columns) + ["Reject_Reasons"] * rejected
+        text = ", ".join(map(quoted, columns))
+        spark.sql(f"CREATE OR REPLACE VIEW {layers.name(name)} AS SELECT {text} FROM {layers.name(JUDGED_TABLE)} WHERE Rejected = {str(rejected).lower()}")
+    found = counts.get
+    names = ["Rows", *checks, "Rejected"]
+    layers.write(spark.createDataFrame([tuple(found[n] for n in names)], ", ".join(f"{n} bigint" for n in names)), CHECKS_TABLE)
 
 
 def run_checks(spark: SparkSession, layers: Layers) -> None:
@@ -119,7 +151,7 @@ def run_all(
     """Run the three layers and return the gold table."""
     run_bronze(spark, orders_path, returns_path, inventory_path, layers)
     run_silver(spark, layers)
-    if layers.checked_on is not None:
+    if layers.checked_on is not None and not layers.set_aside:
         run_checks(spark, layers)
     if layers.orders_by_month:
         run_monthly(spark, layers)

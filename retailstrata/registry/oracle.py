@@ -245,6 +245,86 @@ DEDUP_RETURNS = """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PART
 FROM silver_returns) WHERE rn = 1"""
 
 
+# --- segments, months, loads, misspelled names -----------------------------------------------------------
+
+SEGMENTED = f"""SELECT *, CASE WHEN "Recency_Class" >= 4 AND "Frequency_Class" >= 4 AND "Value_Class" >= 4 THEN 'champion'
+  WHEN "Frequency_Class" >= 4 THEN 'loyal' WHEN "Value_Class" >= 4 THEN 'big spender' WHEN "Recency_Class" >= 4 THEN 'recent'
+  WHEN "Recency_Class" <= 2 AND "Frequency_Class" <= 2 THEN 'lapsed' ELSE 'regular' END AS "Segment"
+FROM (SELECT *, {", ".join(
+    f'cast(ntile(5) OVER (ORDER BY "{value}" NULLS FIRST, "CustomerID") AS INTEGER) AS "{name}"'
+    for value, name in (("Last_Order", "Recency_Class"), ("Orders", "Frequency_Class"), ("Revenue", "Value_Class"))
+)} FROM (SELECT "CustomerID", max("OrderDate") AS "Last_Order", count("OrderID") AS "Orders", {_money('"OrderAmount"')} AS "Revenue"
+  FROM silver_orders GROUP BY "CustomerID"))"""
+
+_EXACT = "cast({} AS DECIMAL(38, 10))"
+PROFIT = f"""SELECT CASE WHEN grouping("ProductName") = 0 AND grouping("Segment") = 0 THEN 'product and segment'
+  WHEN grouping("ProductName") = 0 THEN 'product' WHEN grouping("Segment") = 0 THEN 'segment' ELSE 'all' END AS "Level",
+  "ProductName", "Segment", count(DISTINCT ("CustomerID", "ProductName")) AS "Customer_Products", count("OrderID") AS "Orders",
+  {_round2('cast(sum(revenue) AS DOUBLE)')} AS "Revenue", {_round2('coalesce(cast(sum(returned) AS DOUBLE), 0.0)')} AS "Returned_Amount",
+  coalesce(cast(sum("Quantity" * unit) AS DOUBLE), 0.0) AS "Cost",
+  {_round2('cast(sum(revenue) AS DOUBLE) - coalesce(cast(sum(returned) AS DOUBLE), 0.0) - coalesce(cast(sum("Quantity" * unit) AS DOUBLE), 0.0)')} AS "Profit"
+FROM (SELECT o.*, {_EXACT.format('o."OrderAmount"')} AS revenue, s."Segment", r.returned, cast(i.unit AS DECIMAL(18, 2)) AS unit
+  FROM silver_orders o JOIN segmented s ON o."CustomerID" = s."CustomerID"
+  LEFT JOIN (SELECT "OrderID", sum({_EXACT.format('"ReturnAmount"')}) AS returned FROM silver_returns GROUP BY "OrderID") r ON o."OrderID" = r."OrderID"
+  LEFT JOIN (SELECT "ProductName" AS p, {_round2('avg("CostPrice")')} AS unit FROM silver_inventory GROUP BY "ProductName") i ON o."ProductName" = i.p)
+GROUP BY GROUPING SETS (("ProductName", "Segment"), ("ProductName"), ("Segment"), ())"""
+
+MONTHS = f"""SELECT s."ProductName", s."Order_Month", coalesce(m.n, 0) AS "Orders", coalesce(m.revenue, 0.0) AS "Revenue"
+FROM (SELECT "ProductName", cast(unnest(generate_series(min(date_trunc('month', "OrderDate")), max(date_trunc('month', "OrderDate")), INTERVAL 1 MONTH)) AS DATE) AS "Order_Month"
+  FROM silver_orders WHERE "OrderDate" IS NOT NULL GROUP BY "ProductName") s
+LEFT JOIN (SELECT "ProductName", cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month", count(*) AS n, {_money('"OrderAmount"')} AS revenue
+  FROM silver_orders GROUP BY ALL) m ON s."ProductName" = m."ProductName" AND s."Order_Month" = m."Order_Month\""""
+
+CALENDAR = f"""SELECT m.*, {_round2('m."Revenue" - b."Revenue"')} AS "Revenue_Change",
+  {_round2('(SELECT avg(w."Revenue") FROM months w WHERE w."ProductName" = m."ProductName" AND w."Order_Month" BETWEEN m."Order_Month" - INTERVAL 2 MONTH AND m."Order_Month")')} AS "Rolling_Revenue",
+  y."Revenue" AS "Revenue_Year_Before"
+FROM months m LEFT JOIN months b ON b."ProductName" = m."ProductName" AND b."Order_Month" = m."Order_Month" - INTERVAL 1 MONTH
+LEFT JOIN months y ON y."ProductName" = m."ProductName" AND y."Order_Month" = m."Order_Month" - INTERVAL 1 YEAR"""
+
+PRODUCT_TREND = f"""SELECT m."ProductName", count(*) AS "Months",
+  CASE WHEN count(*) > 1 THEN {_round2('regr_slope(m."Revenue", year(m."Order_Month") * 12 + month(m."Order_Month"))')} END AS "Monthly_Growth",
+  CASE WHEN count(*) > 1 THEN round(regr_r2(m."Revenue", year(m."Order_Month") * 12 + month(m."Order_Month")), 6) END AS "Fit",
+  {_round2('max(m."Revenue" - y."Revenue")')} AS "Best_Year_Change"
+FROM months m LEFT JOIN months y ON y."ProductName" = m."ProductName" AND y."Order_Month" = m."Order_Month" - INTERVAL 1 YEAR
+GROUP BY m."ProductName\""""
+
+MERGED = """SELECT *, cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month"
+FROM (SELECT * REPLACE (CASE WHEN "Quantity" % 3 = 1 THEN "OrderAmount" + 1 ELSE "OrderAmount" END AS "OrderAmount",
+    CASE WHEN "Quantity" % 3 = 1 THEN cast("OrderDate" + 40 AS DATE) ELSE "OrderDate" END AS "OrderDate"),
+  cast(CASE "Quantity" % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 2 END AS INTEGER) AS "Version" FROM silver_orders)"""
+
+MOVED = """SELECT * REPLACE (CASE WHEN "Quantity" % 6 = 1 THEN "OrderAmount" + 1 ELSE "OrderAmount" END AS "OrderAmount",
+  CASE WHEN "Quantity" % 6 = 1 THEN "CustomerID" || 'x' ELSE "CustomerID" END AS "CustomerID",
+  CASE WHEN "Quantity" % 6 = 1 THEN 'hot product' ELSE "ProductName" END AS "ProductName") FROM silver_orders"""
+
+
+def _kpis_over(orders: str, returns: str) -> str:
+    chosen = ", ".join(f'{sql} AS "{name}"' for name, sql in KPIS.items())
+    rows = CTES["enriched"].replace("silver_orders", orders).replace("silver_returns", returns)
+    return f'SELECT "ProductName", {chosen} FROM ({rows}) GROUP BY "ProductName"'
+
+
+SIMILAR = """SELECT x.t AS a, y.t AS b, cast(levenshtein(x.t, y.t) AS INTEGER) AS distance, x.n AS rows_a, y.n AS rows_b
+FROM names x JOIN names y ON x.t < y.t AND levenshtein(x.t, y.t) <= 2"""
+
+MATCHED = """SELECT u.t AS text, m.match, cast(m.distance AS INTEGER) AS distance, coalesce(m.ties, 0) AS ties FROM unknown u
+LEFT JOIN (SELECT u.t, min(n.t) AS match, levenshtein(u.t, n.t) AS distance, count(*) AS ties FROM unknown u JOIN names n
+    ON levenshtein(u.t, n.t) <= 1 GROUP BY u.t, levenshtein(u.t, n.t)
+  QUALIFY row_number() OVER (PARTITION BY u.t ORDER BY levenshtein(u.t, n.t)) = 1) m ON u.t = m.t"""
+NAMES = 'SELECT "ProductName" AS t, count(*) AS n FROM silver_inventory WHERE "ProductName" IS NOT NULL GROUP BY "ProductName"'
+UNKNOWN = """SELECT DISTINCT t FROM (SELECT CASE "Quantity" % 5 WHEN 0 THEN substr("ProductName", 1, 2) || substr("ProductName", 4)
+  WHEN 1 THEN substr("ProductName", 1, 3) || 'x' || substr("ProductName", 4) ELSE "ProductName" END AS t FROM silver_orders)
+WHERE t NOT IN (SELECT t FROM names)"""
+
+# Broken checks of a return by their names, and whether there are any.
+_BROKEN = """concat_ws(',', CASE WHEN "ReturnAmount" <= 0 THEN 'AmountPositive' END,
+  CASE WHEN "ReturnDate" > DATE '1999-12-31' THEN 'DateNotInFuture' END, CASE WHEN "ReturnDate" <= "OrderDate" THEN 'DateAfterOrder' END)"""
+JUDGED = f"""SELECT *, {_BROKEN} AS "Reject_Reasons" FROM dated"""
+
+MISSPELLED = """SELECT * REPLACE (CASE cast(substr(trim("Customer_ID"), 5) AS INTEGER) % 3 WHEN 0 THEN 'CUST' WHEN 1 THEN 'CST' ELSE 'CT' END
+  || substr(trim("Customer_ID"), 5) AS "Customer_ID") FROM raw_returns"""
+
+
 def all_oracles() -> dict[str, str]:
     sql = {name: rule(*args) for name, args in RULES.items()}
     sql |= {
@@ -346,6 +426,39 @@ WHERE "ReturnReason" IS NULL OR "ReturnReason" NOT IN ('Damaged', 'Late') GROUP
   cast(date_trunc('month', "OrderDate") AS DATE) AS "Order_Month" FROM silver_orders""",
             "silver_orders",
         ),
+        "customer_segments": with_ctes(SEGMENTED, "silver_orders"),
+        "segment_profit": with_ctes(PROFIT, "silver_orders", "silver_returns", "silver_inventory", segmented=SEGMENTED),
+        "product_calendar": with_ctes(CALENDAR, "silver_orders", months=MONTHS),
+        "product_trend": with_ctes(PRODUCT_TREND, "silver_orders", months=MONTHS),
+        "merge_orders": with_ctes(MERGED, "silver_orders"),
+        "incremental_kpis": with_ctes(_kpis_over("moved", "silver_returns"), "silver_orders", "silver_returns", "silver_inventory", moved=MOVED),
+        "similar_products": with_ctes(SIMILAR, "silver_inventory", names=NAMES),
+        "match_products": with_ctes(MATCHED, "silver_orders", "silver_inventory", names=NAMES, unknown=UNKNOWN),
+        "map_status_table": with_ctes(
+            """SELECT "ReturnID", "RefundStatus", CASE "RefundStatus" WHEN 'inprogress' THEN 'in progress'
+  WHEN 'failed' THEN 'rejected' ELSE "RefundStatus" END AS "StandardStatus" FROM silver_returns""",
+            "silver_returns",
+        ),
+        "unmapped_statuses": with_ctes(
+            """SELECT "RefundStatus", count(*) AS "Rows" FROM silver_returns
+WHERE "RefundStatus" IS NULL OR "RefundStatus" NOT IN ('inprogress', 'failed') GROUP BY "RefundStatus\"""",
+            "silver_returns",
+        ),
+        "rejected_returns": with_ctes(
+            """SELECT * EXCLUDE ("OrderDate") FROM judged WHERE "Reject_Reasons" <> ''""",
+            "silver_orders", "silver_returns", dated=DATED_RETURNS, judged=JUDGED,
+        ),
+        "judged_gold": with_ctes(
+            _kpis_over("silver_orders", "accepted"), "silver_orders", "silver_returns", "silver_inventory",
+            dated=DATED_RETURNS, judged=JUDGED, accepted="""SELECT * FROM judged WHERE "Reject_Reasons" = ''""",
+        ),
+        "corrected_pipeline": with_ctes(
+            DEDUP_RETURNS.replace("silver_returns", "corrected"), "raw_returns", misspelled=MISSPELLED,
+            cleaned=CTES["silver_returns"].replace("raw_returns", "misspelled"),
+            corrected="""SELECT * REPLACE (CASE WHEN "CustomerID" LIKE 'CUST%' THEN "CustomerID"
+  WHEN "CustomerID" LIKE 'CST%' THEN 'CUST' || substr("CustomerID", 4) WHEN "CustomerID" LIKE 'CT%' THEN 'CUST' || substr("CustomerID", 3)
+  ELSE "CustomerID" END AS "CustomerID") FROM cleaned""",
+        ),
         "gold_kpi_no_fanout": with_ctes(NO_FANOUT, "silver_orders", "silver_returns", "silver_inventory"),
     }
     return sql

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as clean
-from ..operators import quality, rows
+from ..operators import fuzzy, lookups, quality, rows
 from ..operators.joins import left_join
-from ..plans import gold, insights, pipeline, silver
+from ..plans import gold, insights, pipeline, segments, silver
+from ..plans.incremental import KpiStates
 from ..sources import schemas, tables
 from ..sources.extracts import promote_header, read_extract
+from ..sources.listed import ListedTable
 from ..sources.scratch import shared_folder
 from .frames import raw_inventory, raw_orders, raw_returns
 
@@ -75,14 +77,14 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
-def _layered(spark: SparkSession, sf_dir: str, table: str, **steps) -> DataFrame:
+def _layered(spark: SparkSession, sf_dir: str, table: str, returns: Query = raw_returns, **steps) -> DataFrame:
     """Extract files to bronze, silver and gold tables, in a database that is dropped after ``table`` was copied."""
     folder = _new_folder(spark)
     database = f"retail_{folder[-8:]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
     extracts = {
         "orders": raw_orders(spark, sf_dir),
-        "returns": with_header_row(raw_returns(spark, sf_dir)),
+        "returns": with_header_row(returns(spark, sf_dir)),
         "inventory": raw_inventory(spark, sf_dir),
     }
     for name, df in extracts.items():
@@ -111,6 +113,29 @@ def checked_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misspelled_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw returns of which two of three have a misspelled customer prefix."""
+    number = F.substr(F.trim("Customer_ID"), F.lit(5))
+    prefix = F.element_at(F.array(F.lit("CUST"), F.lit("CST"), F.lit("CT")), number.cast("int") % 3 + 1)
+    return raw_returns(spark, sf_dir).withColumn("Customer_ID", F.concat(prefix, number))
+
+
+def corrected_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver returns of a run that puts misspelled customer ids right and keeps one row per ReturnID."""
+    return _layered(spark, sf_dir, "silver_returns", misspelled_returns, fix_prefixes=True, dedup_returns=True)
+
+
+def rejected_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns that a run has set aside, with their reasons."""
+    found = _layered(spark, sf_dir, pipeline.REJECTED_TABLE, checked_on=CHECK_DATE, set_aside=True)
+    return found.withColumn("Reject_Reasons", F.array_join("Reject_Reasons", ","))
+
+
+def judged_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold table over the accepted returns."""
+    return _layered(spark, sf_dir, pipeline.GOLD_TABLE, checked_on=CHECK_DATE, set_aside=True)
+
+
 def typed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver inventory of an extract file with numbers in numeric columns."""
     path = _new_folder(spark)
@@ -296,6 +321,101 @@ def inventory_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.inventory_turnover(_orders(spark, sf_dir), _inventory(spark, sf_dir))
 
 
+def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.customer_segments(_orders(spark, sf_dir), _returns(spark, sf_dir))
+
+
+def segment_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.segment_profit(*_silver(spark, sf_dir))
+
+
+def product_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.product_calendar(_orders(spark, sf_dir))
+
+
+def product_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.product_trend(_orders(spark, sf_dir))
+
+
+# --- loads ----------------------------------------------------------------------------------------
+
+
+def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = _new_folder(spark)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of three orders stored by month, then changes merged twice: the third ones new, some changed, some late."""
+    orders = _stored(spark, _orders(spark, sf_dir))
+    kind = F.col("Quantity") % 3
+    month = F.trunc("OrderDate", "month")
+    first = orders.where(kind != 0).withColumns({"Version": F.lit(2), "Order_Month": month})
+    amount = F.col("OrderAmount") + F.when(kind == 1, 1.0).when(kind == 2, -1.0).otherwise(0.0)
+    moved = F.when(kind == 1, F.date_add("OrderDate", 40)).otherwise(F.col("OrderDate"))
+    version = F.when(kind == 1, 3).otherwise(1)
+    changes = orders.withColumns({"OrderAmount": amount, "OrderDate": moved, "Version": version}).withColumn("Order_Month", month)
+    table = ListedTable(spark, _new_folder(spark), "OrderID", ("Order_Month",))
+    table.create(first, "Version")
+    for _ in range(2):
+        table.merge(changes, "Version")
+    return table.read()
+
+
+def incremental_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold KPIs of three loads: part of the orders, returns and inventory; the rest, with returns of earlier orders and
+    orders that moved to another customer and product; and the second one again."""
+    orders, returns, inventory = (_stored(spark, df) for df in _silver(spark, sf_dir))
+    moved = F.col("Quantity") % 6 == 1
+    later = orders.withColumns({
+        "OrderAmount": F.when(moved, F.col("OrderAmount") + 1).otherwise(F.col("OrderAmount")),
+        "CustomerID": F.when(moved, F.concat("CustomerID", F.lit("x"))).otherwise(F.col("CustomerID")),
+        "ProductName": F.when(moved, F.lit("hot product")).otherwise(F.col("ProductName")),
+    })
+    late, here = F.col("ReturnReason") == "Late", F.coalesce(F.col("Available"), F.lit(False))
+    loads = {
+        "first": (orders.where("Quantity % 3 <> 0"), returns.where(~late), inventory.where(here)),
+        "second": (later.where((F.col("Quantity") % 3 == 0) | moved), returns.where(late), inventory.where(~here)),
+    }
+    states = KpiStates(spark, _new_folder(spark))
+    for name in ("first", "second", "second"):
+        states.add(name, *loads[name])
+    return states.kpis()
+
+
+# --- misspelled names, mapping tables --------------------------------------------------------------
+
+
+def similar_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product names of the inventory within two edits of each other."""
+    return fuzzy.similar_texts(_inventory(spark, sf_dir), "ProductName", 2)
+
+
+def match_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest known name of each product name of the orders, two of five of which are misspelled."""
+    name, kind = F.col("ProductName"), F.col("Quantity") % 5
+    without = F.concat(F.substring(name, 1, 2), F.substr(name, F.lit(4)))
+    more = F.concat(F.substring(name, 1, 3), F.lit("x"), F.substr(name, F.lit(4)))
+    typed = _orders(spark, sf_dir).select(F.when(kind == 0, without).when(kind == 1, more).otherwise(name).alias("ProductName"))
+    return fuzzy.nearest_known(typed, "ProductName", _inventory(spark, sf_dir).select("ProductName"), 1)
+
+
+def _status_table(spark: SparkSession) -> DataFrame:
+    return _stored(spark, spark.createDataFrame([*STATUS_NAMES.items()], "status string, standard string"))
+
+
+def map_status_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refund statuses in standard form by a stored table."""
+    mapped = lookups.mapped(_returns(spark, sf_dir), "RefundStatus", _status_table(spark), "status", "standard", "StandardStatus")
+    return mapped.select("ReturnID", "RefundStatus", "StandardStatus")
+
+
+def unmapped_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refund statuses that the stored table has no entry for."""
+    return lookups.unmapped(_returns(spark, sf_dir), "RefundStatus", _status_table(spark), "status")
+
+
 def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by month, undated ones too; the months of 1995 are written without amounts first, then replaced alone."""
     path = _new_folder(spark)
@@ -353,4 +473,17 @@ def all_queries() -> dict[str, Query]:
         "customer_value": customer_value,
         "inventory_turnover": inventory_turnover,
         "partitioned_table": partitioned_table,
+        "corrected_pipeline": corrected_pipeline,
+        "rejected_returns": rejected_returns,
+        "judged_gold": judged_gold,
+        "customer_segments": customer_segments,
+        "segment_profit": segment_profit,
+        "product_calendar": product_calendar,
+        "product_trend": product_trend,
+        "merge_orders": merge_orders,
+        "incremental_kpis": incremental_kpis,
+        "similar_products": similar_products,
+        "match_products": match_products,
+        "map_status_table": map_status_table,
+        "unmapped_statuses": unmapped_statuses,
     }

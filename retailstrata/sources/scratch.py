@@ -28,7 +28,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(app)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder of any file system that Spark reaches; one that is not there is none to delete."""
+def _target(spark: SparkSession, path: str):
+    """A path and its file system, whichever Spark reaches."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _target(spark, path)
+    return files.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; one that is not there is none to delete."""
+    target, files = _target(spark, path)
+    files.delete(target, True)

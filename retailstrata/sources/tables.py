@@ -66,5 +66,11 @@ def replace_partitions(df: DataFrame, name: str) -> None:
         spark.catalog.refreshTable(name)
 
 
+def drop_if(spark: SparkSession, name: str, view: bool) -> None:
+    """Drop what has this name if it is a view, or if it is a table, to make room for the other."""
+    if spark.catalog.tableExists(name) and (spark.catalog.getTable(name).tableType == "VIEW") == view:
+        spark.sql(f"DROP {'VIEW' if view else 'TABLE'} {name}")
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)

@@ -230,3 +230,27 @@ def test_intermediate_files_go_to_the_shared_folder():
     assert shared_folder(FakeSession("local[4]", None)) == shared_folder(FakeSession("local[4]", None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(FakeSession("yarn", None))
+
+
+def test_returns_are_set_aside_in_one_pass(spark, tmp_path):
+    """Accepted and rejected returns add up, the counts are those of the checks, and a run without it takes over again."""
+    import datetime as dt
+
+    database = f"retail_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    extracts = {"orders": frames.raw_orders(spark, SF_DIR), "returns": queries.with_header_row(frames.raw_returns(spark, SF_DIR)), "inventory": frames.raw_inventory(spark, SF_DIR)}
+    for name, df in extracts.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    paths = [f"{tmp_path}/{n}" for n in extracts]
+    layers = pipeline.Layers(database=database, checked_on=dt.date(1999, 12, 31), set_aside=True)
+    for _ in range(2):
+        pipeline.run_all(spark, *paths, layers=layers)
+        accepted, rejected = (layers.read(spark, t) for t in ("silver_returns", pipeline.REJECTED_TABLE))
+        counts = layers.read(spark, pipeline.CHECKS_TABLE).first().asDict()
+        assert accepted.count() + rejected.count() == counts["Rows"] == frames.raw_returns(spark, SF_DIR).count()
+        assert rejected.count() == counts.pop("Rejected") > 0
+        assert counts == queries.check_returns(spark, SF_DIR).first().asDict()
+    pipeline.run_all(spark, *paths, layers=pipeline.Layers(database=database))
+    assert layers.read(spark, "silver_returns").count() == counts["Rows"]
+    with pytest.raises(ValueError, match="checked_on"):
+        pipeline.run_silver(spark, pipeline.Layers(database=database, set_aside=True))
