@@ -431,6 +431,18 @@ WHERE "ReturnReason" IS NULL OR "ReturnReason" NOT IN ('Damaged', 'Late') GROUP
         "product_calendar": with_ctes(CALENDAR, "silver_orders", months=MONTHS),
         "product_trend": with_ctes(PRODUCT_TREND, "silver_orders", months=MONTHS),
         "merge_orders": with_ctes(MERGED, "silver_orders"),
+        "clustered_orders": with_ctes(
+            """SELECT "OrderID", "ProductName", "OrderDate", "OrderAmount", 'product' AS "Asked" FROM silver_orders WHERE "ProductName" = 'hot product'
+UNION ALL SELECT "OrderID", "ProductName", "OrderDate", "OrderAmount", 'month' FROM silver_orders
+WHERE "OrderDate" BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'""",
+            "silver_orders",
+        ),
+        "mixed_extracts": with_ctes(
+            f"""SELECT "ProductName", CASE kind WHEN 1 THEN try_cast(nullif(regexp_extract("cost_price", '[0-9.]+'), '') AS DOUBLE) ELSE {COST} END AS "CostPrice",
+  {STOCKED} AS "LastStocked", CASE kind WHEN 0 THEN {STOCK} ELSE try_cast("stock" AS INTEGER) END AS "Stock", {WAREHOUSE} AS "Warehouse", {AVAILABLE} AS "Available"
+FROM (SELECT * EXCLUDE ("productName"), "productName" AS "ProductName", length("productName") % 3 AS kind FROM raw_inventory)""",
+            "raw_inventory",
+        ),
         "incremental_kpis": with_ctes(_kpis_over("moved", "silver_returns"), "silver_orders", "silver_returns", "silver_inventory", moved=MOVED),
         "similar_products": with_ctes(SIMILAR, "silver_inventory", names=NAMES),
         "match_products": with_ctes(MATCHED, "silver_orders", "silver_inventory", names=NAMES, unknown=UNKNOWN),

@@ -15,7 +15,7 @@ from ..operators.joins import left_join
 from ..plans import gold, insights, pipeline, segments, silver
 from ..plans.incremental import KpiStates
 from ..sources import schemas, tables
-from ..sources.extracts import promote_header, read_extract
+from ..sources.extracts import promote_header, read_extract, read_mixed_extract
 from ..sources.listed import ListedTable
 from ..sources.scratch import shared_folder
 from .frames import raw_inventory, raw_orders, raw_returns
@@ -145,6 +145,18 @@ def typed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_inventory(read_extract(spark, path, schemas.RAW_INVENTORY))
 
 
+def mixed_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver inventory of an extract with three kinds of files: texts, numbers in numeric columns, other names and order."""
+    path = _new_folder(spark)
+    raw, kind = raw_inventory(spark, sf_dir), F.char_length("productName") % 3
+    stock, cost = F.col("stock").try_cast("int"), F.regexp_extract("cost_price", "[0-9.]+", 0).try_cast("double")
+    raw.where(kind == 0).write.parquet(path)
+    raw.where(kind == 1).withColumns({"stock": stock, "cost_price": cost}).write.mode("append").parquet(path)
+    other = raw.where(kind == 2).withColumns({"stock": stock.cast("double"), "note": F.lit(1)})
+    other.select("note", *[F.col(c).alias(c.upper()) for c in reversed(raw.columns)]).write.mode("append").parquet(path)
+    return silver.silver_inventory(read_mixed_extract(spark, path, schemas.RAW_INVENTORY))
+
+
 def unknown_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unknown_statuses(_returns(spark, sf_dir))
 
@@ -363,6 +375,16 @@ def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def clustered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of one product, and all orders of one month, each from the files that may hold some, of a clustered table."""
+    orders = _orders(spark, sf_dir).select("OrderID", "ProductName", "OrderDate", "OrderAmount")
+    table = ListedTable(spark, _new_folder(spark), "OrderID", cluster_by=("ProductName", "OrderDate"), files_each=32)
+    table.create(orders)
+    of_product = table.read_between("ProductName", "hot product", "hot product").withColumn("Asked", F.lit("product"))
+    of_month = table.read_between("OrderDate", dt.date(1996, 3, 1), dt.date(1996, 3, 31)).withColumn("Asked", F.lit("month"))
+    return of_product.unionByName(of_month)
+
+
 def incremental_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold KPIs of three loads: part of the orders, returns and inventory; the rest, with returns of earlier orders and
     orders that moved to another customer and product; and the second one again."""
@@ -480,6 +502,8 @@ def all_queries() -> dict[str, Query]:
         "segment_profit": segment_profit,
         "product_calendar": product_calendar,
         "product_trend": product_trend,
+        "mixed_extracts": mixed_extracts,
+        "clustered_orders": clustered_orders,
         "merge_orders": merge_orders,
         "incremental_kpis": incremental_kpis,
         "similar_products": similar_products,

@@ -5,6 +5,9 @@ that hold a changed key, writes their other rows together with the changes to ne
 list: the one step that makes the change visible. All other files keep their name and bytes. A merge that fails before
 that leaves files that no list names. A reader takes the last list and keeps what it names, whatever is merged
 meanwhile. One writer at a time.
+
+The list can hold the smallest and largest value of some columns in every file. A read that asks for a range of one of them opens
+only the files that may have it.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.rows import dedup, quoted
+from .layout import clustered
 from .scratch import remove, shared_folder
 from .tables import gathered
 
@@ -28,12 +32,15 @@ _FILE = "__file"
 
 @dataclass(frozen=True)
 class ListedTable:
-    """``key`` names one row (a null key is a key like any other); files are written by ``partition_by``."""
+    """``key`` names one row (a null key is a key like any other); files are written by ``partition_by``, or, with
+    ``cluster_by``, as ``files_each`` ranges of a load close in those columns, whose smallest and largest values are listed."""
 
     spark: SparkSession
     path: str
     key: str
     partition_by: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+    files_each: int = 64
 
     # --- the lists -----------------------------------------------------------------------------------
 
@@ -42,16 +49,28 @@ class ListedTable:
         lists = self.spark.read.schema("file string, version int").parquet(f"{self.path}/lists")
         return sorted(r["version"] for r in lists.select("version").distinct().collect())
 
+    def _entries(self, version: int | None = None) -> DataFrame:
+        """``file`` and, for each column that is clustered by, ``lo_`` and ``hi_`` its values, of a version."""
+        chosen = self.versions()[-1] if version is None else version
+        return self.spark.read.parquet(f"{self.path}/lists/version={chosen}").where("file is not null")
+
     def files(self, version: int | None = None) -> list[str]:
         """The files of a version, the current one by default."""
-        chosen = self.versions()[-1] if version is None else version
-        rows = self.spark.read.schema("file string").parquet(f"{self.path}/lists/version={chosen}").collect()
-        return sorted(r["file"] for r in rows if r["file"] is not None)
+        return sorted(r["file"] for r in self._entries(version).select("file").collect())
 
-    def _put_list(self, version: int, files: Sequence[str]) -> None:
+    def _put_list(self, version: int, entries: DataFrame) -> None:
         # A row without a file makes the list of an empty table a list.
-        rows = self.spark.createDataFrame([(f,) for f in files] or [(None,)], "file string")
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/lists/version={version}")
+        none = self.spark.createDataFrame([(None,)], "file string")
+        entries.unionByName(none, allowMissingColumns=True).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/lists/version={version}")
+
+    def _listed(self, files: Sequence[str]) -> DataFrame:
+        """The entries of newly written files."""
+        names = self.spark.createDataFrame([(f,) for f in files], "file string")
+        if not self.cluster_by:
+            return names
+        ends = [f(quoted(c)).alias(f"{name}_{c}") for c in self.cluster_by for name, f in (("lo", F.min), ("hi", F.max))]
+        found = self._scan(files).groupBy(F.col(_FILE).alias("file")).agg(*ends)
+        return names.join(found, "file", "left")
 
     # --- reading ---------------------------------------------------------------------------------------
 
@@ -70,12 +89,22 @@ class ListedTable:
         """The rows of a version, the current one by default."""
         return self._scan(self.files(version)).drop(_FILE)
 
+    def read_between(self, column: str, low: object, high: object, version: int | None = None) -> DataFrame:
+        """Rows with a value of a column that is clustered by from ``low`` to ``high``; other files are not opened."""
+        if column not in self.cluster_by:
+            raise ValueError(f"the table is not clustered by {column}")
+        there = (F.col(quoted(f"lo_{column}")) <= F.lit(high)) & (F.col(quoted(f"hi_{column}")) >= F.lit(low))
+        files = [r["file"] for r in self._entries(version).where(there).select("file").collect()]
+        return self._scan(files).drop(_FILE).where(F.col(quoted(column)).between(F.lit(low), F.lit(high)))
+
     # --- writing ---------------------------------------------------------------------------------------
 
     def _load(self, rows: DataFrame) -> list[str]:
         """Write rows to files of their own; their names."""
         folder = f"{self.path}/data/load=l{uuid4().hex}"
-        if self.partition_by:
+        if self.cluster_by:
+            clustered(rows, self.cluster_by, self.files_each).write.parquet(folder)
+        elif self.partition_by:
             gathered(rows, self.partition_by, [self.key]).write.partitionBy(*self.partition_by).parquet(folder)
         else:
             rows.hint("rebalance").write.parquet(folder)
@@ -87,7 +116,11 @@ class ListedTable:
         """The first version, one row of each key as ``merge`` chooses them."""
         text = json.dumps(df.schema.jsonValue())
         self.spark.createDataFrame([(text,)], "schema string").coalesce(1).write.parquet(f"{self.path}/schema")
-        self._put_list(0, self._load(self._newest(df, version)))
+        work = f"{shared_folder(self.spark)}/create-{uuid4().hex}"
+        try:
+            self._put_list(0, self._listed(self._load(self._stored(self._newest(df, version), work))))
+        finally:
+            remove(self.spark, work)
         return 0
 
     def _newest(self, df: DataFrame, version: str | None) -> DataFrame:
@@ -121,8 +154,10 @@ class ListedTable:
             touched = [r[_FILE] for r in news.where(F.col(_FILE).isNotNull()).select(_FILE).distinct().collect()]
             rest = self._scan(touched).drop(_FILE)
             rest = rest.alias("t").join(news.select(quoted(self.key)).alias("n"), self._same_key("t", "n"), "left_anti")
-            added = self._load(rest.unionByName(news.drop(_FILE)))
-            self._put_list(number + 1, [*sorted(set(files) - set(touched)), *added])
+            rows = rest.unionByName(news.drop(_FILE))
+            added = self._load(self._stored(rows, f"{work}/rows") if self.cluster_by else rows)
+            entries = self._entries(number).where(~F.col("file").isin(touched))
+            self._put_list(number + 1, entries.unionByName(self._listed(added), allowMissingColumns=True))
             return number + 1
         finally:
             remove(self.spark, work)

@@ -20,7 +20,7 @@ def rows_of(spark, rows):
 
 
 def bag(df):
-    return sorted(map(tuple, df.collect()), key=repr)
+    return sorted(repr(tuple(r)) for r in df.collect())
 
 
 def on_disk(path) -> dict[str, bytes]:
@@ -104,3 +104,45 @@ def test_tables_without_rows_and_other_columns(spark, tmp_path):
     assert t.read().count() == 1
     with pytest.raises(ValueError, match="columns"):
         t.merge(rows_of(spark, []).withColumn("more", F.lit(1)))
+
+
+def test_clustered_files_are_left_out_by_either_column(spark, tmp_path):
+    rows = [(f"k{i}", float(i % 50), 1 + i // 400 % 12, i) for i in range(4800)]
+    df = rows_of(spark, rows).withColumn("v", F.when(F.col("at") % 3 == 0, 7.0).otherwise(F.col("v")))
+    t = ListedTable(spark, f"{tmp_path}/t", "id", cluster_by=("v", "month"), files_each=36)
+    t.create(df)
+    from datetime import date
+
+    files = len(t.files())
+    assert files >= 30
+    for column, low, high in (("v", 30.0, 31.0), ("month", date(2025, 5, 1), date(2025, 5, 1)), ("v", 7.0, 7.0)):
+        found = t.read_between(column, low, high)
+        assert bag(found) == bag(df.where(F.col(column).between(low, high)))
+        read = len(found.inputFiles())
+        assert read <= 0.7 * files, (column, read, files)  # a sort by one column would leave all files to the other
+    assert t.read_between("v", 1000.0, 2000.0).count() == 0
+    changes = df.where("at % 100 = 0").withColumn("v", F.lit(1500.0))
+    t.merge(changes)
+    assert bag(t.read_between("v", 1000.0, 2000.0)) == bag(changes) and t.read().count() == 4800
+    with pytest.raises(ValueError, match="clustered"):
+        t.read_between("at", 1, 2)
+
+
+def test_interleaved_bits(spark):
+    from retailstrata.sources.layout import interleaved
+
+    rows = [(a, b) for a in range(8) for b in range(8)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    for r in df.withColumn("c", interleaved([F.col("a"), F.col("b")], 3)).collect():
+        assert r["c"] == sum((r["a"] >> k & 1) << (2 * k + 1) | (r["b"] >> k & 1) << (2 * k) for k in range(3))
+
+
+def test_clustering_odd_columns(spark, tmp_path):
+    t = ListedTable(spark, f"{tmp_path}/t", "id", cluster_by=("v", "month"), files_each=4)
+    rows = [("a", None, None, 1), ("b", float("nan"), None, 1), ("c", None, 3, 1), (None, 1.0, 3, 1)]
+    t.create(rows_of(spark, rows))
+    assert bag(t.read()) == bag(rows_of(spark, rows)) and t.read_between("v", 0.0, 2.0).count() == 1
+    e = ListedTable(spark, f"{tmp_path}/e", "id", cluster_by=("v",))
+    e.create(rows_of(spark, []))
+    e.merge(rows_of(spark, rows))
+    assert e.read_between("v", 1.0, 1.0).count() == 1

@@ -254,3 +254,26 @@ def test_returns_are_set_aside_in_one_pass(spark, tmp_path):
     assert layers.read(spark, "silver_returns").count() == counts["Rows"]
     with pytest.raises(ValueError, match="checked_on"):
         pipeline.run_silver(spark, pipeline.Layers(database=database, set_aside=True))
+
+
+def test_extracts_of_several_kinds_of_files(spark, tmp_path):
+    from retailstrata.sources.extracts import file_groups, missing_columns, read_mixed_extract
+
+    path = f"{tmp_path}/an extract"
+    declared = schemas._strings("name", "stock", "cost")
+    kinds = [("name string, stock string, cost string", ("a", "12", "$1")), ("Name string, stock int, cost double", ("b", 12, 2.0)),
+             ("cost double, stock double, name string, more int", (2.5, 7.0, "c", 1)), ("name string, stock bigint", ("d", 5))]
+    for schema, row in kinds[:3]:
+        spark.createDataFrame([row] * 2, schema).coalesce(1).write.mode("append").parquet(path)
+    assert sorted(len(g.files) for g in file_groups(spark, path)) == [1, 1, 1]
+    found = read_mixed_extract(spark, path, declared)
+    assert found.schema.names == ["name", "stock", "cost"]
+    assert sorted(map(tuple, found.distinct().collect())) == [("a", "12", "$1"), ("b", "12", "2"), ("c", "7", "2.5")] and found.count() == 6
+    spark.createDataFrame([kinds[3][1]], kinds[3][0]).coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(schemas.SchemaMismatch, match="an extract/part-.*missing columns: cost"):
+        read_mixed_extract(spark, path, declared)
+    assert [r["column"] for r in missing_columns(spark, path, declared).collect()] == ["cost"]
+    assert ("d", "5", None) in {tuple(r) for r in read_mixed_extract(spark, path, declared, lacking=True).collect()}
+    spark.createDataFrame([([1], "x", "y")], "name array<int>, stock string, cost string").write.parquet(f"{tmp_path}/odd")
+    with pytest.raises(schemas.SchemaMismatch, match="array"):
+        read_mixed_extract(spark, f"{tmp_path}/odd", declared)
