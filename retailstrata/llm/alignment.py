@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,13 @@ from pyspark.sql import functions as F
 from .csr import Csr
 from .ngram_join import _Work
 from .packing import PER_TASK
-from .tokens import encoder
+from .tokens import ChunkTable, encoder
 from .words import slices, text_bytes
 
 # Pairs whose counts every task gets: 16 bytes each, in order.
 FREQUENT = 1 << 20
 # Pairs of documents that are counted together before they are shuffled.
-COUNTED = 1 << 22
+COUNTED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -67,30 +68,60 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Pieces(ChunkTable):
+    """Ids of a sentencepiece model for texts that begin with a space, as the library puts there itself.
+
+    No piece of the usual models goes on after a space that follows something else, so nothing is merged across the
+    beginning of a run of spaces: texts are cut there. Models with other pieces get texts whole.
+    """
+
+    def __init__(self, path: str) -> None:
+        import sentencepiece
+
+        super().__init__()
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self._space = self.model.piece_to_id("▁")
+        self._apart = not any("▁" in p.lstrip("▁") for p in self.pieces)
+
+    def _chunks(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        start = np.zeros(len(data), bool)
+        if self._apart:
+            space = data == 0x20
+            start = space.copy()
+            start[1:] &= ~space[:-1]
+        start[bounds[:-1][np.diff(bounds) > 0]] = True
+        at = np.flatnonzero(start)
+        return at, np.append(at[1:], len(data))[: len(at)], np.zeros(len(at), bool)
+
+    def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        raw = data.tobytes()
+        found = self.model.encode([raw[s + 1 : e].decode() for s, e in zip(start.tolist(), end.tolist())], num_threads=1)
+        # The library puts no space before an empty text.
+        found = [x or [self._space] for x in found]
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
+        return self._add(ids, np.array([len(x) for x in found], np.int64))
+
+
 class Pair:
     """Both tokenizers in one Python worker."""
 
     def __init__(self, files: Tokenizers) -> None:
-        import sentencepiece
-
         self._a = encoder(files.a, True)
         of = _byte_of()
         names = [""] * self._a.size
         for token, i in self._a._tokenizer.get_vocab().items():
             names[i] = token
         self.a = Vocabulary([bytes(of[c] for c in t) if all(c in of for c in t) else t.encode() for t in names])
-        self._b = sentencepiece.SentencePieceProcessor(model_file=files.b)
-        pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
-        byte = [self._b.is_byte(i) for i in range(len(pieces))]
-        self.b = Vocabulary([bytes([int(p[3:5], 16)]) if raw else p.replace("▁", " ").encode() for p, raw in zip(pieces, byte)])
+        self._b = Pieces(files.b)
+        byte = [self._b.model.is_byte(i) for i in range(len(self._b.pieces))]
+        self.b = Vocabulary([bytes([int(p[3:5], 16)]) if raw else p.replace("▁", " ").encode() for p, raw in zip(self._b.pieces, byte)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both sides on end, and how many of them each text has. No text may be empty or null."""
         spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts.cast(pa.large_string()), pa.scalar("", pa.large_string()))
-        a, bounds = self._a.flat(spaced)
-        found = self._b.encode(texts.to_pylist(), num_threads=1)
-        b = np.concatenate([np.zeros(0, np.int64), *[np.array(x, np.int64) for x in found]])
-        return a.astype(np.int64), np.diff(bounds), b, np.array([len(x) for x in found], np.int64)
+        (a, of_a), (b, of_b) = self._a.flat(spaced), self._b.flat(spaced)
+        return a.astype(np.int64), np.diff(of_a), b.astype(np.int64), np.diff(of_b)
 
 
 @lru_cache(maxsize=2)
@@ -176,6 +207,19 @@ def group_links(found: Aligned, size_a: int, size_b: int) -> tuple[np.ndarray, n
     return row[of], a[of], linked.indices, linked.data
 
 
+@lru_cache(maxsize=4)
+def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of all numbers below ``most``, with room for one character more, and how many each has."""
+    numbers = np.arange(most)
+    count, width = np.ones(most, np.int64), len(str(most - 1))
+    for k in range(1, width):
+        count += numbers >= 10**k
+    table = np.zeros((most, width + 1), np.uint8)
+    for k in range(width):
+        table[:, k] = 48 + numbers // 10 ** np.maximum(count - 1 - k, 0) % 10
+    return table, count
+
+
 def _groups_text(found: Aligned, rows: int) -> pa.Array:
     """For each text ``a1,a2|b1;a3|b2,b3``: the ids of each group on both sides."""
     n_a, n_b = (np.bincount(g, minlength=found.groups) for g in (found.a_group, found.b_group))
@@ -187,21 +231,15 @@ def _groups_text(found: Aligned, rows: int) -> pa.Array:
     ids[at_a], ids[at_b], row[at_a], row[at_b] = found.a, found.b, found.a_row, found.b_row
     sign[before_a + before_b + n_a - 1] = ord("|")
     sign[before_a + before_b + n_a + n_b - 1] = ord(";")
-    width = len(str(int(ids.max(initial=0))))
-    digits = np.ones(count, np.int64)
-    for k in range(1, width):
-        digits += ids >= 10**k
-    chars = np.zeros((count, width + 1), np.uint8)
-    for k in range(width):
-        # The k-th digit from the left.
-        power = digits - 1 - k
-        chars[:, k] = 48 + ids // 10 ** np.maximum(power, 0) % 10
+    table, length_of = _digits(10 ** len(str(int(ids.max(initial=0)))))
+    digits, width = length_of[ids], table.shape[1]
+    chars = table[ids]
     chars[np.arange(count), digits] = sign
     last = np.zeros(count, bool)
     last[:-1] = row[1:] != row[:-1]
     last[-1:] = True
     length = digits + ~last
-    data = chars[np.arange(width + 1) < length[:, None]]
+    data = chars[np.arange(width) < length[:, None]]
     size = np.zeros(rows, np.int64)
     np.add.at(size, row, length)
     bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 
 # Products of entries worked out at a time.
-EXPANDED = 1 << 21
+EXPANDED = 1 << 19
 
 
 @dataclass

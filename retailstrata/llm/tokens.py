@@ -65,36 +65,21 @@ def _odd_white(data: np.ndarray) -> np.ndarray:
     return at[odd]
 
 
-class Encoder:
-    """``plain_specials``: the strings of special tokens in a text are ordinary text."""
-
-    def __init__(self, path: str, plain_specials: bool = False) -> None:
-        # Spark gives a task its core; the library's own threads would take those of other tasks.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class ChunkTable:
+    """Ids of texts from the ids of their chunks, in a table of bounded size. ``_chunks`` and ``_learn`` say how."""
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = plain_specials
-        pre = self._tokenizer.pre_tokenizer
-        if type(pre).__name__ != "ByteLevel" or pre.add_prefix_space or self._tokenizer.normalizer is not None:
-            raise ValueError(f"{path}: only byte-level tokenizers without prefix space and normalizer can be used")
-        # In a byte-level vocabulary each character of a token stands for one byte.
-        vocabulary = self._tokenizer.get_vocab()
-        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.token_bytes[i] = len(token)
-        added = self._tokenizer.get_added_tokens_decoder().values()
-        self._specials = [] if plain_specials else [t.content.encode() for t in added]
+    def __init__(self) -> None:
         self._forget()
 
-    @property
-    def size(self) -> int:
-        return len(self.token_bytes)
+    def _chunks(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of every chunk, and whether it must be encoded alone. Every text begins with a chunk."""
+        raise NotImplementedError
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        """Encode distinct chunks; returned are their entries."""
+        raise NotImplementedError
 
-    # --- the table: key of 15 bytes and length, place of the ids in the pool -----------------------------
+    # Keys are 15 bytes and the length; an entry is the place of the ids in the pool.
 
     def _forget(self) -> None:
         self._low = np.zeros(PLACES, np.uint64)
@@ -147,61 +132,6 @@ class Encoder:
                 return
             place[left] = (place[left] + 1) & (PLACES - 1)
 
-    # --- encoding --------------------------------------------------------------------------------------
-
-    def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, alone: np.ndarray) -> np.ndarray:
-        """Encode distinct chunks; returned are their entries. Those not ``alone`` are encoded on end and cut apart again."""
-        some = np.flatnonzero(~alone)
-        # Without white space of its own a chunk gets a line feed, whose id is then left out.
-        extra = (~_WHITE[data[start[some]]]).astype(np.int64)
-        size = end[some] - start[some] + extra
-        stop = np.cumsum(size)
-        text = np.full(int(stop[-1]) if len(some) else 0, 0x0A, np.uint8)
-        inner = size - extra
-        step = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner)
-        text[np.repeat(stop - inner, inner) + step] = data[np.repeat(start[some], inner) + step]
-        cuts = stop[np.unique(np.searchsorted(stop, np.arange(_PART, len(text) + _PART, _PART)).clip(max=len(stop) - 1))] if len(some) else stop
-        raw = text.tobytes()
-        parts = [raw[i:j].decode() for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
-        done = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        ids = np.concatenate([np.zeros(0, "<u4"), *[np.array(x.ids, "<u4") for x in done]])
-        last = np.searchsorted(np.cumsum(self.token_bytes[ids]), stop) + 1
-        before = np.concatenate([[0], last[:-1]])[: len(last)]
-        keep = np.ones(len(ids), bool)
-        keep[before[extra == 1]] = False
-        own = [self._whole(data[s:e].tobytes().decode()) for s, e in zip(start[alone].tolist(), end[alone].tolist())]
-        entry = np.empty(len(start), np.int64)
-        entry[some] = self._add(ids[keep], last - before - extra)
-        entry[alone] = self._add(np.concatenate([np.zeros(0, "<u4"), *own]), np.array([len(x) for x in own], np.int64))
-        return entry
-
-    def _chunks(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of every chunk, and whether it must be encoded alone."""
-        white = _WHITE[data]
-        first = np.zeros(len(data) + 1, bool)
-        first[bounds] = True
-        before = np.zeros(len(data), bool)
-        before[1:] = white[:-1]
-        seen_next = np.zeros(len(data), bool)
-        seen_next[:-1] = ~white[1:] & ~first[1:-1]
-        start = white & (~before | seen_next)
-        start[1:] |= _SIGN[data[1:]] & _ALNUM[data[:-1]]
-        start |= first[:-1]
-        odd = [_odd_white(data)]
-        for special in self._specials:
-            raw, at = data.tobytes(), -1
-            while (at := raw.find(special, at + 1)) >= 0:
-                odd.append(np.array([at]))
-        rows = np.unique(np.searchsorted(bounds, np.concatenate(odd), side="right") - 1)
-        for row in rows.tolist():
-            start[bounds[row] + 1 : bounds[row + 1]] = False
-        at = np.flatnonzero(start)
-        end = np.append(at[1:], len(data))[: len(at)]
-        # Runs of white space, and texts that are not cut.
-        alone = white[end - 1] | (end - at > 4096)
-        alone[np.searchsorted(at, bounds[rows])] = True
-        return at, end, alone
-
     def _entries_of(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, alone: np.ndarray) -> np.ndarray:
         n = end - start
         padded = np.concatenate([data, np.zeros(16, np.uint8)])
@@ -268,6 +198,88 @@ class Encoder:
             counts.append(own + (1 if end else 0))
         return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64)
 
+
+class Encoder(ChunkTable):
+    """``plain_specials``: the strings of special tokens in a text are ordinary text."""
+
+    def __init__(self, path: str, plain_specials: bool = False) -> None:
+        # Spark gives a task its core; the library's own threads would take those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = plain_specials
+        pre = self._tokenizer.pre_tokenizer
+        if type(pre).__name__ != "ByteLevel" or pre.add_prefix_space or self._tokenizer.normalizer is not None:
+            raise ValueError(f"{path}: only byte-level tokenizers without prefix space and normalizer can be used")
+        # In a byte-level vocabulary each character of a token stands for one byte.
+        vocabulary = self._tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = len(token)
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._specials = [] if plain_specials else [t.content.encode() for t in added]
+        super().__init__()
+
+    @property
+    def size(self) -> int:
+        return len(self.token_bytes)
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        """Chunks that are not ``alone`` are encoded on end and cut apart again."""
+        some = np.flatnonzero(~alone)
+        # Without white space of its own a chunk gets a line feed, whose id is then left out.
+        extra = (~_WHITE[data[start[some]]]).astype(np.int64)
+        size = end[some] - start[some] + extra
+        stop = np.cumsum(size)
+        text = np.full(int(stop[-1]) if len(some) else 0, 0x0A, np.uint8)
+        inner = size - extra
+        step = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner)
+        text[np.repeat(stop - inner, inner) + step] = data[np.repeat(start[some], inner) + step]
+        cuts = stop[np.unique(np.searchsorted(stop, np.arange(_PART, len(text) + _PART, _PART)).clip(max=len(stop) - 1))] if len(some) else stop
+        raw = text.tobytes()
+        parts = [raw[i:j].decode() for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        done = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, "<u4"), *[np.array(x.ids, "<u4") for x in done]])
+        last = np.searchsorted(np.cumsum(self.token_bytes[ids]), stop) + 1
+        before = np.concatenate([[0], last[:-1]])[: len(last)]
+        keep = np.ones(len(ids), bool)
+        keep[before[extra == 1]] = False
+        own = [self._whole(data[s:e].tobytes().decode()) for s, e in zip(start[alone].tolist(), end[alone].tolist())]
+        entry = np.empty(len(start), np.int64)
+        entry[some] = self._add(ids[keep], last - before - extra)
+        entry[alone] = self._add(np.concatenate([np.zeros(0, "<u4"), *own]), np.array([len(x) for x in own], np.int64))
+        return entry
+
+    def _chunks(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        white = _WHITE[data]
+        first = np.zeros(len(data) + 1, bool)
+        first[bounds] = True
+        before = np.zeros(len(data), bool)
+        before[1:] = white[:-1]
+        seen_next = np.zeros(len(data), bool)
+        seen_next[:-1] = ~white[1:] & ~first[1:-1]
+        start = white & (~before | seen_next)
+        start[1:] |= _SIGN[data[1:]] & _ALNUM[data[:-1]]
+        start |= first[:-1]
+        odd = [_odd_white(data)]
+        for special in self._specials:
+            raw, at = data.tobytes(), -1
+            while (at := raw.find(special, at + 1)) >= 0:
+                odd.append(np.array([at]))
+        rows = np.unique(np.searchsorted(bounds, np.concatenate(odd), side="right") - 1)
+        for row in rows.tolist():
+            start[bounds[row] + 1 : bounds[row + 1]] = False
+        at = np.flatnonzero(start)
+        end = np.append(at[1:], len(data))[: len(at)]
+        # Runs of white space, and texts that are not cut.
+        alone = white[end - 1] | (end - at > 4096)
+        alone[np.searchsorted(at, bounds[rows])] = True
+        return at, end, alone
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         ids, bounds = self.flat(pa.array(texts, pa.large_string()))

@@ -121,6 +121,16 @@ def test_many_parts_and_small_blocks(spark, monkeypatch):
         assert own == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
 
 
+def test_pieces_equal_the_library():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a", "b c", " ", "  ", "é", "日", "\n", ".", "\t", "the", "x" * 20, "\x00", "<unk>"]) for _ in range(rng.randint(1, 30))) for _ in range(2000)]
+    own = alignment.Pieces(FILES.b)
+    for _ in range(2):
+        ids, bounds = own.flat(pa.array([" " + t for t in texts]))
+        for t, lo, hi in zip(texts, bounds, bounds[1:]):
+            assert ids[lo:hi].tolist() == B.encode(t), repr(t)
+
+
 def test_overlap_links_count_shared_bytes():
     pair = alignment.Pair(FILES)
     text = "unbelievable tokenizers, don't they?"
