@@ -34,7 +34,7 @@ ENDS_PIECE = ".,;:!?\n\x0b\x0c\r"
 BETWEEN_WORDS = " \t"
 NO_LANGUAGE = "und"
 # N-grams that a task counts together, and rows a partition takes before it merges.
-COUNTED = 1 << 22
+COUNTED = 1 << 21
 _TAKEN = 1 << 18
 # Bits of a hash that tell n-grams of a partition apart in its summary.
 _KEY_BITS = 40
