@@ -47,10 +47,10 @@ def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of 2048; see ``packing.pack`` for the columns."""
+    """Token sequences of 2048; see ``packing.pack`` for the columns. Copies of a document differ in ``row``."""
     pieces = packing.pack(docs, packing.Packing(public_tokenizers.path(TOKENIZER)))
     crc32 = F.crc32("ids").cast("bigint").alias("ids_crc32")
-    return pieces.select("doc_id", "piece", "start", "length", crc32, "sequence_id", "offset")
+    return pieces.select("doc_id", "piece", "start", "length", crc32, "sequence_id", "offset", "row")
 
 
 STAGES: list[tuple[str, Stage]] = [
