@@ -115,7 +115,8 @@ class ListedTable:
     def create(self, df: DataFrame, version: str | None = None) -> int:
         """The first version, one row of each key as ``merge`` chooses them."""
         text = json.dumps(df.schema.jsonValue())
-        self.spark.createDataFrame([(text,)], "schema string").coalesce(1).write.parquet(f"{self.path}/schema")
+        # A creation that failed is begun again.
+        self.spark.createDataFrame([(text,)], "schema string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/schema")
         work = f"{shared_folder(self.spark)}/create-{uuid4().hex}"
         try:
             self._put_list(0, self._listed(self._load(self._stored(self._newest(df, version), work))))
