@@ -34,7 +34,7 @@ NEVER = frozenset(
     "object embed applet canvas audio video menu dialog noembed noframes title search".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-# Words of class names and ids of such elements, and words that speak for an article.
+# Words of class names and ids of such elements, and words by which a name only tells a state of the page.
 UNLIKELY = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar side "
     "aside menu nav navbar navigation breadcrumb breadcrumbs header masthead footer foot cookie cookies consent gdpr "
@@ -42,12 +42,12 @@ UNLIKELY = frozenset(
     "sharing social related recommended recommendations comment comments disqus respond reply replies discussion "
     "pagination pager widget toolbar tags skip".split()
 )
-LIKELY = frozenset("article content main post entry story text body".split())
+STATES = frozenset("has have with without no not on off open closed enabled disabled allowed is".split())
 
-# A start tag with its attributes; quoted values may hold ">" up to a bounded length.
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^'">]|"[^"]{0,4000}"|'[^']{0,4000}')*+)>""")
+# A start tag with its attributes; quoted values may hold ">".
+_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^'">]|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
-_ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile("[a-z]+|[0-9]+")
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -61,16 +61,28 @@ _CLOSES = {
 _ROOT = 0
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
+def _names_unwanted(value: str) -> bool:
+    """Whether a class list, id or itemprop names what is no article. Each name counts for itself: "comment-body" does,
+    "content" beside it does not help, and "has-sidebar" or "comments-open" tell a state of something else."""
+    for name in value.split():
+        words = set(_WORDS.findall(name))
+        if words & UNLIKELY and not words & STATES:
+            return True
+    return False
+
+
+def _unwanted(tag: str, attributes: str, nested: bool) -> bool:
+    """``nested``: inside another article. The names of an outermost article or main element don't count."""
     if tag in NEVER:
         return True
     if not attributes or tag in ("html", "body"):
         return False
-    words: set[str] = set()
+    own = tag == "main" or (tag == "article" and not nested)
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id"):
-            words.update(_WORDS.findall(value))
+        if name in ("class", "id", "itemprop"):
+            if not own and _names_unwanted(value):
+                return True
         elif name == "role":
             if ROLES & set(value.split()):
                 return True
@@ -78,7 +90,7 @@ def _unwanted(tag: str, attributes: str) -> bool:
             return True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-    return bool(words & UNLIKELY) and not words & LIKELY and tag not in ("article", "main")
+    return False
 
 
 class Page:
@@ -123,7 +135,7 @@ class Page:
         node = len(self.tag)
         self.tag.append(tag)
         self.parent.append(self._stack[-1])
-        self.bad.append(self.bad[self._stack[-1]] or _unwanted(tag, attributes))
+        self.bad.append(self.bad[self._stack[-1]] or _unwanted(tag, attributes, self._open["article"] > 0))
         if tag in BLOCK:
             self.events.append((node, None))
         if tag == "br":
@@ -216,18 +228,39 @@ class Page:
             points[node] *= 1 - linked[node] / max(1, size[node])
         return points, size, linked
 
+    def _leave_out_comments(self) -> None:
+        """An article inside another is a reader's comment or a pointer to another text, unless the outer one has less
+        text of its own than it."""
+        outer = [_ROOT] * len(self.tag)  # the innermost article around each element, itself included
+        for node in range(1, len(self.tag)):
+            outer[node] = node if self.tag[node] == "article" else outer[self.parent[node]]
+        own = [0] * len(self.tag)
+        for node, text in self.events:
+            if text is not None and not self.bad[node]:
+                own[outer[node]] += len(text.strip())
+        for node in range(1, len(self.tag)):
+            around = outer[self.parent[node]]
+            inner = self.tag[node] == "article" and around != _ROOT and own[around] >= own[node]
+            self.bad[node] = self.bad[node] or self.bad[self.parent[node]] or inner
+
     def main_elements(self) -> set[int]:
-        """The best element, or the article it lies in, and the siblings that go with it."""
+        """The best element, or the outermost article it lies in, and the siblings that go with it."""
+        self._leave_out_comments()
         points, size, linked = self._points()
         inline = [t not in BLOCK and t != "#root" for t in self.tag]
         usable = [i for i in range(len(self.tag)) if not self.bad[i] and not inline[i]]
         best = max(usable, key=lambda i: (points[i], -i))
         if points[best] <= 0:
-            return {_ROOT}
-        at = best
-        while at != _ROOT and self.tag[at] not in ("article", "main"):
+            # Headings at most; what stands in links alone is a menu.
+            return {i for i in usable if self.tag[i] in HEADINGS and size[i] and not linked[i]}
+        at, article, main = best, _ROOT, _ROOT
+        while at != _ROOT:
+            if self.tag[at] == "article":
+                article = at
+            elif self.tag[at] == "main":
+                main = main or at
             at = self.parent[at]
-        best = at or best
+        best = article or main or best
         chosen = {best}
         if best == _ROOT or self.tag[best] in ("html", "body"):
             return chosen
@@ -239,7 +272,7 @@ class Page:
             if self.tag[node] in ("p", "pre", "blockquote") or self.tag[node] in HEADINGS:
                 if size[node] and few_links:
                     chosen.add(node)
-            elif few_links and points[node] >= floor:
+            elif few_links and (points[node] >= floor or (self.tag[node] == self.tag[best] == "article" and points[node] > 0)):
                 chosen.add(node)
         return chosen
 
@@ -271,7 +304,9 @@ def extract(page: Column) -> Column:
 
     Character references are decoded, white space inside a block is one space, blocks are joined by one line
     feed in page order. Broken markup is read as browsers do in the common cases: open elements end with what
-    surrounds them or with the page.
+    surrounds them or with the page. Articles side by side are one text. An article inside another is left out as a
+    comment unless it has more text than the outer one. A page whose text stands in links alone, or whose whole body
+    is one form, has no main text.
     """
 
     @F.arrow_udf("string")

@@ -53,6 +53,43 @@ def test_examples(page, expected):
     assert main_text(page) == expected
 
 
+@pytest.mark.parametrize(
+    "name",
+    "comment-body comments-content post-comments main-menu text-ad ad-content cookie-text newsletter-body article-sidebar".split(),
+)
+def test_a_name_of_what_is_no_article_outweighs_others(name):
+    assert main_text(f"<article><p>{TEXT}</p><div class='content {name}'><p>no, no, no</p></div></article>") == TEXT
+    assert main_text(f"<div class='content'><p>{TEXT}</p><section id='{name}'><p>no, no, no</p></section></div>") == TEXT
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "content with-sidebar", "post comments-open", "no-ads", "share-enabled", "story"])
+def test_names_of_states_do_not_count(name):
+    assert main_text(f"<div class='{name}'><p>{TEXT}</p><p>{TEXT}</p></div>") == f"{TEXT}\n{TEXT}"
+
+
+def test_articles_inside_and_beside_others():
+    comment = f"<article><p>{TEXT}</p><p>{TEXT}</p></article>"
+    own = f"<p>{TEXT} 1</p><p>{TEXT} 2</p><p>{TEXT} 3</p>"
+    kept = f"{TEXT} 1\n{TEXT} 2\n{TEXT} 3"
+    assert main_text(f"<article><h1>T</h1>{own}{comment}</article>") == f"T\n{kept}"
+    assert main_text(f"<article>{own}<div><article class=comment itemprop=comment>{own}{own}</article></div></article>") == kept
+    assert main_text(f"<article class='post comments'>{own}</article>") == kept
+    assert main_text(f"<main><article>{own}</article><article><p>Short.</p></article></main>") == f"{kept}\nShort."
+    assert main_text(f"<main><article>{own}</article><article><h2><a href=x>Read, on, and, on</a></h2></article></main>") == kept
+    assert main_text(f"<article><article>{own}</article><article><p>Short.</p></article></article>") == f"{kept}\nShort."
+
+
+def test_long_attributes():
+    value = "x>" * 3000
+    assert main_text(f"<article><p data-x='{value}'>{TEXT}</p><img alt=\"{value}\"></article>") == TEXT
+
+
+def test_pages_of_links_and_forms_have_no_text():
+    assert main_text("<div><a href=a>Home</a><a href=b>About, and, more</a></div><ul><li><a href=c>Third</a></ul>") == ""
+    assert main_text(f"<body><form><p>{TEXT}</p></form></body>") == ""
+    assert main_text("<h1>Only a title</h1><a href=a>Home</a>") == "Only a title"
+
+
 def test_time_follows_length():
     start = time.perf_counter()
     for part in ("<div>", "<p>", '<a href="', "<b>x", "</div>", "<li>x", "<", "<!--", "<script>", "<p x='>", "&amp", "<ul><li>", "<div><b></i>", "<td><tr>"):
