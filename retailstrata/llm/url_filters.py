@@ -1,6 +1,6 @@
 """URL filters: pattern rules found through their rarest literal token.
 
-A rule is a regular expression together with the literal tokens that every fitting url holds. Each rule
+A rule is a regular expression; the literal tokens that every fitting url holds follow from it. Each rule
 is filed under the one of its tokens that is rarest in the urls at hand; a url fetches the rules filed
 under its own tokens, and only those are run. Built-in expressions only.
 
@@ -11,10 +11,11 @@ next ``/``, ``?``, ``#`` or the end, in lower case (A-Z), the path what follows
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from re import _parser  # the parse tree of a pattern; tests hold it against the library's matching
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
@@ -25,31 +26,147 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_BYTES = 32 << 20
 
 
+_SEPARATOR, _ANY = "separator", "any"
+
+
+def _items(parsed, lowered: bool) -> list[str]:
+    """What every text that a parsed pattern fits holds in order: characters, places between tokens, and what is unknown."""
+    out: list[str] = []
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            out.append(chr(value).translate(str.maketrans(UPPER, LOWER)))
+        elif name == "AT":
+            out.append(_SEPARATOR if str(value) in ("AT_BEGINNING", "AT_BEGINNING_STRING", "AT_END_STRING", "AT_END") else _ANY)
+        elif name == "IN":
+            out.append(_SEPARATOR if _no_token_character(value, lowered) else _ANY)
+        elif name == "SUBPATTERN":
+            out += _items(value[3], lowered)
+        elif name == "BRANCH":
+            out.append(_SEPARATOR if all(_between(_items(x, lowered)) for x in value[1]) else _ANY)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, _, inner = value
+            repeated = _items(inner, lowered)
+            ends = bool(repeated) and _is_separator(repeated[-1])
+            # Left out, it leaves what stands before it.
+            out.append(_SEPARATOR if ends and (least > 0 or (out and _is_separator(out[-1]))) else _ANY)
+        else:
+            out.append(_ANY)
+    return out
+
+
+def _is_separator(item: str) -> bool:
+    return item == _SEPARATOR or (len(item) == 1 and not re.fullmatch("[a-z0-9]", item))
+
+
+def _between(items: list[str]) -> bool:
+    return bool(items) and all(map(_is_separator, items))
+
+
+def _no_token_character(chosen, lowered: bool) -> bool:
+    """Whether a class holds no letter of a-z, in either case (``lowered``: there are no others), and no digit."""
+    negated = bool(chosen) and str(chosen[0][0]) == "NEGATE"
+    there: set[str] = set()
+    for kind, value in chosen[negated:]:
+        if str(kind) == "LITERAL":
+            there.add(chr(value))
+        elif str(kind) == "RANGE":
+            there.update(chr(c) for c in range(value[0], min(value[1], 127) + 1))
+        else:
+            return False
+    tokens = set(LOWER + "0123456789" + ("" if lowered else UPPER))
+    return tokens <= there if negated else not tokens & there
+
+
+def literals_of(pattern: str, lowered: bool = True) -> tuple[str, ...]:
+    """Tokens (runs of a-z and 0-9) that every fitting url, ``lowered`` or not, holds whole, as the pattern itself tells.
+
+    The pattern is parsed, not searched: alternatives, options and classes give no literal, and a run of characters that
+    may go on in the url is none either.
+    """
+    items = [_ANY, *_items(_parser.parse(pattern), lowered), _ANY]
+    found, run, whole = [], "", False
+    for before, item in zip(items, items[1:]):
+        if len(item) == 1 and not _is_separator(item):
+            whole = _is_separator(before) if not run else whole
+            run += item
+        else:
+            if run and whole and _is_separator(item):
+                found.append(run)
+            run = ""
+    return tuple(dict.fromkeys(found))
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``text`` names a site rule and is reported; a pattern rule has none and only gives a verdict."""
+    """``text`` names a site rule and is reported; a pattern rule has none and only gives a verdict.
+
+    ``literals`` are taken from the pattern. Given ones must be among those, or the rule could be missed.
+    """
 
     pattern: str
-    literals: tuple[str, ...]
-    verdict: str
+    literals: tuple[str, ...] | None = None
+    verdict: str = "block"
     text: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.verdict not in (ALLOW, BLOCK):
+            raise ValueError(f"not a verdict: {self.verdict!r}")
+        own = literals_of(self.pattern, self.text is None)
+        if self.literals is None:
+            object.__setattr__(self, "literals", own)
+        elif not set(self.literals) <= set(own):
+            raise ValueError(f"{self.pattern!r} does not need {sorted(set(self.literals) - set(own))}")
+
 
-def _tokens_of(text: str) -> list[str]:
-    return [t for t in re.split("[^a-z0-9]+", text.translate(str.maketrans(UPPER, LOWER))) if t]
+def _escaped(text: str) -> str:
+    return "".join(c if c.isalnum() or c in "/_" else f"[{c}]" if c not in "^\\[]" else "\\" + c for c in text)
+
+
+def _lowered(text: str) -> str:
+    return text.translate(str.maketrans(UPPER, LOWER))
 
 
 def site_rule(host: str, path: str, verdict: str) -> Rule:
-    """Fits the host and all its subdomains where the path starts with ``path``."""
-    escaped = "".join(c if c.isalnum() or c in "/_" else f"[{c}]" if c not in "^\\[]" else "\\" + c for c in host + path)
-    # The last token of the path may go on in the url, so it is no literal unless a separator ends it.
-    whole = host + re.sub("[A-Za-z0-9]+$", "", path)
-    return Rule(f"^(?:[^/]*[.])?{escaped}", tuple(_tokens_of(whole)), verdict, host + path)
+    """Fits the host, in any case, and all its subdomains where the path starts with ``path``."""
+    return Rule(f"^(?:[^/]*[.])?{_escaped(_lowered(host) + path)}", None, verdict, _lowered(host) + path)
 
 
 def word_rule(word: str, verdict: str = BLOCK) -> Rule:
-    """Fits a url that has the word between separators."""
-    return Rule(f"(?:^|[^a-z0-9]){word}(?:[^a-z0-9]|$)", (word,), verdict)
+    """Fits a url that has the word, or words with signs between, in any case between separators."""
+    if not re.search("[A-Za-z0-9]", word):
+        raise ValueError(f"no letter or digit in {word!r}")
+    return Rule(f"(?:^|[^a-z0-9]){_escaped(_lowered(word))}(?:[^a-z0-9]|$)", None, verdict)
+
+
+def parse_rules(lines: Iterable[str]) -> list[Rule]:
+    """Rules of a list, one a line: ``allow`` or ``block``, then a site as host and path, ``word`` and a word, or
+    ``pattern`` and a regular expression over the lower-cased host and path. Empty lines and those after ``#`` are none.
+    """
+    out = []
+    for number, line in enumerate(lines, 1):
+        parts = line.strip().split(None, 2)
+        if not parts or parts[0].startswith("#"):
+            continue
+        try:
+            if len(parts) == 3 and parts[1] == "word":
+                out.append(word_rule(parts[2], parts[0]))
+            elif len(parts) == 3 and parts[1] == "pattern":
+                out.append(Rule(parts[2], None, parts[0]))
+            elif len(parts) == 2 and "/" in parts[1]:
+                host, path = parts[1].split("/", 1)
+                out.append(site_rule(host, f"/{path}", parts[0]))
+            else:
+                raise ValueError("neither a site with a path, nor a word or pattern")
+        except (ValueError, re.error) as error:
+            raise ValueError(f"line {number}, {line.strip()!r}: {error}") from None
+    return out
+
+
+def read_rules(spark: SparkSession, path: str) -> list[Rule]:
+    """Rules of a text file at any path that Spark reads, in the form of ``parse_rules``."""
+    whole = spark.read.option("wholetext", "true").text(path)
+    return parse_rules("\n".join(r["value"] for r in whole.collect()).split("\n"))
 
 
 SITE_RULES = (

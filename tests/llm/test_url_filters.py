@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +92,50 @@ def test_very_long_url(spark):
     host, path = host_and_path(F.col("url"))
     assert df.select(host, F.length(path)).collect()[0][:] == ("a.net", len(url) - 12)
     assert judged(spark, [url])[0][2] == "net/fr/"
+
+
+def test_literals_come_from_the_pattern():
+    found = {p: url_filters.literals_of(p) for p in ("foo", "^foo$", "(^|/)foo-bar/", "a|b", "/x?y/", "/(ab)+/c/", "/[a-c]d/e/", "/f.*/g/", "(?:/h/|/i/)", "/j[./]k/", "^[^a-z0-9]l/", "/m\\bn/")}
+    assert found == {
+        "foo": (), "^foo$": ("foo",), "(^|/)foo-bar/": ("foo", "bar"), "a|b": (), "/x?y/": (), "/(ab)+/c/": ("c",), "/[a-c]d/e/": ("e",),
+        "/f.*/g/": ("g",), "(?:/h/|/i/)": (), "/j[./]k/": ("j", "k"), "^[^a-z0-9]l/": ("l",), "/m\\bn/": (),
+    }
+    with pytest.raises(ValueError, match="does not need"):
+        Rule("/a/", ("b",))
+    with pytest.raises(ValueError, match="verdict"):
+        site_rule("a", "/", "perhaps")
+
+
+def test_words_with_signs_and_capitals_and_hosts_in_any_case(spark):
+    rules = [word_rule("foo-bar"), word_rule("Casino"), word_rule("a.b"), word_rule("c++"), site_rule("Example.COM", "/X/", "block")]
+    urls = ["http://q.y/foo-bar", "http://q.y/CASINO/", "http://q.y/a.b", "http://q.y/azb", "http://q.y/c++", "http://q.y/c", "http://example.com/X/", "http://example.com/x/"]
+    assert [r[3] for r in judged(spark, urls, rules)] == ["block", "block", "block", "allow", "block", "allow", "block", "allow"]
+
+
+def test_all_rules_against_all_urls(spark):
+    """The index loses no rule: verdicts equal those of every rule tried on every url."""
+    rng = random.Random(5)
+    parts = ["foo", "bar", "a", "b1", "Casino", "x", "www"]
+    hosts = [".".join(rng.choices(parts, k=rng.randint(1, 3))).lower() + "." + rng.choice(["com", "net"]) for _ in range(12)]
+    paths = ["/" + rng.choice(["/", "-", ""]).join(rng.choices(parts, k=rng.randint(0, 3))) + rng.choice(["", "/"]) for _ in range(25)]
+    rules = [site_rule(rng.choice([*hosts, "com", "x.net"]), rng.choice(paths), rng.choice(["allow", "block"])) for _ in range(40)]
+    rules += [word_rule(rng.choice(["-", ".", "/"]).join(rng.choices(parts, k=rng.randint(1, 2)))) for _ in range(8)]
+    rules += [Rule(p) for p in ("foo[^a-z]?bar", "/(a|x)/", "^[^/]*b1[.]", "x$", "(?:^|[.])www[.].*-a", "/b1(?:/|$)")]
+    urls = [f"http://{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', '?a', 'foo', '#x'])}" for _ in range(400)]
+    for url, (host, path, rule, verdict) in zip(urls, judged(spark, urls, rules)):
+        site = {(len(r.text), r.verdict == "block", r.text, r.verdict) for r in rules if r.text and re.search(r.pattern, host + path)}
+        blocked = any(re.search(r.pattern, (host + path).lower()) for r in rules if not r.text)
+        best = max(site, default=None)
+        assert (rule, verdict) == ((best[2], best[3]) if best else (None, "block" if blocked else "allow")), url
+
+
+def test_rule_files(spark, tmp_path):
+    lines = ["# sites", "block example.com/en/", "", "allow www.example.com/en/", "block word foo-bar", "block pattern /ads?/", "allow net/"]
+    (tmp_path / "rules.txt").write_text("\n".join(lines))
+    rules = url_filters.read_rules(spark, f"{tmp_path}/rules.txt")
+    assert rules == url_filters.parse_rules(lines) and [r.text for r in rules] == ["example.com/en/", "www.example.com/en/", None, None, "net/"]
+    urls = ["http://a.example.com/en/x", "http://www.example.com/en/", "http://q.y/foo-bar", "http://q.y/ad/", "http://q.net/ads/"]
+    assert [r[3] for r in judged(spark, urls, rules)] == ["block", "allow", "block", "block", "allow"]
+    for wrong in ("block", "block example.com", "block word -", "deny com/", "block pattern ("):
+        with pytest.raises(ValueError, match="line 1"):
+            url_filters.parse_rules([wrong])
