@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from .words import mix
 
 _BLOCK = 1 << 13
-# Groups of tasks whose blocks are merged first, so that no merge gets the blocks of all tasks.
-_GROUPS = 1024
+# Tasks whose blocks are merged at a time, so that no merge gets the blocks of all tasks.
+_TASKS = 64
 
 Fill = Callable[[np.ndarray, pa.RecordBatch], None]
 
@@ -22,8 +22,8 @@ Fill = Callable[[np.ndarray, pa.RecordBatch], None]
 def fixed_array(df: DataFrame, size: int, kind: str, fill: Fill, merge: Callable) -> np.ndarray:
     """One array of ``size`` numbers, filled by every task and merged element by element.
 
-    What each task sends, and what comes to the driver, has that fixed size. Blocks are merged in two levels: within
-    groups of tasks, then over the groups.
+    What each task sends, and what comes to the driver, has that fixed size. Blocks are merged in three levels: of
+    ``_TASKS`` tasks, of as many such groups, then of all, which leaves 200 blocks to a merge for 800,000 tasks.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -32,20 +32,23 @@ def fixed_array(df: DataFrame, size: int, kind: str, fill: Fill, merge: Callable
             fill(whole, batch)
         blocks = [(i, whole[i : i + _BLOCK]) for i in range(0, size, _BLOCK) if whole[i : i + _BLOCK].any()]
         if blocks:
-            yield _blocks(blocks, TaskContext.get().partitionId() % _GROUPS)
+            yield _blocks(blocks, TaskContext.get().partitionId() // _TASKS)
 
     def merged(table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x.as_py(), kind) for x in table.column("data")]
-        return pa.Table.from_batches([_blocks([(table.column("block")[0].as_py(), reduce(merge, parts))], 0)])
+        block, tasks = (table.column(c)[0].as_py() for c in ("block", "tasks"))
+        return pa.Table.from_batches([_blocks([(block, reduce(merge, parts))], tasks // _TASKS)])
 
     def _blocks(blocks, group: int) -> pa.RecordBatch:
         columns = [pa.array([b for b, _ in blocks]), pa.array([group] * len(blocks), pa.int64())]
         return pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for _, x in blocks], pa.binary())], ["block", "tasks", "data"])
 
     schema = "block bigint, tasks bigint, data binary"
-    some = df.mapInArrow(partial, schema).groupBy("block", "tasks").applyInArrow(merged, schema)
+    parts = df.mapInArrow(partial, schema)
+    for _ in range(2):
+        parts = parts.groupBy("block", "tasks").applyInArrow(merged, schema)
     out = np.zeros(size, kind)
-    for row in some.groupBy("block").applyInArrow(merged, schema).collect():
+    for row in parts.groupBy("block").applyInArrow(merged, schema).collect():
         part = np.frombuffer(row["data"], kind)
         out[row["block"] : row["block"] + len(part)] = part
     return out

@@ -155,3 +155,21 @@ def test_registered_query(spark):
 
     df = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     same(queries.all_queries()["op12_simhash"](spark, SF_DIR).select("doc_id", "fingerprint", "component_id"), df.select("doc_id", "text").collect())
+
+
+def test_arrays_over_many_tasks(spark, monkeypatch):
+    """All levels of merging: more tasks than are merged at a time, twice over."""
+    from retailstrata.llm import arrays
+
+    monkeypatch.setattr(arrays, "_TASKS", 3)
+    monkeypatch.setattr(arrays, "_BLOCK", 4)
+
+    def fill(whole, batch):
+        np.add.at(whole, batch.column(0).to_numpy() % 10, 1)
+
+    found = arrays.fixed_array(spark.range(0, 1000, 1, 31), 10, "i8", fill, np.add)
+    assert found.tolist() == [100] * 10
+    hashes = spark.range(500).select(F.xxhash64("id").alias("h"))
+    kept = arrays.HashFilter.of(hashes, 500)
+    there = np.array([r["h"] for r in hashes.collect()]).view(np.uint64)
+    assert kept.has(there).all() and kept.has(there + np.uint64(1)).mean() < 0.02
