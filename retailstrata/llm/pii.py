@@ -1,8 +1,9 @@
 """Personal data in whole texts, also where it is written in disguise.
 
 Plain identifiers are found by patterns in the text itself. A second pass looks for disguised ones:
-transducers rewrite look-alike letters, spelled-out digits and "at"/"dot" words, keeping for each rewritten
-character the span of the source it came from; identifiers found in the rewritten text are mapped back.
+transducers rewrite look-alike letters, spelled-out digits and words for "at" and "dot" (in English, French, German
+and Spanish), keeping for each rewritten character the span of the source it came from; identifiers found in the
+rewritten text are mapped back.
 Every span is in code points of the source text, end exclusive.
 
 Texts are judged one by one inside an Arrow UDF: no shuffle, memory follows the batch. All patterns run in
@@ -92,27 +93,49 @@ _LOOKALIKE = dict(
 )
 # Invisible characters.
 _INVISIBLE = dict.fromkeys("­​‌‍⁠﻿", "")
-_DIGIT_WORDS = {w: str(i % 10) for i, w in enumerate("zero one two three four five six seven eight nine oh".split())}
-_WORD = "(?:" + "|".join(_DIGIT_WORDS) + ")"
+# The digits from zero on in English, French, German and Spanish, and other words for some of them.
+_DIGIT_WORDS = {
+    word: str(i)
+    for words in (
+        "zero one two three four five six seven eight nine",
+        "zéro un deux trois quatre cinq six sept huit neuf",
+        "null eins zwei drei vier fünf sechs sieben acht neun",
+        "cero uno dos tres cuatro cinco seis siete ocho nueve",
+    )
+    for i, word in enumerate(words.split())
+} | {"oh": "0", "une": "1", "ein": "1", "zwo": "2", "fuenf": "5"}
+_PLUS_WORDS = ("plus", "más", "mas")
+_AT_WORDS = ("at", "ät", "arobase", "arobas", "arroba", "klammeraffe")
+_DOT_WORDS = ("dot", "point", "punkt", "punto")
+
+
+def _any_of(words: Iterable[str]) -> str:
+    return "(?:" + "|".join(sorted(words, key=lambda w: (-len(w), w))) + ")"
+
+
+_WORD, _PLUS, _AT_WORD, _DOT_WORD = map(_any_of, (_DIGIT_WORDS, _PLUS_WORDS, _AT_WORDS, _DOT_WORDS))
+# No letter or digit before, and none after.
+_FREE, _ENDS = r"(?<![^\W_])", r"(?![^\W\d_])"
 
 _ODD_LETTER = re.compile("[" + "".join(_LOOKALIKE) + "".join(_INVISIBLE) + "！-～٠-٩۰-۹०-९]")
 # A run of at least seven digits of which some are spelled, with an optional "plus" before it.
-_SPELLED = re.compile(rf"(?i)(?<![a-z0-9])(?:(?:plus|\+)[\x20-]?)?(?:(?:{_WORD}|[0-9])(?![a-z])[\x20-]{{0,2}}){{6,}}(?:{_WORD}(?![a-z])|[0-9](?![a-z]))")
-_SPELLED_GATE = re.compile(rf"(?i)(?<![a-z]){_WORD}(?![a-z])[\x20-]{{0,2}}(?:{_WORD}(?![a-z])|[0-9])")
-_DIGIT_OR_WORD = re.compile(rf"(?i)plus|{_WORD}|[0-9+]|[\x20-]+")
-# A bracketed word, or the bare words "at" and "dot" together.
-_AT = r"\x20{0,2}[(\[{<]\x20?(?:at|@)\x20?[)\]}>]\x20{0,2}"
-_DOT = r"\x20{0,2}[(\[{<]\x20?(?:dot|\.)\x20?[)\]}>]\x20{0,2}"
+_SPELLED = re.compile(rf"(?i){_FREE}(?:(?:{_PLUS}|\+)[\x20-]?)?(?:(?:{_WORD}|[0-9]){_ENDS}[\x20-]{{0,2}}){{6,}}(?:{_WORD}|[0-9]){_ENDS}")
+_SPELLED_GATE = re.compile(rf"(?i)(?<![^\W\d_]){_WORD}{_ENDS}[\x20-]{{0,2}}(?:{_WORD}{_ENDS}|[0-9])")
+_DIGIT_OR_WORD = re.compile(rf"(?i){_PLUS}|{_WORD}|[0-9+]|[\x20-]+")
+# A bracketed word, or the bare words for "at" and "dot" together.
+_AT = rf"\x20{{0,2}}[(\[{{<]\x20?(?:{_AT_WORD}|@)\x20?[)\]}}>]\x20{{0,2}}"
+_DOT = rf"\x20{{0,2}}[(\[{{<]\x20?(?:{_DOT_WORD}|\.)\x20?[)\]}}>]\x20{{0,2}}"
+_BARE_DOT = rf"\x20{{1,2}}{_DOT_WORD}\x20{{1,2}}"
 _LABEL = r"[A-Za-z0-9-]{1,63}+"
-# Endings that the bare words "at" and "dot" are taken for an address with.
-_ENDING = r"(?:com|org|net|edu|gov|info|biz|io|co|de|fr|es|uk|eu|example|test)(?![a-z0-9-])"
+# Endings that the bare words are taken for an address with.
+_ENDING = r"(?:com|org|net|edu|gov|info|biz|io|co|de|fr|es|uk|eu|ch|nl|mx|ar|example|test)(?![a-z0-9-])"
 _DISGUISED = re.compile(
-    rf"(?i)(?<=[a-z0-9._%+-])(?P<at>{_AT})(?P<domain>{_LABEL}(?:(?:{_DOT}|\x20{{1,2}}dot\x20{{1,2}}|\.){_LABEL})+)"
-    rf"|(?<=[a-z0-9._%+-])(?P<bare>\x20{{1,2}}at\x20{{1,2}})(?P<spoken>{_LABEL}(?:(?:{_DOT}|\x20{{1,2}}dot\x20{{1,2}}){_LABEL})*(?:{_DOT}|\x20{{1,2}}dot\x20{{1,2}}){_ENDING})"
-    rf"|(?<=[a-z0-9._%+-])@(?P<half>{_LABEL}(?:(?:{_DOT}|\x20{{1,2}}dot\x20{{1,2}}|\.){_LABEL})*(?:{_DOT}|\x20{{1,2}}dot\x20{{1,2}}){_ENDING})"
+    rf"(?i)(?<=[a-z0-9._%+-])(?P<at>{_AT})(?P<domain>{_LABEL}(?:(?:{_DOT}|{_BARE_DOT}|\.){_LABEL})+)"
+    rf"|(?<=[a-z0-9._%+-])(?P<bare>\x20{{1,2}}{_AT_WORD}\x20{{1,2}})(?P<spoken>{_LABEL}(?:(?:{_DOT}|{_BARE_DOT}){_LABEL})*(?:{_DOT}|{_BARE_DOT}){_ENDING})"
+    rf"|(?<=[a-z0-9._%+-])@(?P<half>{_LABEL}(?:(?:{_DOT}|{_BARE_DOT}|\.){_LABEL})*(?:{_DOT}|{_BARE_DOT}){_ENDING})"
 )
-_ANY_DOT = re.compile(rf"(?i){_DOT}|\x20{{1,2}}dot\x20{{1,2}}")
-_AT_GATE = re.compile(r"(?i)[(\[{<]\x20?(?:at|@|dot|\.)\x20?[)\]}>]|\x20dot\x20")
+_ANY_DOT = re.compile(rf"(?i){_DOT}|{_BARE_DOT}")
+_AT_GATE = re.compile(rf"(?i)[(\[{{<]\x20?(?:{_AT_WORD}|@|{_DOT_WORD}|\.)\x20?[)\]}}>]|\x20{_DOT_WORD}\x20")
 
 
 class _Rewritten:
@@ -159,7 +182,7 @@ def _spelled(text: str) -> Iterator[tuple[int, int, str]]:
         for part in _DIGIT_OR_WORD.finditer(text, m.start(), m.end()):
             word = part[0].lower()
             if word.strip(" -"):
-                new = "+" if word in ("plus", "+") else _DIGIT_WORDS.get(word, word)
+                new = "+" if word == "+" or word in _PLUS_WORDS else _DIGIT_WORDS.get(word, word)
                 if new != part[0]:
                     yield part.start(), part.end(), new
                 first = False

@@ -63,6 +63,12 @@ def test_plain_identifiers_equal_the_patterns():
         ("call plus one five five five one two three four five six seven", "phone", "plus one five five five one two three four five six seven"),
         ("card four one one one 1111 1111 one one one one ok", "card", "four one one one 1111 1111 one one one one"),
         ("host １２７.0.0.1", "ip", "１２７.0.0.1"),
+        ("tel plus un deux trois quatre cinq six sept huit neuf zéro fin", "phone", "plus un deux trois quatre cinq six sept huit neuf zéro"),
+        ("Tel. plus vier neun drei null fünf sechs sieben acht eins zwo", "phone", "plus vier neun drei null fünf sechs sieben acht eins zwo"),
+        ("más tres cuatro seis cero cero uno dos tres nueve ocho.", "phone", "más tres cuatro seis cero cero uno dos tres nueve ocho"),
+        ("john arroba example punto com", "email", "john arroba example punto com"),
+        ("jean [arobase] exemple [point] fr", "email", "jean [arobase] exemple [point] fr"),
+        ("hans (ät) mail.beispiel (Punkt) de", "email", "hans (ät) mail.beispiel (Punkt) de"),
     ],
 )
 def test_disguises(text, kind, found):
@@ -72,12 +78,65 @@ def test_disguises(text, kind, found):
 
 @pytest.mark.parametrize(
     "text",
-    ["look at this dot here", "the cat at home", "one two three", "слово и дело", "Ελληνικά", "", None, "at dot at dot", "one two three four five six seven eight nine"],
+    ["look at this dot here", "the cat at home", "one two three", "слово и дело", "Ελληνικά", "", None, "at dot at dot", "one two three four five six seven eight nine", "point final et arroba", "un deux trois quatre cinq six sept huit",
+     "au point de vue arobase", "el punto es, arroba y punto com", "unun deuxx", "eins zwei drei vier fünf sechs sieben acht neun null"],
 )
 def test_plain_prose_has_no_identifiers(text):
     assert spans_of(text) == []
 
 
+WORDS = {
+    "en": ("zero one two three four five six seven eight nine", "plus", "at", "dot"),
+    "fr": ("zéro un deux trois quatre cinq six sept huit neuf", "plus", "arobase", "point"),
+    "de": ("null eins zwei drei vier fünf sechs sieben acht neun", "plus", "at", "punkt"),
+    "es": ("cero uno dos tres cuatro cinco seis siete ocho nueve", "más", "arroba", "punto"),
+}
+
+
+@pytest.mark.parametrize("lang", WORDS)
+def test_most_disguises_of_a_corpus_are_found_and_prose_is_left_alone(spark, lang):
+    """Texts with one identifier each in a disguise drawn at random, and texts with the same words and none."""
+    rng = random.Random(lang)
+    digits, plus, at, dot = WORDS[lang]
+    digits = digits.split()
+
+    def prose(n):
+        return " ".join(rng.choice(["lorem", "ipsum", "dolor,", "amet.", "Sit", digits[rng.randint(0, 9)], dot, at, "12"]) + rng.choice(["", "", " und"]) for _ in range(n))
+
+    def spell(number):
+        return rng.choice([" ", "-", " "]).join(digits[int(d)] if rng.random() < 0.7 else d for d in number)
+
+    def disguised(kind):
+        if kind == "email":
+            name, host = rng.choice(["john.doe", "a_b", "m.muster"]), rng.choice(["example", "mail.example", "my-host"])
+            way = rng.randint(0, 4)
+            if way == 0:
+                return f"{name} ({at}) {host}.com"
+            if way == 1:
+                return f"{name} [{at}] {host} [{dot}] org"
+            if way == 2:
+                return f"{name} {at} {host.replace('.', f' {dot} ')} {dot} com"
+            if way == 3:
+                return f"{name}@{host} {dot} net"
+            return f"{name}@{host}.com".replace("o", "о").replace("e", "е")
+        if kind == "phone":
+            return f"{plus} " + spell(rng.choice("123456789") + "".join(rng.choice("0123456789") for _ in range(rng.randint(9, 12))))
+        number = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        last = next(d for d in "0123456789" if luhn(number + d))
+        return spell(number + last)
+
+    kinds = [rng.choice(["email", "phone", "card"]) for _ in range(300)]
+    texts = [(f"{prose(8)} ; {d} ; {prose(8)}", d) for d in map(disguised, kinds)]
+    rows = [(i, t) for i, (t, _) in enumerate(texts)] + [(1000 + i, prose(16)) for i in range(300)]
+    found = {r["i"]: r["s"] for r in spark.createDataFrame(rows, "i int, t string").select("i", find_pii(F.col("t")).alias("s")).collect()}
+    hits = 0
+    for i, (text, d) in enumerate(texts):
+        spans = {(s["kind"], text[s["start"] : s["end"]].strip()) for s in found[i]}
+        hits += any(k == kinds[i] and x.endswith(d) and len(x) <= len(d) + 12 for k, x in spans)
+    assert hits >= 0.95 * len(texts)
+    assert sum(bool(found[1000 + i]) for i in range(300)) <= 3
+
+
 def test_time_follows_length():
     start = time.perf_counter()
     for part in ("1", "a", "1.", "+1", "one ", "1 ", "a(at)b", "b dot ", "-", "@", "a@", "+", "."):
