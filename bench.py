@@ -16,16 +16,19 @@ import os
 import tempfile
 import time
 from collections.abc import Callable
+from itertools import count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailstrata.functions import cleaning as clean
-from retailstrata.operators import quality
+from retailstrata.operators import fuzzy, quality
 from retailstrata.operators.rows import dedup
-from retailstrata.plans import gold, insights, pipeline, silver
+from retailstrata.plans import gold, insights, pipeline, segments, silver
+from retailstrata.plans.incremental import KpiStates
 from retailstrata.registry import frames, queries
 from retailstrata.sources.extracts import promote_header
+from retailstrata.sources.listed import ListedTable
 
 
 def session(name: str, cpus: int) -> SparkSession:
@@ -78,6 +81,47 @@ def layered(spark: SparkSession, folder: str, paths: list[str]) -> DataFrame:
     return pipeline.run_all(spark, *paths, layers=pipeline.Layers(database="bench", order_buckets=8))
 
 
+def plain_left_returns(orders: DataFrame, returns: DataFrame) -> DataFrame:
+    renamed = returns.withColumnsRenamed({"OrderID": "ReturnedOrderID", "CustomerID": "ReturnCustomerID"})
+    return orders.join(renamed, F.col("OrderID") == F.col("ReturnedOrderID"), "left").drop("ReturnedOrderID")
+
+
+def plain_enriched(orders: DataFrame, returns: DataFrame, inventory: DataFrame) -> DataFrame:
+    both = orders.select("ProductName", "OrderID", "CustomerID", "OrderAmount").join(returns.select("OrderID", "ReturnID"), "OrderID", "left")
+    return both.join(inventory.select("ProductName", "Stock", "CostPrice"), "ProductName", "left")
+
+
+def plain_segments(orders: DataFrame) -> DataFrame:
+    """Recency, frequency and value classes by windows over all customers."""
+    customers = orders.groupBy("CustomerID").agg(F.max("OrderDate").alias("last"), F.count("OrderID").alias("n"), F.sum("OrderAmount").alias("v"))
+    return customers.select("*", *[F.ntile(5).over(Window.orderBy(c, "CustomerID")).alias(f"class_{c}") for c in ("last", "n", "v")])
+
+
+def changed(orders: DataFrame, run: int) -> DataFrame:
+    """One of a hundred orders, of the last months, with another amount in every run."""
+    late = F.col("OrderDate") >= "2001-01-01"
+    return orders.where(late & (F.crc32("OrderID") % 10 == 0)).withColumn("OrderAmount", F.lit(float(run))).withColumn("Order_Month", F.trunc("OrderDate", "month"))
+
+
+def merged(table: ListedTable, orders: DataFrame, run: int) -> DataFrame:
+    table.merge(changed(orders, run))
+    return orders.limit(0)
+
+
+def rewritten(table: ListedTable, orders: DataFrame, run: int, folder: str) -> DataFrame:
+    """The plain way to merge: all rows written again."""
+    changes = changed(orders, run)
+    rows = table.read().join(changes.select("OrderID"), "OrderID", "left_anti").unionByName(changes)
+    rows.write.mode("overwrite").partitionBy("Order_Month").parquet(f"{folder}/rewritten")
+    return orders.limit(0)
+
+
+def added(states: KpiStates, orders: DataFrame, returns: DataFrame, run: int) -> DataFrame:
+    """A load of one order and one return of a hundred, and the gold table after it."""
+    states.add(f"run {run}", orders.where(F.crc32("OrderID") % 100 == run % 100), returns.where(F.crc32("OrderID") % 100 == run % 100))
+    return states.kpis()
+
+
 def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
     cores = spark.sparkContext.defaultParallelism
     orders, returns, inventory = (
@@ -95,6 +139,11 @@ def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
     named = silver.rename_orders(orders)
     headed = f"{folder}/headed_returns"
     queries.with_header_row(returns).write.parquet(headed)
+    runs = count(1)
+    orders_table = ListedTable(spark, f"{folder}/listed", "OrderID", ("Order_Month",))
+    orders_table.create(silver_tables[0].withColumn("Order_Month", F.trunc("OrderDate", "month")))
+    states = KpiStates(spark, f"{folder}/states")
+    states.add("first", *silver_tables)
     timed: dict[str, Callable[[], DataFrame]] = {
         "silver_orders": lambda: silver.silver_orders(orders),
         "silver_returns": lambda: silver.silver_returns(returns),
@@ -113,6 +162,12 @@ def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
         ),
         "customer_value": lambda: insights.customer_value(*silver_tables[:2]),
         "product_month_trend": lambda: insights.product_month_trend(silver_tables[0]),
+        "product_calendar": lambda: insights.product_calendar(silver_tables[0]),
+        "customer_segments": lambda: segments.customer_segments(*silver_tables[:2]),
+        "segment_profit": lambda: segments.segment_profit(*silver_tables),
+        "similar_products": lambda: fuzzy.similar_texts(silver_tables[2], "ProductName", 1),
+        "merge_orders": lambda: merged(orders_table, silver_tables[0], next(runs)),
+        "incremental_kpis": lambda: added(states, *silver_tables[:2], next(runs)),
         "promote_header": lambda: promote_header(spark, headed),
         "layered_pipeline": lambda: layered(spark, folder, [f"{folder}/raw_orders", headed, f"{folder}/raw_inventory"]),
         "raw_to_gold": lambda: gold.gold_product_kpis(
@@ -129,6 +184,11 @@ def steps(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dict, dict]:
             F.initcap(F.trim(F.regexp_replace("Product", r"[^a-zA-Z0-9\s]", "")))
         ),
         "gold_product_kpis": lambda: joined_kpis(*silver_tables),
+        "orders_left_returns": lambda: plain_left_returns(*silver_tables[:2]),
+        "qualified_projection": lambda: plain_enriched(*silver_tables),
+        "customer_segments": lambda: plain_segments(silver_tables[0]),
+        "merge_orders": lambda: rewritten(orders_table, silver_tables[0], next(runs), folder),
+        "incremental_kpis": lambda: gold.gold_product_kpis(*silver_tables),
     }
     return timed, yardsticks
 
