@@ -16,7 +16,7 @@ any query can need.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -30,16 +30,25 @@ from ..sources.scratch import shared_folder
 
 @dataclass(frozen=True)
 class Search:
-    """``sample`` vectors fit the upper tree of at most ``parts`` parts; ``block`` distinct vectors go to a task at most on average."""
+    """``block`` distinct vectors go to a task at most on average. The upper tree has as many parts as that takes, up to ``parts``;
+    beyond them a part has several blocks. It is fitted on ``sample`` projected vectors, or ``sample_per_part`` for each part
+    if that is more: with the defaults 500,000 of 64 bytes at most."""
 
     k: int = 10
     dimensions: int = 8
     probability: float = 0.95
     sample: int = 20_000
-    parts: int = 1024
+    sample_per_part: int = 8
+    parts: int = 1 << 16
     block: int = 10_000
     seed: int = 5
 
+    def parts_for(self, total: int) -> int:
+        return max(1, min(self.parts, -(-total // self.block)))
+
+    def sample_for(self, total: int) -> int:
+        return max(self.sample, self.sample_per_part * self.parts_for(total))
+
 
 def chi_square(x: np.ndarray, degrees: int) -> np.ndarray:
     """Distribution function for an even number of degrees of freedom."""
@@ -90,15 +99,23 @@ class Cuts:
             node = 2 * node + 1 + right
         return node - len(self.axis)
 
-    def distances(self, point: np.ndarray) -> np.ndarray:
-        """Squared distance from a point to each part."""
-        gaps = np.zeros((self.parts + len(self.axis), len(point)))
-        for node in range(len(self.axis)):
-            side = point[self.axis[node]] - self.at[node]
-            gaps[2 * node + 1] = gaps[2 * node + 2] = gaps[node]
-            beyond = 2 * node + (1 if side > 0 else 2)
-            gaps[beyond, self.axis[node]] = max(gaps[beyond, self.axis[node]], abs(side))
-        return (gaps[len(self.axis) :] ** 2).sum(axis=1)
+    def near(self, point: np.ndarray, too_far: Callable[[float], bool]) -> list[int]:
+        """The parts whose squared distance from a point is not ``too_far``; subtrees that are so are not entered."""
+        out, stack = [], [(0, np.zeros(len(point)))]
+        while stack:
+            node, gaps = stack.pop()
+            if too_far(float((gaps * gaps).sum())):
+                continue
+            if node >= len(self.axis):
+                out.append(node - len(self.axis))
+                continue
+            axis = self.axis[node]
+            side = point[axis] - self.at[node]
+            beyond = gaps.copy()
+            beyond[axis] = max(beyond[axis], abs(side))
+            here, there = (2 * node + 2, 2 * node + 1) if side > 0 else (2 * node + 1, 2 * node + 2)
+            stack += [(there, beyond), (here, gaps)]
+        return out
 
 
 class Block:
@@ -251,10 +268,22 @@ def neighbours(df: DataFrame, is_query: Column, search: Search = Search(), key:
     queries = fit_for.where(F.col("is_query")).select("id", "own", "vector")
 
     total = distinct.count()
-    sampled = distinct.orderBy(F.xxhash64("own"), "own").limit(search.sample).select("vector").toArrow()
     directions = projection(dimension or 1, search)
-    sample = _matrix(sampled.column("vector").combine_chunks()) @ directions if total else np.zeros((0, search.dimensions))
-    cuts = Cuts.fit(sample, min(search.parts, -(-total // search.block)))
+    wanted = search.sample_for(total)
+
+    def projected(vectors: pa.Array) -> pa.Array:
+        points = _matrix(vectors) @ directions
+        return pa.FixedSizeListArray.from_arrays(pa.array(points.ravel()), search.dimensions).cast(pa.list_(pa.float64()))
+
+    # A hash bound leaves little more than the sample, of which each row is then a short projection.
+    drawn = distinct.withColumn("draw", F.xxhash64(F.lit(search.seed), "own"))
+    share = min(1.0, 1.2 * wanted / max(total, 1) + 100 / max(total, 1))
+    if share < 1.0:
+        drawn = drawn.where(F.col("draw") <= F.lit(int(share * (1 << 64)) - (1 << 63)))
+    points = drawn.select("draw", "own", F.arrow_udf(projected, "array<double>")("vector").alias("point"))
+    sampled = points.orderBy("draw", "own").limit(wanted).select("point").toArrow()
+    sample = _matrix(sampled.column("point").combine_chunks()) if total else np.zeros((0, search.dimensions))
+    cuts = Cuts.fit(sample, search.parts_for(total))
 
     def part_of(vectors: pa.Array) -> pa.Array:
         return pa.array(cuts.part_of(_matrix(vectors) @ directions).astype(np.int32))
@@ -294,9 +323,8 @@ def neighbours(df: DataFrame, is_query: Column, search: Search = Search(), key:
     def others(vectors: pa.Array, found: pa.Array) -> pa.Array:
         points, out = _matrix(vectors) @ directions, []
         for point, home, limit in zip(points, cuts.part_of(points), found.to_pylist()):
-            visit = ~Block._stop(cuts.distances(point), limit, search)
-            visit[home] = False
-            out.append(np.flatnonzero(visit).tolist())
+            near = cuts.near(point, lambda squared: bool(Block._stop(np.array([squared]), limit, search)[0]))
+            out.append(sorted(p for p in near if p != home))
         return pa.array(out, pa.list_(pa.int32()))
 
     visits = known.withColumn("part", F.explode(F.arrow_udf(others, "array<int>")("vector", "found")))

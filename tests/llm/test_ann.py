@@ -90,12 +90,26 @@ def test_parts_and_distances_to_them():
     part = cuts.part_of(points)
     assert cuts.parts == 16 and set(part) == set(range(16))
     for p in points[:20]:
-        least = cuts.distances(p)
-        for q, other in zip(part, points):
-            assert least[q] <= ((other - p) ** 2).sum() + 1e-12
+        apart = ((points - p) ** 2).sum(axis=1)
+        for bound in (0.0, 0.3, 2.0, 1e9):
+            near = cuts.near(p, lambda squared: squared > bound)
+            assert set(part[apart <= bound]) <= set(near) and len(near) == len(set(near))
+        assert sorted(near) == list(range(16)) and len(cuts.near(p, lambda squared: squared > 0.05)) < 16
     assert Cuts.fit(points[:0], 1).part_of(points).tolist() == [0] * 500
 
 
+def test_parts_and_sample_grow_with_the_vectors(spark):
+    search = Search()
+    assert [search.parts_for(n) for n in (0, 1, 10_000, 10_001, 10**8, 10**10)] == [1, 1, 1, 2, 10_000, 1 << 16]
+    assert [search.sample_for(n) for n in (10, 10**8, 10**12)] == [20_000, 80_000, 8 << 16]
+    rng = np.random.default_rng(7)
+    rows = {i: rng.standard_normal(6).tolist() for i in range(4000)}
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    # Few of the vectors fit the tree, and it has many parts of several blocks.
+    found = by_query(neighbours(df, F.col("vec_id") % 200 == 0, Search(block=50, parts=16, sample=60, sample_per_part=4)))
+    assert recall(found, rows, list(range(0, 4000, 200))) >= 0.9
+
+
 def test_blocks_index_every_vector():
     rng = np.random.default_rng(4)
     vectors = np.concatenate([rng.standard_normal((300, 6)), np.ones((200, 6))])
