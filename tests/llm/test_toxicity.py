@@ -40,7 +40,7 @@ def test_more_toxic_words_never_lower_the_grade(spark):
 
 
 def test_odd_rows_and_labels(spark):
-    model = Model(*toxicity.fit_rows([], [], np.zeros(0, np.int64), Training()).__dict__.values())
+    model = toxicity.NOTHING
     rows = [(1, None), (1, None), (2, ""), (None, "x " * 100_000), (3, ".,;!"), (4, "É" * 1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("grade", "severity", "toxic")})
     out = df.select("doc_id", severity(F.col("text"), model).alias("s")).collect()
@@ -52,6 +52,80 @@ def test_odd_rows_and_labels(spark):
     assert not fit(df, one_class).weights.any()
 
 
+def plain_fit(texts: list[str], toxic: list[int], training: Training) -> Model:
+    """The definition in plain Python: dictionaries of features, the same descent."""
+    import pyarrow as pa
+
+    occurrences = []  # of each text its (word, feature) pairs
+    for t in texts:
+        _, word, value, _ = toxicity.word_features(pa.array([t]))
+        occurrences.append(list(zip(word.tolist(), value.tolist())))
+    n_toxic, n_clean = sum(toxic), len(toxic) - sum(toxic)
+    gap, marks = {}, set()
+    for f in {f for own in occurrences for _, f in own}:
+        there = [x for own, x in zip(occurrences, toxic) if any(f == g for _, g in own)]
+        share_toxic, share_clean = (sum(there) + 0.5) / (n_toxic + 1), (len(there) - sum(there) + 0.5) / (n_clean + 1)
+        gap[f] = abs(share_toxic - share_clean) / (share_toxic / n_toxic + share_clean / n_clean) ** 0.5
+        if share_toxic > 20 * share_clean and sum(there) >= 3:
+            marks.add(f)
+    chosen = sorted(sorted(gap, key=lambda f: (-gap[f], f))[: training.features])
+    rows = []
+    for own, x in zip(occurrences, toxic):
+        hits = len({w for w, f in own if f in marks})
+        counts = sorted((chosen.index(f), sum(f == g for _, g in own)) for f in {f for _, f in own} if f in chosen)
+        rows.append((x, hits, counts))
+    rows.sort()
+    grade = np.array([0 if not x else 1 if h <= 2 else 2 if h <= 5 else 3 for x, h, _ in rows])
+    pairs = [(i, p, n) for i, (_, _, counts) in enumerate(rows) for p, n in counts]
+    doc, place, n = (np.array(v) for v in zip(*pairs))
+    weights, thresholds = toxicity._descend(doc, place, np.log1p(n), grade, len(chosen), training)
+    kept = np.flatnonzero(weights)
+    return Model(np.array(chosen, np.uint64)[kept], weights[kept], thresholds)
+
+
+def test_the_fit_equals_the_definition(spark):
+    rng = np.random.default_rng(1)
+    words = ["plain", "words", "here", "quietly", "table", "number", "green", "seventeen"]
+    bad = ["idiot", "idiots", "moronic", "stupid!"]
+    texts, toxic = [], []
+    for i in range(120):
+        own = rng.choice(words, rng.integers(0, 12)).tolist()
+        toxic.append(int(i % 3 == 0))
+        own += rng.choice(bad, rng.integers(1, 9)).tolist() if toxic[-1] else []
+        texts.append(" ".join(rng.permutation(own).tolist()))
+    df = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(zip(texts, toxic))], "doc_id long, text string, toxic int")
+    training = Training(features=15, steps=60)
+    found, expected = fit(df.repartition(5), df, training), plain_fit(texts, toxic, training)
+    assert found.features.tolist() == expected.features.tolist()
+    assert np.allclose(found.weights, expected.weights) and np.allclose(found.thresholds, expected.thresholds)
+
+
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(2)
+    doc, feature, value = rng.integers(0, 30, 200), rng.integers(0, 8, 200), rng.random(200) + 0.1
+    grade, share = rng.integers(0, 4, 30), rng.random(30) / 30
+    at = (rng.standard_normal(8) * 0.3, 0.4, rng.standard_normal(2) * 0.2)
+
+    def of(x):
+        return toxicity.loss(x[:8], x[8], x[9:], doc, feature, value, grade, share)
+
+    x = np.concatenate([at[0], [at[1]], at[2]])
+    _, pull, bias = of(x)
+    for i, own in enumerate([*pull, *bias]):
+        step = np.zeros(11)
+        step[i] = 1e-6
+        assert abs((of(x + step)[0] - of(x - step)[0]) / 2e-6 - own) < 1e-6
+
+
+def test_very_long_training_texts(spark):
+    long = "idiot " * 30_000 + " ".join(f"w{i}" for i in range(30_000))
+    rows = [(i, long if i == 0 else f"idiot text{i}" if i % 2 == 0 else f"plain text{i}", int(i % 2 == 0)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(df, df)
+    out = df.select("toxic", severity(F.col("text"), model).alias("s")).collect()
+    assert all(r["s"]["toxic"] == bool(r["toxic"]) for r in out)
+
+
 def test_sample_is_bounded_and_covers_both_classes(spark):
     documents = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
     labels = documents.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
