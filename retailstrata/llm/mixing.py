@@ -61,6 +61,9 @@ def rates(
 
     The sizes are written to the shared folder, as both the totals and the rates need them.
     """
+    wrong = [w for w in [*(weights or {}).values(), 0.0 if total is None else total] if not 0 <= w < float("inf")]
+    if wrong:
+        raise ValueError(f"weights and total must be finite and not negative: {wrong}")
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/sizes-{uuid4().hex}"
     df.groupBy(F.col(f"`{source}`").alias("source")).agg(F.sum(size).cast("double").alias("size")).write.parquet(path)
@@ -105,7 +108,8 @@ def mix(
 
     Sizes are code points of text (null: none). A document is known by its key, one without a key by its text, so
     repeated rows get equal numbers of copies each. A column ``copy`` of the input is replaced. An empty input
-    gives an empty result. Rates and weights: see ``rates``.
+    gives an empty result. Rates and weights: see ``rates``; negative or infinite ones are an error. The order follows
+    whole rows, so rows that share a key are dealt over all tasks; only rows equal in all columns stay together.
     """
     size = F.coalesce(F.length(F.col(f"`{text}`")), F.lit(0))
     table = rates(df, size, weights, power, total, source)
@@ -119,7 +123,8 @@ def mix(
     number = copies(F.col("__rate.rate"), F.col("__rate.steps"), F.lit(seed), name)
     repeated = joined.withColumn("__n", number).where("__n > 0").drop("__rate")
     rows = repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
-    shuffled = rows.withColumn("__order", uniform(F.lit(seed), F.lit("order"), name, F.col("copy")))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != "copy"])
+    shuffled = rows.withColumn("__order", uniform(F.lit(seed), F.lit("order"), name, F.col("copy"), whole))
     return shuffled.repartition("__order").sortWithinPartitions("__order").drop("__order")
 
 

@@ -72,3 +72,20 @@ def test_odd_rows(spark):
 def test_no_python_on_the_way(spark):
     plan = mixing.mix(documents(spark, {"a": 5}))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_weights_must_make_sense(spark):
+    df = spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string")
+    for wrong in ({"weights": {"s": -1.0}}, {"total": -5.0}, {"weights": {"s": float("nan")}}, {"total": float("inf")}):
+        with pytest.raises(ValueError, match="not negative"):
+            mixing.mix(df, **wrong)
+    assert mixing.mix(df, total=0.0).count() == 0
+
+
+def test_rows_of_one_key_are_dealt_over_the_tasks(spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "8")
+    for key in ("7", "null"):
+        df = spark.range(2000).selectExpr(f"cast({key} AS bigint) AS doc_id", "concat('text ', id) AS text", "'s' AS source")
+        tasks = [r["count"] for r in mixing.mix(df).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) == 8 and max(tasks) < 0.2 * sum(tasks)
