@@ -254,6 +254,7 @@ def frequent_ngrams(df: DataFrame, mining: Mining, work: _Work, lang: str = "lan
     total = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     kept = work.keep(total.where((F.col("words") == 0) | (F.col("n") >= mining.least)), "frequent")
     shared.destroy()
+    work.drop("survivors")
     return kept
 
 

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from fnmatch import fnmatch
 from functools import reduce
 from uuid import uuid4
 
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import dedup
-from ..sources.scratch import shared_folder
+from ..sources.scratch import remove, shared_folder
 from .arrays import fixed_array, saturating_sum
 from .words import Words, mix, ngrams, slices, words_of
 
@@ -330,13 +331,21 @@ class _Work:
     """Tables of one run in the shared folder."""
 
     def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.folder = spark, f"{shared_folder(spark)}/ngrams-{uuid4().hex}"
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/tables-{uuid4().hex}"
+        self.names: list[str] = []
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
+        self.names.append(name)
         return self.spark.read.parquet(path)
 
+    def drop(self, *patterns: str) -> None:
+        """Delete tables that nothing reads any more, by file name patterns."""
+        for name in [n for n in self.names if any(fnmatch(n, p) for p in patterns)]:
+            remove(self.spark, f"{self.folder}/{name}")
+            self.names.remove(name)
+
 
 def _least(like: Similarity) -> Column:
     return F.ceil(like.share_below * (F.col("size") + F.col("other_size")) / (like.share_above + like.share_below))
@@ -483,6 +492,8 @@ def similar_documents(df: DataFrame, like: Similarity = Similarity(), key: str =
         tested, links = tested.unionAll(pairs), links.unionAll(more)
         roots = components(links, work, f"round-{i}")
 
+    # The result reads the sets and the last round's components only.
+    work.drop("shared", "members-*", "pairs-*", "links-*", "apart", "*-point-*")
     named = sets.select("set_id", "smallest").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
     least = named.groupBy("root").agg(F.min("smallest").alias("component"))

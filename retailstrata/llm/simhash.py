@@ -297,6 +297,7 @@ def near_duplicates(df: DataFrame, near: Nearness = Nearness(), key: str = "doc_
     named = named.withColumn("root", F.coalesce("root", "fingerprint"))
     least = named.groupBy("root").agg(F.min("smallest").alias("component_id"))
     component = work.keep(named.join(least, "root").select("fingerprint", "component_id"), "components")
+    work.drop("distinct", "probes", "large", "crowded", "links", "near-*")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return rows.join(component, "fingerprint").select(
         F.col("key").alias(key), digits.alias("fingerprint"), "component_id"
