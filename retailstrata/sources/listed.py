@@ -157,7 +157,8 @@ class ListedTable:
             rest = rest.alias("t").join(news.select(quoted(self.key)).alias("n"), self._same_key("t", "n"), "left_anti")
             rows = rest.unionByName(news.drop(_FILE))
             added = self._load(self._stored(rows, f"{work}/rows") if self.cluster_by else rows)
-            entries = self._entries(number).where(~F.col("file").isin(touched))
+            gone = self.spark.createDataFrame([(f,) for f in touched], "file string")
+            entries = self._entries(number).join(gone, "file", "left_anti")
             self._put_list(number + 1, entries.unionByName(self._listed(added), allowMissingColumns=True))
             return number + 1
         finally:
