@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from ..operators.rows import dedup
 from ..sources.scratch import remove, shared_folder
 from .arrays import fixed_array, saturating_sum
+from .session import bounded_batches
 from .words import Words, mix, ngrams, slices, words_of
 
 # Counters of step 1 and bits of the filter of needed documents: fixed sizes, 2 MB each, whatever the input.
@@ -333,6 +334,7 @@ class _Work:
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.folder = spark, f"{shared_folder(spark)}/tables-{uuid4().hex}"
         self.names: list[str] = []
+        bounded_batches(spark)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"

@@ -16,6 +16,7 @@ from .alignment import Tokenizers, corpus_alignment
 from .ngram_join import similar_documents
 from .pii import KINDS, find_pii
 from .repetition import repetition
+from .session import bounded_batches
 from .simhash import near_duplicates
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
