@@ -17,6 +17,7 @@ from retailstrata.llm import mixing, packing
 from retailstrata.llm.ngram_join import one_of_each_group
 from retailstrata.llm.pii import mask_pii
 from retailstrata.llm.repetition import kept_rows
+from retailstrata.llm.session import bounded_batches
 from retailstrata.sources.scratch import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,16 +29,19 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    bounded_batches(spark)
     return kept_rows(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id."""
+    bounded_batches(spark)
     return one_of_each_group(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Identifiers are replaced by their kind."""
+    bounded_batches(spark)
     return mask_pii(docs)
 
 
@@ -48,6 +52,7 @@ def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 2048; see ``packing.pack`` for the columns. Copies of a document differ in ``row``."""
+    bounded_batches(spark)
     pieces = packing.pack(docs, packing.Packing(public_tokenizers.path(TOKENIZER)))
     crc32 = F.crc32("ids").cast("bigint").alias("ids_crc32")
     return pieces.select("doc_id", "piece", "start", "length", crc32, "sequence_id", "offset", "row")
