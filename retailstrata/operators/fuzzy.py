@@ -5,6 +5,9 @@ out at most d characters of each. So every distinct text is filed under a hash o
 and only texts that share one are compared, each pair once. A hash that very many texts share is dealt over several
 tasks: one side's texts have one number each, the other's are repeated for all numbers.
 
+Each text has hundreds of such hashes, which the planner's estimates know nothing of, as they come from an ``explode``: by them a
+side would be broadcast, and gathered by the driver first. So all joins here are asked to be merge joins.
+
 The number of ways to shorten a text grows with its length to the power d: made for names and ids and d of 1 or 2.
 """
 
@@ -35,23 +38,27 @@ def shortened(c: Column, most: int) -> Column:
     return F.array_distinct(F.transform(F.flatten(F.array(*found)), lambda x: F.xxhash64(x)))
 
 
-def close_pairs(left: DataFrame, right: DataFrame, most: int, texts_each: int = TEXTS_EACH) -> DataFrame:
+def close_pairs(left: DataFrame, right: DataFrame | None, most: int, texts_each: int = TEXTS_EACH) -> DataFrame:
     """Pairs ``a``, ``b`` of texts of both sides within ``most`` edits, with their ``distance``.
 
-    Each side has one column of texts. Repeated texts count once, nulls are left out.
+    Each side has one column of texts. Repeated texts count once, nulls are left out. Without ``right``, pairs
+    ``a`` < ``b`` of texts of one side.
     """
 
     def filed(df: DataFrame, name: str) -> DataFrame:
         texts = df.select(F.col(quoted(df.columns[0])).alias(name)).where(F.col(name).isNotNull()).distinct()
         return texts.select(name, F.explode(shortened(F.col(name), most)).alias("short"))
 
-    a, b = filed(left, "a"), filed(right, "b")
+    a, b = filed(left, "a"), filed(left if right is None else right, "b")
     numbers = F.ceil(F.count(F.lit(1)) / texts_each).cast("int")
-    # Hashes that only one side has are of no use.
-    sizes = b.groupBy("short").agg(numbers.alias("numbers")).join(a.select("short").distinct(), "short")
+    sizes = b.groupBy("short").agg(numbers.alias("numbers"), F.count(F.lit(1)).alias("texts"))
+    # Hashes that only one side, or one text, has are of no use.
+    sizes = sizes.where("texts > 1") if right is None else sizes.join(a.select("short").distinct().hint("merge"), "short")
+    sizes = sizes.drop("texts").hint("merge")
     a = a.join(sizes, "short").withColumn("number", F.explode(F.sequence(F.lit(0), F.col("numbers") - 1))).drop("numbers")
     b = b.join(sizes, "short").withColumn("number", F.pmod(F.xxhash64("b"), F.col("numbers")).cast("int")).drop("numbers")
-    pairs = a.join(b, ["short", "number"]).where(F.abs(F.char_length("a") - F.char_length("b")) <= most).select("a", "b").distinct()
+    pairs = a.join(b.hint("merge"), ["short", "number"]).where(F.abs(F.char_length("a") - F.char_length("b")) <= most).select("a", "b")
+    pairs = (pairs.where("a < b") if right is None else pairs).distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b", most)).where("distance >= 0")
 
 
@@ -59,9 +66,9 @@ def similar_texts(df: DataFrame, column: str, most: int = 1, texts_each: int = T
     """Pairs ``a`` < ``b`` of different texts of a column within ``most`` edits, and how many rows have each."""
     counts = df.where(F.col(quoted(column)).isNotNull()).groupBy(F.col(quoted(column)).alias("text")).agg(F.count(F.lit(1)).alias("rows"))
     texts = counts.select("text")
-    pairs = close_pairs(texts, texts, most, texts_each).where("a < b")
+    pairs = close_pairs(texts, None, most, texts_each)
     for side in ("a", "b"):
-        pairs = pairs.join(counts.select(F.col("text").alias(side), F.col("rows").alias(f"rows_{side}")), side)
+        pairs = pairs.join(counts.select(F.col("text").alias(side), F.col("rows").alias(f"rows_{side}")).hint("merge"), side)
     return pairs.select("a", "b", "distance", "rows_a", "rows_b")
 
 
@@ -74,8 +81,8 @@ def nearest_known(df: DataFrame, column: str, known: DataFrame, most: int = 1, t
     name = quoted(column)
     texts = df.select(F.col(name).alias("text")).where(F.col(name).isNotNull()).distinct()
     listed = known.select(F.col(quoted(known.columns[0])).alias("text")).where("text is not null").distinct()
-    unknown = texts.join(listed, "text", "left_anti")
+    unknown = texts.join(listed.hint("merge"), "text", "left_anti")
     near = close_pairs(unknown, listed, most, texts_each).groupBy("a", "distance").agg(F.min("b").alias("match"), F.count("b").alias("ties"))
     best = near.groupBy("a").agg(F.min(F.struct("distance", "match", "ties")).alias("best"))
-    found = unknown.join(best, F.col("text") == F.col("a"), "left")
+    found = unknown.join(best.hint("merge"), F.col("text") == F.col("a"), "left")
     return found.select("text", "best.match", "best.distance", F.coalesce("best.ties", F.lit(0)).alias("ties"))

@@ -58,3 +58,9 @@ def test_no_pair_is_made_but_by_a_shared_text(spark):
     for out in (fuzzy.similar_texts(df, "t", 2), fuzzy.nearest_known(df, "t", df, 2)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_no_side_is_broadcast_however_small_it_is_thought_to_be(spark):
+    df = spark.createDataFrame([("a",)], "t string")
+    for out in (fuzzy.similar_texts(df, "t", 2), fuzzy.nearest_known(df, "t", df, 2)):
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
