@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as clean
-from ..operators.rows import dedup, drop_missing, fill_nulls
+from ..operators.rows import dedup, drop_missing, filled
 from ..sources.schemas import RAW_INVENTORY, RAW_ORDERS, RAW_RETURNS, as_declared
 
 # Raw column names and the names the cleaned tables use for them.
@@ -94,14 +96,20 @@ def cleaned_orders(raw: DataFrame) -> DataFrame:
     return raw.transform(rename_orders).transform(apply_rules, ORDER_RULES)
 
 
-def silver_orders(raw: DataFrame) -> DataFrame:
-    """One row per OrderID, defaults filled, rows without customer or product dropped."""
-    return (
-        raw.transform(cleaned_orders)
-        .transform(fill_nulls, ORDER_DEFAULTS)
-        .transform(drop_missing, ORDER_REQUIRED)
-        .transform(dedup, ["OrderID"])
-    )
+def silver_orders(raw: DataFrame, needed: Sequence[str] | None = None) -> DataFrame:
+    """One row per OrderID, defaults filled, rows without customer or product dropped.
+
+    With ``needed`` only the columns up to the last of those: of equal keys the row that is smallest by all columns
+    is kept, and it is also the smallest by the first ones alone, so their values are the same without the others.
+    """
+    renamed = raw.transform(rename_orders).transform(drop_missing, ORDER_REQUIRED)
+    if needed is not None:
+        renamed = renamed.select(*renamed.columns[: max(map(renamed.columns.index, needed)) + 1])
+    values = {}
+    for name in renamed.columns:
+        value = ORDER_RULES[name](F.col(name)) if name in ORDER_RULES else F.col(name)
+        values[name] = filled(value, ORDER_DEFAULTS[name]) if name in ORDER_DEFAULTS else value
+    return dedup(renamed, ["OrderID"], values)
 
 
 def silver_inventory(raw: DataFrame) -> DataFrame:

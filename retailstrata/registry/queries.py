@@ -26,8 +26,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- inputs ---------------------------------------------------------------------------------------
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_orders(raw_orders(spark, sf_dir))
+def _orders(spark: SparkSession, sf_dir: str, *needed: str) -> DataFrame:
+    """Silver orders, or their columns up to the last ``needed`` one."""
+    return silver.silver_orders(raw_orders(spark, sf_dir), needed or None)
 
 
 def _returns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +39,8 @@ def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_inventory(raw_inventory(spark, sf_dir))
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return _orders(spark, sf_dir), _returns(spark, sf_dir), _inventory(spark, sf_dir)
+def _silver(spark: SparkSession, sf_dir: str, *needed: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return _orders(spark, sf_dir, *needed), _returns(spark, sf_dir), _inventory(spark, sf_dir)
 
 
 def _new_folder(spark: SparkSession) -> str:
@@ -250,7 +251,7 @@ def orders_left_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_left_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = orders_left_returns(spark, sf_dir).select("OrderID", "ProductName", "ReturnID")
+    returned = gold.orders_left_returns(_orders(spark, sf_dir, "ProductName"), _returns(spark, sf_dir)).select("OrderID", "ProductName", "ReturnID")
     inventory = _inventory(spark, sf_dir)
     select = [F.col(f"l.{c}") for c in returned.columns]
     select += [F.col(f"r.{c}") for c in inventory.columns if c != "ProductName"]
@@ -258,7 +259,7 @@ def enriched_left_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qualified_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.enriched_orders(*_silver(spark, sf_dir))
+    return gold.enriched_orders(*_silver(spark, sf_dir, "CustomerID", "ProductName", "OrderAmount"))
 
 
 # --- aggregates -----------------------------------------------------------------------------------
@@ -266,7 +267,7 @@ def qualified_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold(plan: Callable[..., DataFrame], *columns: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kpis = plan(*_silver(spark, sf_dir))
+        kpis = plan(*_silver(spark, sf_dir, "CustomerID", "ProductName", "OrderDate", "OrderAmount"))
         return kpis.select("ProductName", *map(rows.quoted, columns)) if columns else kpis
 
     return query
@@ -280,7 +281,7 @@ STATUS_NAMES = {"inprogress": "in progress", "failed": "rejected"}
 
 
 def _dated_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.with_order_date(_returns(spark, sf_dir), _orders(spark, sf_dir))
+    return quality.with_order_date(_returns(spark, sf_dir), _orders(spark, sf_dir, "OrderDate"))
 
 
 def check_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +319,7 @@ def return_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_month_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.product_month_trend(_orders(spark, sf_dir))
+    return insights.product_month_trend(_orders(spark, sf_dir, "ProductName", "OrderDate", "OrderAmount"))
 
 
 def return_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,27 +327,27 @@ def return_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.customer_value(_orders(spark, sf_dir), _returns(spark, sf_dir))
+    return insights.customer_value(_orders(spark, sf_dir, "CustomerID", "OrderAmount"), _returns(spark, sf_dir))
 
 
 def inventory_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.inventory_turnover(_orders(spark, sf_dir), _inventory(spark, sf_dir))
+    return insights.inventory_turnover(_orders(spark, sf_dir, "ProductName", "Quantity"), _inventory(spark, sf_dir))
 
 
 def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.customer_segments(_orders(spark, sf_dir), _returns(spark, sf_dir))
+    return segments.customer_segments(_orders(spark, sf_dir, "CustomerID", "ProductName", "Quantity", "OrderDate", "OrderAmount"), _returns(spark, sf_dir))
 
 
 def segment_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.segment_profit(*_silver(spark, sf_dir))
+    return segments.segment_profit(*_silver(spark, sf_dir, "CustomerID", "ProductName", "Quantity", "OrderDate", "OrderAmount"))
 
 
 def product_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.product_calendar(_orders(spark, sf_dir))
+    return insights.product_calendar(_orders(spark, sf_dir, "ProductName", "OrderDate", "OrderAmount"))
 
 
 def product_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.product_trend(_orders(spark, sf_dir))
+    return insights.product_trend(_orders(spark, sf_dir, "ProductName", "OrderDate", "OrderAmount"))
 
 
 # --- loads ----------------------------------------------------------------------------------------
@@ -377,7 +378,7 @@ def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of one product, and all orders of one month, each from the files that may hold some, of a clustered table."""
-    orders = _orders(spark, sf_dir).select("OrderID", "ProductName", "OrderDate", "OrderAmount")
+    orders = _orders(spark, sf_dir, "OrderAmount").select("OrderID", "ProductName", "OrderDate", "OrderAmount")
     table = ListedTable(spark, _new_folder(spark), "OrderID", cluster_by=("ProductName", "OrderDate"), files_each=32)
     table.create(orders)
     of_product = table.read_between("ProductName", "hot product", "hot product").withColumn("Asked", F.lit("product"))
@@ -419,7 +420,7 @@ def match_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, kind = F.col("ProductName"), F.col("Quantity") % 5
     without = F.concat(F.substring(name, 1, 2), F.substr(name, F.lit(4)))
     more = F.concat(F.substring(name, 1, 3), F.lit("x"), F.substr(name, F.lit(4)))
-    typed = _orders(spark, sf_dir).select(F.when(kind == 0, without).when(kind == 1, more).otherwise(name).alias("ProductName"))
+    typed = _orders(spark, sf_dir, "ProductName", "Quantity").select(F.when(kind == 0, without).when(kind == 1, more).otherwise(name).alias("ProductName"))
     return fuzzy.nearest_known(typed, "ProductName", _inventory(spark, sf_dir).select("ProductName"), 1)
 
 
@@ -442,7 +443,7 @@ def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by month, undated ones too; the months of 1995 are written without amounts first, then replaced alone."""
     path = _new_folder(spark)
     name = f"orders_by_month_{path[-8:]}"
-    monthly = _orders(spark, sf_dir).withColumn("Order_Month", F.trunc("OrderDate", "month"))
+    monthly = _orders(spark, sf_dir, "ProductName", "OrderDate", "OrderAmount").withColumn("Order_Month", F.trunc("OrderDate", "month"))
     in_1995 = F.coalesce(F.year("OrderDate") == 1995, F.lit(False))
     blank = F.when(~in_1995, F.col("OrderAmount"))
     by = ["Order_Month"]

@@ -107,3 +107,52 @@ def test_silver_orders_fill_then_drop_then_dedup(spark, ansi):
         "OrderAmount": "double", "DeliveryStatus": "string", "PaymentMode": "string", "Email": "string",
         "ShipAddress": "string", "PromoCode": "string", "FeedbackScore": "double",
     }
+
+
+def test_silver_orders_up_to_a_column_equal_the_whole_ones(spark):
+    from retailstrata.sources.schemas import RAW_ORDERS
+
+    rng = random.Random(3)
+    pick = lambda *v: rng.choice(v)
+    data = [
+        raw_order(
+            Order_ID=pick(None, "o1", "o2", f"o{rng.randrange(30)}"), cust_id=pick(None, "c1", "c2"), Product_Name=pick(None, "p", "q"),
+            Qty=pick(None, "one", "7", "x"), Order_Date=pick(None, "2025/01/02", "31-12-2024", "12-31-2024", "?"), Payment_Mode=pick(None, "UPI", "1"),
+            **{"Order_Amount$": pick(None, "$1", "Rs. 2", "NaN")},
+        )
+        for _ in range(400)
+    ]
+    raw = spark.createDataFrame(data, RAW_ORDERS)
+    whole = silver.silver_orders(raw)
+    steps = rows.drop_missing(rows.fill_nulls(silver.cleaned_orders(raw), silver.ORDER_DEFAULTS), silver.ORDER_REQUIRED)
+    expected = sorted(map(str, rows.dedup(steps, ["OrderID"]).collect()))
+    assert sorted(map(str, whole.collect())) == expected
+    for last in whole.columns[1:]:
+        some = silver.silver_orders(raw, ["CustomerID", last])
+        assert some.columns == whole.columns[: whole.columns.index(last) + 1]
+        assert sorted(map(str, some.collect())) == sorted(map(str, whole.select(*some.columns).collect()))
+
+
+def test_the_jvm_compiles_the_code_of_the_orders_queries(spark, conf):
+    import re
+
+    from conftest import SF_DIR
+
+    from retailstrata.registry import queries
+
+    conf("spark.sql.adaptive.enabled", "false")  # else the plan has no code before it runs
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    for name in ("silver_orders", "orders_left_returns", "product_calendar", "kpi_counts"):
+        text = queries.all_queries()[name](spark, SF_DIR)._jdf.queryExecution().explainString(mode)
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) <= 8000, (name, max(sizes))
+
+
+def test_reports_compute_no_order_column_that_they_do_not_need(spark):
+    from conftest import SF_DIR
+
+    from retailstrata.registry import queries
+
+    for name in ("product_calendar", "customer_value", "kpi_counts", "check_returns", "inventory_turnover"):
+        text = queries.all_queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+        assert "ORD_" in text and "Main St" not in text and "PROMO" not in text, name
