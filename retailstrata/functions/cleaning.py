@@ -51,15 +51,41 @@ _FRACTIONAL_NUMBER = r"^[\x00-\x20\x7f]*([+-]?)([0-9]*)\.[0-9]*[\x00-\x20\x7f]*$
 def to_int(c: Column) -> Column:
     """String to int; "1.9" is cut to 1, text that is no int32 number is null.
 
-    ``try_cast`` alone refuses fractions, so they are cut off first ("-.5" -> "-0" -> 0).
+    ``try_cast`` alone refuses fractions, so they are cut off first ("-.5" -> "-0" -> 0). A failed cast costs an
+    exception, so texts without a digit are not tried.
     """
     whole = F.when(c.contains("."), F.regexp_replace(c, _FRACTIONAL_NUMBER, "$10$2")).otherwise(c)
-    return whole.try_cast("int")
+    return F.when(c.rlike("[0-9.]"), whole.try_cast("int"))
+
+
+def to_double(c: Column) -> Column:
+    """String to double; text that is no number is null.
+
+    A failed cast costs an exception, so texts with other than ASCII characters, or without a digit or the "n" of "nan"
+    and "inf", are not tried.
+    """
+    return F.when(c.rlike(r"^[\x00-\x7f]*[0-9nN][\x00-\x7f]*\z"), c.try_cast("double"))
+
+
+def plain_date(c: Column, layout: str, separators: str) -> tuple[Column, Column]:
+    """Whether a text has the digits of a numeric layout with some of the separators, and its date, null if there is none.
+
+    A formatter takes several times longer than a cast. Both throw an exception for a day that the month does not have, so
+    such days are not tried. Year 0000, which only the cast knows, counts as another text.
+    """
+    digits = {"yyyy": "(?!0000)[0-9]{4}", "MM": "[0-9]{2}", "dd": "[0-9]{2}"}
+    parts = sorted(digits, key=layout.index)
+    pattern = "^" + f"[{separators}]".join(digits[p] for p in parts) + r"\z"
+    texts = {p: F.substring(c, layout.index(p) + 1, len(p)) for p in digits}
+    month, day = texts["MM"], texts["dd"]
+    last = F.when(month == "02", "29").when(month.isin("04", "06", "09", "11"), "30").otherwise("31")
+    there = month.between("01", "12") & day.between(F.lit("01"), last)
+    return c.rlike(pattern), F.when(there, F.concat_ws("-", *texts.values()).try_cast("date"))
 
 
 def first_number(c: Column) -> Column:
     """First unsigned decimal number in the text; null when there is none."""
-    return F.regexp_extract(c, FIRST_NUMBER_PATTERN, 1).try_cast("double")
+    return to_double(F.regexp_extract(c, FIRST_NUMBER_PATTERN, 1))
 
 
 def letters_only(c: Column) -> Column:
@@ -99,20 +125,29 @@ def clean_order_date(c: Column) -> Column:
         separator = next(x for x in layout if not x.isalpha())
         layouts.setdefault((layout[2] == separator, separator), []).append(layout)
     cases = [
-        (third == separator if in_third else c.contains(separator), F.coalesce(*[F.try_to_date(c, x) for x in own]))
+        (third == separator if in_third else c.contains(separator), _first_date(c, own, separator))
         for (in_third, separator), own in sorted(layouts.items(), key=lambda item: not item[0][0])
     ]
     return _first_match(cases, F.lit(None).cast("date"))
 
 
+def _first_date(c: Column, layouts: list[str], separator: str) -> Column:
+    """First layout that parses, of layouts whose digits stand in the same places."""
+    parsed = F.coalesce(*[F.try_to_date(c, x) for x in layouts])
+    if not all(len(x) == 10 for x in layouts):
+        return parsed
+    plain = [plain_date(c, x, separator) for x in layouts]
+    return F.when(plain[0][0], F.coalesce(*[date for _, date in plain])).otherwise(parsed)
+
+
 def clean_amount(c: Column) -> Column:
     """Drop currency marks, separators *and the decimal point*, then cast to double."""
-    return F.translate(c, AMOUNT_NOISE, "").try_cast("double")
+    return to_double(F.translate(c, AMOUNT_NOISE, ""))
 
 
 def clean_amount_documented(c: Column) -> Column:
     """Drop currency marks and thousands commas, keep the decimal point."""
-    return F.regexp_replace(c, r"Rs\.?|USD|INR|[$₹,\s]", "").try_cast("double")
+    return to_double(F.regexp_replace(c, r"Rs\.?|USD|INR|[$₹,\s]", ""))
 
 
 def clean_payment_mode(c: Column) -> Column:
@@ -139,7 +174,7 @@ def clean_ship_address(c: Column) -> Column:
 
 
 def clean_feedback_score(c: Column) -> Column:
-    return c.try_cast("double")
+    return to_double(c)
 
 
 # --- inventory ----------------------------------------------------------------------------------
@@ -163,7 +198,8 @@ def clean_stock_documented(c: Column) -> Column:
 
 def clean_last_stocked(c: Column) -> Column:
     """Year-first date with ``/``, ``.`` or ``-`` between the parts."""
-    return F.try_to_date(F.translate(c, "/.", "--"), STOCKED_DATE_FORMAT)
+    there, date = plain_date(c, STOCKED_DATE_FORMAT, "/.-")
+    return F.when(there, date).otherwise(F.try_to_date(F.translate(c, "/.", "--"), STOCKED_DATE_FORMAT))
 
 
 def clean_cost_price(c: Column) -> Column:
@@ -185,7 +221,8 @@ def clean_available(c: Column) -> Column:
 
 def clean_return_date(c: Column) -> Column:
     """Day-first date with ``/``, ``.`` or ``-`` between the parts."""
-    return F.try_to_date(F.translate(c, "/.", "--"), RETURN_DATE_FORMAT)
+    there, date = plain_date(c, RETURN_DATE_FORMAT, "/.-")
+    return F.when(there, date).otherwise(F.try_to_date(F.translate(c, "/.", "--"), RETURN_DATE_FORMAT))
 
 
 def clean_refund_status(c: Column) -> Column:

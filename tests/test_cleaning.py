@@ -172,3 +172,37 @@ def test_to_int_equals_the_lenient_cast(spark, texts):
 
 def test_fixed_email_pattern_is_anchored():
     assert re.fullmatch(r"\^.*\$", c.EMAIL_PATTERN)
+
+
+def test_texts_that_fail_are_not_tried(spark, monkeypatch):
+    """A failed parse costs an exception a row; with casts that raise, these must pass through the rules."""
+    column = type(F.col("x"))
+    monkeypatch.setattr(column, "try_cast", column.cast)
+    monkeypatch.setattr(F, "try_to_date", F.to_date)
+    cases = {
+        c.clean_order_date: {"12-31-2024": "2024-12-31", "31-12-2024": "2024-12-31", "31/04/2024": None, "2024.02.30": None, "00-00-2024": None},
+        c.clean_return_date: {"31-04-2025": None, "30.04/2025": "2025-04-30", "28.02.2025": "2025-02-28"},
+        c.clean_last_stocked: {"2025-02-30": None, "2025/03/11": "2025-03-11"},
+        c.clean_amount: {"€5": None, "$1,000123.99": "1.00012399E8", "Rs.": None},
+        c.clean_return_amount: {"Invalid data": None, "Refund $7.5 of $150": "7.5"},
+        c.clean_feedback_score: {"bad": None, "4.5": "4.5", "nan": "NaN"},
+        c.clean_quantity: {"n/a": None, "Two": "2", "1.9": "1"},
+    }
+    for rule, values in cases.items():
+        df = spark.createDataFrame([(k,) for k in values], "c string").select("c", rule(F.col("c")).cast("string").alias("v"))
+        assert {r["c"]: r["v"] for r in df.collect()} == values, rule.__name__
+
+
+def test_plain_dates_are_those_of_the_formatter(spark, ansi):
+    texts = [
+        f"{lead}{s.join(parts)}{tail}"
+        for y in ("2024", "1900", "0000", "12024", "24") for m in ("02", "12", "13", "00", "1") for d in ("29", "30", "31", "12", "00")
+        for parts in ((y, m, d), (d, m, y), (m, d, y)) for s in "-/." for lead in ("", " ") for tail in ("", "\n", " 1")
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    text = F.col("c")
+    tried = F.coalesce(*[F.try_to_date(text, x) for x in c.ORDER_DATE_FORMATS])
+    returned = F.try_to_date(F.translate(text, "/.", "--"), c.RETURN_DATE_FORMAT)
+    found = df.select("c", c.clean_order_date(text).alias("a"), tried.alias("b"), c.clean_return_date(text).alias("x"), returned.alias("y"))
+    assert found.where("not (a <=> b) or not (x <=> y)").collect() == []
+    assert found.where("a is not null").count() > 50
