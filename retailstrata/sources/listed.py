@@ -119,11 +119,17 @@ class ListedTable:
         self.spark.createDataFrame([(text,)], "schema string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/schema")
         work = f"{shared_folder(self.spark)}/create-{uuid4().hex}"
         try:
-            self._put_list(0, self._listed(self._load(self._stored(self._newest(df, version), work))))
+            self._put_list(0, self._listed(self._load(self._one_each(df, version, work))))
         finally:
             remove(self.spark, work)
         return 0
 
+    def _one_each(self, df: DataFrame, version: str | None, work: str) -> DataFrame:
+        """One row of each key, stored. Only keys are shuffled, and whole rows where one repeats."""
+        rows = self._stored(df, f"{work}/given")
+        most = rows.groupBy(quoted(self.key)).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+        return rows if (most or 0) < 2 else self._stored(self._newest(rows, version), f"{work}/staged")
+
     def _newest(self, df: DataFrame, version: str | None) -> DataFrame:
         """One row of each key: the newest, of equally new ones the largest by all columns; without versions as ``dedup``."""
         if version is None:
@@ -147,7 +153,7 @@ class ListedTable:
             raise ValueError(f"columns {sorted(changes.columns)} are not those of the table, {sorted(columns)}")
         work = f"{shared_folder(self.spark)}/merge-{uuid4().hex}"
         try:
-            staged = self._stored(self._newest(changes.select(*map(quoted, columns)), version), f"{work}/staged")
+            staged = self._one_each(changes.select(*map(quoted, columns)), version, work)
             met = self._files_with(files, staged)
             news = self._stored(self._news(self._scan(met), staged, version), f"{work}/news")
             if news.isEmpty():

@@ -146,3 +146,14 @@ def test_clustering_odd_columns(spark, tmp_path):
     e.create(rows_of(spark, []))
     e.merge(rows_of(spark, rows))
     assert e.read_between("v", 1.0, 1.0).count() == 1
+
+
+def test_whole_rows_are_gathered_by_key_only_where_keys_repeat(spark, tmp_path, monkeypatch):
+    newest, calls = ListedTable._newest, []
+    monkeypatch.setattr(ListedTable, "_newest", lambda self, *a: calls.append(1) or newest(self, *a))
+    t = table(spark, tmp_path, rows_of(spark, [("a", 1.0, 1, 1), (None, 2.0, 2, 1)]), "at")
+    t.merge(rows_of(spark, [("a", 3.0, 1, 2), ("b", 1.0, None, 1)]), "at")
+    assert not calls
+    t.merge(rows_of(spark, [(None, 5.0, 1, 3), (None, 4.0, 1, 2), ("b", 0.0, 1, 0)]), "at")
+    assert calls == [1]
+    assert bag(t.read()) == bag(rows_of(spark, [("a", 3.0, 1, 2), ("b", 1.0, None, 1), (None, 5.0, 1, 3)]))
