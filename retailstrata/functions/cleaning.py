@@ -79,13 +79,18 @@ def plain_date(c: Column, layout: str, separators: str) -> tuple[Column, Column]
     texts = {p: F.substring(c, layout.index(p) + 1, len(p)) for p in digits}
     month, day = texts["MM"], texts["dd"]
     last = F.when(month == "02", "29").when(month.isin("04", "06", "09", "11"), "30").otherwise("31")
-    there = month.between("01", "12") & day.between(F.lit("01"), last)
+    # Every month has 28 days; only later days are held against their month's last.
+    there = month.between("01", "12") & (day >= "01") & ((day <= "28") | (day <= last))
     return c.rlike(pattern), F.when(there, F.concat_ws("-", *texts.values()).try_cast("date"))
 
 
 def first_number(c: Column) -> Column:
-    """First unsigned decimal number in the text; null when there is none."""
-    return to_double(F.regexp_extract(c, FIRST_NUMBER_PATTERN, 1))
+    """First unsigned decimal number in the text; null when there is none.
+
+    A text with a digit has one that a cast reads. The test is made on the text, as one on the extracted number would have
+    the number extracted twice.
+    """
+    return F.when(c.rlike("[0-9]"), F.regexp_extract(c, FIRST_NUMBER_PATTERN, 1).try_cast("double"))
 
 
 def letters_only(c: Column) -> Column:
@@ -141,8 +146,13 @@ def _first_date(c: Column, layouts: list[str], separator: str) -> Column:
 
 
 def clean_amount(c: Column) -> Column:
-    """Drop currency marks, separators *and the decimal point*, then cast to double."""
-    return to_double(F.translate(c, AMOUNT_NOISE, ""))
+    """Drop currency marks, separators *and the decimal point*, then cast to double.
+
+    The test of ``to_double`` is made on the text before, as one on the rest would have the marks dropped twice. Of the
+    letters of "nan" and "inf" only the small "n" is left.
+    """
+    there = c.rlike(r"^[\x00-\x7f₹]*[0-9n][\x00-\x7f₹]*\z")
+    return F.when(there, F.translate(c, AMOUNT_NOISE, "").try_cast("double"))
 
 
 def clean_amount_documented(c: Column) -> Column:

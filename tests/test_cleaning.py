@@ -206,3 +206,29 @@ def test_plain_dates_are_those_of_the_formatter(spark, ansi):
     found = df.select("c", c.clean_order_date(text).alias("a"), tried.alias("b"), c.clean_return_date(text).alias("x"), returned.alias("y"))
     assert found.where("not (a <=> b) or not (x <=> y)").collect() == []
     assert found.where("a is not null").count() > 50
+
+
+def test_amount_rules_work_on_a_text_once():
+    """A rule that tests what it has made of a text makes it twice for every row."""
+    x = F.col("x")
+    assert str(c.clean_amount(x)).count("translate(") == 1
+    assert str(c.first_number(x)).count("regexp_extract(") == 1
+
+
+def test_amount_rules_test_the_text_as_its_rest(spark, ansi):
+    pieces = ["", "5", "07", ".", "n", "N", "nan", "inf", "INR", "₹", "€", "-", " ", "\n", "e3", "٣", "1,0", "9" * 400]
+    df = spark.createDataFrame([(a + b + d,) for a in pieces for b in pieces for d in pieces], "t string")
+    t = F.col("t")
+    amount, number = c.to_double(F.translate(t, c.AMOUNT_NOISE, "")), c.to_double(F.regexp_extract(t, c.FIRST_NUMBER_PATTERN, 1))
+    found = df.select("t", c.clean_amount(t).alias("a"), amount.alias("b"), c.first_number(t).alias("x"), number.alias("y"))
+    assert found.where("not (a <=> b) or not (x <=> y)").collect() == []
+    assert found.where("a is not null and x is not null").count() > 500
+
+
+def test_last_days_of_months(spark, ansi):
+    """Day-first and month-first layouts take the 29th to 31st of the months that have them, as a formatter does."""
+    texts = [f"{a:02d}{s}{b:02d}{s}{y}" for a in range(33) for b in range(33) for s in "-/." for y in (2023, 2024)]
+    text = F.col("c")
+    tried = F.coalesce(*[F.try_to_date(text, x) for x in c.ORDER_DATE_FORMATS])
+    df = spark.createDataFrame([(t,) for t in texts], "c string").select("c", c.clean_order_date(text).alias("a"), tried.alias("b"))
+    assert df.where("not (a <=> b)").collect() == []
