@@ -444,6 +444,7 @@ def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _new_folder(spark)
     name = f"orders_by_month_{path[-8:]}"
     monthly = _orders(spark, sf_dir, "ProductName", "OrderDate", "OrderAmount").withColumn("Order_Month", F.trunc("OrderDate", "month"))
+    monthly = _stored(spark, monthly.select("OrderID", "ProductName", "OrderDate", "OrderAmount", "Order_Month"))  # written from twice
     in_1995 = F.coalesce(F.year("OrderDate") == 1995, F.lit(False))
     blank = F.when(~in_1995, F.col("OrderAmount"))
     by = ["Order_Month"]

@@ -277,3 +277,17 @@ def test_extracts_of_several_kinds_of_files(spark, tmp_path):
     spark.createDataFrame([([1], "x", "y")], "name array<int>, stock string, cost string").write.parquet(f"{tmp_path}/odd")
     with pytest.raises(schemas.SchemaMismatch, match="array"):
         read_mixed_extract(spark, f"{tmp_path}/odd", declared)
+
+
+def test_orders_by_month_are_worked_out_once(spark, monkeypatch):
+    """The table and its replaced months are written from stored orders, not each from the raw rows."""
+    plans, gathered = [], tables.gathered
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return gathered(df, *args)
+
+    monkeypatch.setattr(tables, "gathered", seen)
+    found = queries.partitioned_table(spark, SF_DIR)
+    assert len(plans) == 2 and not any("Aggregate" in p or "Join" in p for p in plans)
+    assert found.columns == ["OrderID", "ProductName", "OrderDate", "OrderAmount", "Order_Month"]
