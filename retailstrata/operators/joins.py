@@ -40,17 +40,22 @@ def hot_keys(right: DataFrame, key: str, rows_each: int = ROWS_EACH) -> DataFram
     return many.select(_KEY, F.ceil(F.col("n") / rows_each).cast("int").alias(_NUMBERS))
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str, select: Sequence[Column], rows_each: int = ROWS_EACH) -> DataFrame:
+def left_join(
+    left: DataFrame, right: DataFrame, key: str, select: Sequence[Column], rows_each: int = ROWS_EACH, drawn_by: Sequence[str] | None = None
+) -> DataFrame:
     """``left LEFT JOIN right ON l.key = r.key``, projected to ``select``.
 
     The sides are aliased ``l`` and ``r``; ``select`` names columns as ``F.col("l.x")`` and must give unique output
     names. Null keys never match. The left side is read once, the right one twice: for its keys alone, and whole.
+
+    Numbers are drawn by a hash of all right columns, which makes Spark work out those that ``select`` leaves out too, or of
+    ``drawn_by``: rows of a hot key that are alike in these share a number.
     """
     hot = F.broadcast(hot_keys(right, key, rows_each))  # MOST_HOT rows at most
     k = F.col(quoted(key))
     numbers = F.coalesce(F.col(_NUMBERS), F.lit(1))
     copies = left.join(hot, k == F.col(_KEY), "left").drop(_KEY).withColumn(_NUMBER, F.explode(F.sequence(F.lit(0), numbers - 1)))
-    drawn = F.pmod(F.xxhash64(*map(quoted, right.columns)), numbers).cast("int")
+    drawn = F.pmod(F.xxhash64(*map(quoted, drawn_by or right.columns)), numbers).cast("int")
     dealt = right.where(k.isNotNull()).join(hot, k == F.col(_KEY), "left").withColumn(_NUMBER, drawn).drop(_KEY, _NUMBERS)
     dealt = dealt.withColumn(_THERE, F.lit(True))
     same = (F.col(f"l.{quoted(key)}") == F.col(f"r.{quoted(key)}")) & (F.col(f"l.{_NUMBER}") == F.col(f"r.{_NUMBER}"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 from collections import Counter
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from retailstrata.operators import joins
 from retailstrata.operators.kpis import product_kpis
-from retailstrata.plans import gold
+from retailstrata.plans import gold, silver
 
 ORDERS = "OrderID string, CustomerID string, ProductName string, OrderAmount double, OrderDate date"
 RETURNS = (
@@ -182,6 +183,27 @@ def test_joins_read_their_inputs_no_more_often_than_needed(spark, tmp_path):
         assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") <= scans
 
 
+def test_joins_with_returns_leave_out_rules_that_no_result_needs(spark, conf):
+    """Numbers of hot orders are drawn by columns whose rules cost little, not by whole cleaned returns."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    orders, _, inventory = make_tables(spark, 2)
+    raw = [(f"r{i}", "o1", " cust1 ", "Late", "01/02/2025", "OK", "A#1", "$1", "P#1") for i in range(5)]
+    returns = silver.silver_returns(spark.createDataFrame(raw, ", ".join(f"{c} string" for c in silver.RETURN_NAMES) + ", Product string"))
+    few = gold.orders_left_returns(orders, returns).select("OrderID", "ProductName", "ReturnID")
+    for df in (few, gold.enriched_orders(orders, returns, inventory)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract" not in plan and "regexp_replace" not in plan
+
+
+def test_hot_returns_without_ids_equal_the_plain_join(spark, monkeypatch):
+    orders, returns, _ = make_tables(spark, 3, hot=True)
+    returns = returns.withColumn("ReturnID", F.lit(None).cast("string"))
+    found = [bag(gold.orders_left_returns(orders, returns))]
+    monkeypatch.setattr(gold, "left_join", functools.partial(joins.left_join, rows_each=2))
+    found.append(bag(gold.orders_left_returns(orders, returns)))
+    assert found[0] == found[1] and sum(found[0].values()) == joined(orders, returns, spark.createDataFrame([], INVENTORY)).count()
+
+
 def test_a_hot_right_key_is_split_over_tasks(spark, conf):
     """A right-hand key with a third of the rows: no task gets it whole."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
