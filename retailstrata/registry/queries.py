@@ -89,7 +89,7 @@ def _layered(spark: SparkSession, sf_dir: str, table: str, returns: Query = raw_
         "inventory": raw_inventory(spark, sf_dir),
     }
     for name, df in extracts.items():
-        df.write.parquet(f"{folder}/{name}")
+        df.write.parquet(f"{folder}/{name}", compression=tables.COMPRESSION["parquet"])
     layers = pipeline.Layers(database=database, **steps)
     pipeline.run_all(spark, *[f"{folder}/{name}" for name in extracts], layers=layers)
     layers.read(spark, table).write.parquet(f"{folder}/result")

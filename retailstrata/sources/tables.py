@@ -8,6 +8,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_FORMAT = "parquet"
+# Tables are written, and rewritten by each run, in the smaller of the codecs that Spark's readers all know.
+COMPRESSION = {"parquet": "zstd", "orc": "zstd"}
 
 
 def write_table(
@@ -26,6 +28,8 @@ def write_table(
     read by one task.
     """
     writer = df.write.mode("overwrite").format(fmt)
+    if fmt in COMPRESSION:
+        writer = writer.option("compression", COMPRESSION[fmt])
     if path is not None:
         writer = writer.option("path", path)
     if partition_by:

@@ -291,3 +291,16 @@ def test_orders_by_month_are_worked_out_once(spark, monkeypatch):
     found = queries.partitioned_table(spark, SF_DIR)
     assert len(plans) == 2 and not any("Aggregate" in p or "Join" in p for p in plans)
     assert found.columns == ["OrderID", "ProductName", "OrderDate", "OrderAmount", "Order_Month"]
+
+
+def test_tables_are_written_small_when_replaced_too(spark, tmp_path):
+    name, path = f"small_{uuid.uuid4().hex[:8]}", tmp_path / "table"
+    df = spark.range(8).selectExpr("id", "id % 2 AS part")
+    tables.write_table(df, name, path=str(path), partition_by=["part"])
+    first = set(path.rglob("*.parquet"))
+    tables.replace_partitions(df.where("part = 1"), name)
+    files = set(path.rglob("*.parquet"))
+    rows = sorted(map(tuple, tables.read_table(spark, name).select("id", "part").collect()))
+    spark.sql(f"DROP TABLE {name}")
+    assert rows == [(i, i % 2) for i in range(8)] and files - first
+    assert all(f.name.endswith(".zstd.parquet") for f in first | files)
