@@ -17,7 +17,7 @@ from ..plans.incremental import KpiStates
 from ..sources import schemas, tables
 from ..sources.extracts import promote_header, read_extract, read_mixed_extract
 from ..sources.listed import ListedTable
-from ..sources.scratch import shared_folder
+from ..sources.scratch import release, shared_folder, smaller_tasks
 from .frames import raw_inventory, raw_orders, raw_returns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -355,7 +355,9 @@ def product_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     path = _new_folder(spark)
-    df.write.parquet(path)
+    with smaller_tasks(spark):
+        df.write.parquet(path, compression=tables.COMPRESSION["parquet"])
+    release(spark)
     return spark.read.parquet(path)
 
 

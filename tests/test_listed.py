@@ -157,3 +157,91 @@ def test_whole_rows_are_gathered_by_key_only_where_keys_repeat(spark, tmp_path,
     t.merge(rows_of(spark, [(None, 5.0, 1, 3), (None, 4.0, 1, 2), ("b", 0.0, 1, 0)]), "at")
     assert calls == [1]
     assert bag(t.read()) == bag(rows_of(spark, [("a", 3.0, 1, 2), ("b", 1.0, None, 1), (None, 5.0, 1, 3)]))
+
+
+def shuffled_mb(spark, work) -> float:
+    """Megabytes that ``work`` writes for shuffles."""
+    store, before = spark.sparkContext._jsc.sc().statusStore(), 0
+
+    def total():
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size())) / 1e6
+
+    before = total()
+    work()
+    return total() - before
+
+
+def wide(spark, path, n, **changed):
+    """Rows in files, wide ones that differ in all columns."""
+    df = spark.range(n).select(F.concat(F.lit("k"), "id").alias("id"), F.rand(1).alias("v"), F.expr("make_date(2025, int(id % 12) + 1, 1)").alias("month"))
+    df.withColumns({f"c{i}": F.sha2(F.concat(F.lit(i), "id"), 256) for i in range(6)} | {"at": F.lit(1)}).coalesce(2).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_merge_shuffles_whole_rows_once(spark, tmp_path):
+    first = wide(spark, f"{tmp_path}/rows", 20_000)
+    mb = sum(p.stat().st_size for p in Path(f"{tmp_path}/rows").glob("*.parquet")) / 1e6
+    t = ListedTable(spark, f"{tmp_path}/t", "id", ("month",))
+    t.create(first, "at")
+    changes = first.withColumns({"v": F.when(F.col("v") < 0.5, 2.0).otherwise(F.col("v")), "at": F.when(F.col("v") < 0.7, 2).otherwise(0)})
+    assert shuffled_mb(spark, lambda: t.merge(changes, "at")) < 2 * mb
+    assert shuffled_mb(spark, lambda: t.merge(changes, "at")) < 0.5 * mb, "nothing changes, so no whole row is moved"
+    expected = first.where("v >= 0.7").unionByName(changes.where("at = 2"))
+    assert t.versions() == [0, 1] and bag(t.read()) == bag(expected)
+    assert not list(Path(f"{tmp_path}/t").rglob("given")), "rows in files are read again and not copied"
+
+
+def test_marks_tell_rows_of_several_files_and_blocks_apart(spark, tmp_path):
+    n = 150_000
+    df = spark.range(n, numPartitions=3).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").cast("double").alias("v"), F.lit(None).cast("date").alias("month"), F.lit(1).alias("at"))
+    t = ListedTable(spark, f"{tmp_path}/t", "id", ("month",))
+    t.create(df)
+    changed = F.xxhash64("id") % 3 == 0
+    changes = df.withColumn("v", F.when(changed, -F.col("v") - 1).otherwise(F.col("v")))
+    assert t.merge(changes) == 1
+    found = t.read()
+    assert found.count() == n and found.exceptAll(changes).isEmpty()
+    # The changes come from the table's own files.
+    assert t.merge(t.read().withColumn("at", F.when(F.col("v") < 0, 2).otherwise(1))) == 2
+    assert t.read().where("at = 2").count() == changes.where("v < 0").count() and t.read().count() == n
+    assert t.merge(t.read()) == 2
+
+
+def test_nulls_that_change_places_are_a_change(spark, tmp_path):
+    schema = "id string, a string, b string, list array<string>, month date"
+    rows = [("x", "1", None, ["1", None], None), ("y", None, "2", None, None), ("z", "3", "3", [], None)]
+    t = ListedTable(spark, f"{tmp_path}/t", "id", ("month",))
+    t.create(spark.createDataFrame(rows, schema))
+    later = [("x", None, "1", ["1", None], None), ("y", None, "2", [None], None), ("z", "3", "3", [], None)]
+    assert t.merge(spark.createDataFrame([rows[0], rows[2]], schema)) == 0
+    assert t.merge(spark.createDataFrame(later, schema)) == 1
+    assert bag(t.read()) == bag(spark.createDataFrame(later, schema))
+    later[0] = ("x", None, "1", [None, "1"], None)
+    assert t.merge(spark.createDataFrame(later, schema)) == 2 and bag(t.read()) == bag(spark.createDataFrame(later, schema))
+
+
+def test_changes_with_a_time_of_day_are_read_once(spark, tmp_path):
+    from retailstrata.sources.listed import scanned_again
+
+    df = wide(spark, f"{tmp_path}/rows", 10)
+    assert scanned_again(df.where("at = 1").withColumn("v", F.lit(1.0)))
+    for other in (df.withColumn("v", F.rand()), df.withColumn("t", F.current_timestamp()), df.distinct(), df.unionAll(df), df.orderBy("id").limit(3)):
+        assert not scanned_again(other)
+
+
+def test_packed_rows_come_back_as_they_were(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from retailstrata.sources.packed import can_pack, gathered_packed
+
+    schema = "s string, i int, d double, n decimal(20,3), b binary, o boolean, t timestamp, u timestamp_ntz, m date, f float"
+    now = dt.datetime(2025, 1, 2, 3, 4, 5, 678901)
+    rows = [("a", 1, float("nan"), Decimal("1.250"), b"\x00\xff", True, now, now, dt.date(1, 1, 1), 0.1)] + [(None,) * 10] * 2
+    rows += [(str(i), i, i / 3, Decimal(i), None, None, now, None, dt.date(2025, i % 12 + 1, 1), None) for i in range(500)]
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    for by in (["m"], ["s", "o"], ["m", "d"]):
+        packed = gathered_packed(df, by)
+        assert packed.schema == df.schema and bag(packed) == bag(df)
+    assert bag(gathered_packed(df.limit(0), ["m"])) == [] and not can_pack(df.withColumn("x", F.array("i")))
