@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ..operators.kpis import kpis_of
 from ..operators.money import EXACT, added_parts, money_of, money_parts
-from ..sources.scratch import exists, remove, shared_folder
+from ..sources.scratch import exists, few_rows, release, remove, shared_folder, smaller_tasks
+from ..sources.tables import COMPRESSION
 
 STATES = {
     "orders": "OrderID string, number bigint, ProductName string, CustomerID string, OrderAmount double",
@@ -61,13 +62,21 @@ class KpiStates:
     def _put_loads(self, loads: dict[str, str]) -> None:
         version = self._last()[0] + 1
         rows = [(name, folder, i) for i, (name, folder) in enumerate(loads.items())]
-        frame = self.spark.createDataFrame(rows, "name string, folder string, place int").coalesce(1)
+        frame = few_rows(self.spark, ["name", "folder", "place"], rows, "name string, folder string, place int")
         frame.write.mode("overwrite").parquet(f"{self.path}/loads/version={version}")
 
     def state(self, name: str) -> DataFrame:
         folders = [f"{self.path}/states/{folder}/{name}" for folder in dict.fromkeys(self.loads().values())]
         read = self.spark.read.schema(STATES[name])
-        return read.parquet(*folders) if folders else self.spark.createDataFrame([], STATES[name])
+        return read.parquet(*folders) if folders else self._empty(STATES[name])
+
+    def _empty(self, schema: str) -> DataFrame:
+        return few_rows(self.spark, [], [], schema)
+
+    def _write(self, df: DataFrame, path: str) -> None:
+        with smaller_tasks(self.spark):
+            df.write.parquet(path, compression=COMPRESSION["parquet"])
+        release(self.spark)
 
     # --- adding ----------------------------------------------------------------------------------------
 
@@ -84,15 +93,12 @@ class KpiStates:
         place = f"{self.path}/states/{folder}"
 
         def put(df: DataFrame, name: str) -> DataFrame:
-            df.write.parquet(f"{place}/{name}")
+            self._write(df, f"{place}/{name}")
             return self.spark.read.schema(STATES[name]).parquet(f"{place}/{name}")
 
-        def empty(schema: str) -> DataFrame:
-            return self.spark.createDataFrame([], schema)
-
-        orders = empty("OrderID string, ProductName string, CustomerID string, OrderAmount double") if orders is None else orders
-        returns = empty("OrderID string, ReturnID string") if returns is None else returns
-        inventory = empty("ProductName string, Stock int, CostPrice double") if inventory is None else inventory
+        orders = self._empty("OrderID string, ProductName string, CustomerID string, OrderAmount double") if orders is None else orders
+        returns = self._empty("OrderID string, ReturnID string") if returns is None else returns
+        inventory = self._empty("ProductName string, Stock int, CostPrice double") if inventory is None else inventory
         numbered = orders.select("OrderID", F.lit(len(loads)).cast("bigint").alias("number"), "ProductName", "CustomerID", "OrderAmount")
         counted = returns.where("OrderID is not null").groupBy("OrderID").agg(
             F.count(F.lit(1)).alias("return_rows"), F.count("ReturnID").alias("return_ids")
@@ -101,7 +107,7 @@ class KpiStates:
         work = f"{shared_folder(self.spark)}/kpis-{uuid4().hex}"
         try:
             both = self._before_and_after(own, returned)
-            both.write.parquet(work)
+            self._write(both, work)
             both = self.spark.read.schema(both.schema).parquet(work)
             put(self._products(both), "products")
             put(self._customers(both), "customers")
@@ -113,7 +119,7 @@ class KpiStates:
 
     def _before_and_after(self, own: DataFrame, returned: DataFrame) -> DataFrame:
         """Every touched order as it counted so far (``plus`` false) and as it counts now."""
-        touched = own.select("OrderID").unionAll(returned.select("OrderID")).distinct()
+        touched = own.select("OrderID").unionAll(returned.select("OrderID"))
 
         def known(name: str) -> DataFrame:
             state = self.state(name).alias("s")
@@ -130,6 +136,8 @@ class KpiStates:
             joined = order(orders).join(counts(returns), F.col("OrderID") == F.col("id"), "left").drop("id")
             return joined.withColumn("weight", F.greatest(F.coalesce("return_rows", F.lit(0)), F.lit(1)).cast("bigint")).withColumn("plus", F.lit(plus))
 
+        if not self.loads():  # nothing is known yet
+            return side(own, returned, True)
         orders, returns = known("orders"), known("returns")
         return side(orders, returns, False).unionAll(side(orders.unionAll(own), returns.unionAll(returned), True))
 
@@ -195,7 +203,7 @@ class KpiStates:
             "stock": self.state("stock").groupBy("ProductName").agg(*[F.sum(c).alias(c) for c in ("stock_rows", "stock")], *added_parts("cost")),
         }
         for name, rows in sums.items():
-            rows.select(*[c.split()[0] for c in STATES[name].split(", ")]).write.parquet(f"{self.path}/states/{folder}/{name}")
+            self._write(rows.select(*[c.split()[0] for c in STATES[name].split(", ")]), f"{self.path}/states/{folder}/{name}")
         # All loads share the folder now; it is read once.
         self._put_loads(dict.fromkeys(loads, folder))
         for old in set(loads.values()):

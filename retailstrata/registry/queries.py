@@ -391,7 +391,9 @@ def clustered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold KPIs of three loads: part of the orders, returns and inventory; the rest, with returns of earlier orders and
     orders that moved to another customer and product; and the second one again."""
-    orders, returns, inventory = (_stored(spark, df) for df in _silver(spark, sf_dir))
+    used = ("OrderID", "CustomerID", "ProductName", "Quantity", "OrderAmount"), ("OrderID", "ReturnID", "ReturnReason"), ("ProductName", "Stock", "CostPrice", "Available")
+    cleaned = _silver(spark, sf_dir, *used[0][1:])
+    orders, returns, inventory = (_stored(spark, df.select(*columns)) for df, columns in zip(cleaned, used))
     moved = F.col("Quantity") % 6 == 1
     later = orders.withColumns({
         "OrderAmount": F.when(moved, F.col("OrderAmount") + 1).otherwise(F.col("OrderAmount")),

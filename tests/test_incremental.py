@@ -74,3 +74,30 @@ def test_amounts_that_fit_no_decimal(spark, tmp_path):
         states.add(str(i), spark.createDataFrame(part, ORDERS))
     found = {r["ProductName"]: r["Total_Revenue"] for r in states.kpis().collect()}
     assert found == {"p": 1e300 + 1e299, "q": 0.3}
+
+
+def shuffled_rows(spark, work) -> int:
+    """Rows that ``work`` writes for shuffles."""
+    store, no = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def total():
+        stages = store.stageList(None, False, False, no, None)
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = total()
+    work()
+    return total() - before
+
+
+def test_a_load_moves_its_orders_by_id_once(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    n = 20_000
+    df = spark.range(n).select(F.concat(F.lit("o"), "id").alias("OrderID"), F.lit("c").alias("CustomerID"), F.concat(F.lit("p"), F.col("id") % 5).alias("ProductName"), F.lit(1.5).alias("OrderAmount"))
+    df.write.parquet(f"{tmp_path}/orders")
+    orders = spark.read.parquet(f"{tmp_path}/orders")
+    states = KpiStates(spark, f"{tmp_path}/states")
+    assert shuffled_rows(spark, lambda: states.add("first", orders)) < 1.2 * n, "nothing is known that could be touched"
+    again = orders.withColumn("OrderAmount", F.lit(2.5))
+    # The known orders and the ids of the load to meet, the known ones to find their last state, and both for the new one.
+    assert shuffled_rows(spark, lambda: states.add("second", again)) < 5.2 * n
+    assert {(r["ProductName"], r["Total_Orders"], r["Total_Revenue"]) for r in states.kpis().collect()} == {(f"p{i}", n // 5, n // 5 * 2.5) for i in range(5)}
