@@ -179,7 +179,8 @@ def wide(spark, path, n, **changed):
     return spark.read.parquet(path)
 
 
-def test_a_merge_shuffles_whole_rows_once(spark, tmp_path):
+def test_a_merge_shuffles_whole_rows_once(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     first = wide(spark, f"{tmp_path}/rows", 20_000)
     mb = sum(p.stat().st_size for p in Path(f"{tmp_path}/rows").glob("*.parquet")) / 1e6
     t = ListedTable(spark, f"{tmp_path}/t", "id", ("month",))
